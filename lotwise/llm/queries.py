@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_lexicon, chat_format, exact_dedup, html_extract, language_id, order_minhash, packing, sharding
+from . import bpe_lexicon, chat_format, exact_dedup, html_extract, language_id, order_minhash, packing, sharding, simhash
 
 QUERIES = {
     f.__name__: f
@@ -13,6 +13,7 @@ QUERIES = {
         chat_format.op5_event_sourced_chat,
         exact_dedup.op6_bloom_exact_dedup,
         order_minhash.op7_order_minhash,
+        simhash.op8_pigeonring_simhash,
         sharding.op9_prefix_sum_shards,
         bpe_lexicon.op10_lexicon_bpe,
     )
