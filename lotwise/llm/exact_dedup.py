@@ -125,21 +125,21 @@ def dedup_decisions(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """docs without exact copies; all columns of the rows that stay.
+    """docs without exact copies; all columns, of any names, of the rows that stay.
 
     Rows that the filter finds unique pass straight through with their texts. Of the
     others only those that stay are looked up, by doc_id and digest, and repeated rows
     among them become one.
     """
     decisions, bits = dedup_decisions(docs)
-    columns = docs.columns
-    keyed = docs.withColumn("text_sha256", text_key()).withColumn("_maybe", possibly_repeated(docs.sparkSession, bits))
-    straight = keyed.filter(~F.col("_maybe")).select(columns)
+    keyed = docs.select(F.struct("*").alias("_doc"), "doc_id", text_key().alias("text_sha256"))
+    keyed = keyed.withColumn("_maybe", possibly_repeated(docs.sparkSession, bits))
+    straight = keyed.filter(~F.col("_maybe")).select("_doc.*")
     stays = decisions.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     found = keyed.filter("_maybe").join(
         stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha")), "left_semi"
     )
-    return straight.unionByName(found.dropDuplicates(["doc_id", "text_sha256"]).select(columns))
+    return straight.unionByName(found.dropDuplicates(["doc_id", "text_sha256"]).select("_doc.*"))
 
 
 def op6_bloom_exact_dedup(spark, sf_dir):

@@ -106,11 +106,13 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> tuple[list[str
 
 
 def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
-    """docs with lang_pred and score, the posterior of the language per n-gram.
+    """docs with lang_pred and score.
 
-    score is the geometric mean posterior over the text's n-grams, so that long texts do
-    not all score 1. `und` with score 0: the text is null or has no letter, or there is
-    no language. Ties go to the first language in order. Texts are read whole.
+    score is the language's posterior with log-likelihoods divided by the square root of
+    the number of n-grams, so that long texts do not all score exactly 1. `und` with score
+    0: the text is null or has no letter, or there is no language. Ties go to the first
+    language in order. Texts are read whole; docs keeps its other columns, of any names
+    but these two.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((langs, np.ascontiguousarray(matrix.T)))

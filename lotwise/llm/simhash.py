@@ -35,18 +35,18 @@ def shingles(words: list[str], size: int) -> list[str]:
     return [" ".join(x) for x in zip(*(words[i:] for i in range(size)))]
 
 
-def fingerprint(text: str, size: int) -> int:
-    """Signed 64-bit SimHash of the shingles of an already lower-cased text; 0 without words."""
-    found = shingles(_WORD.findall(text), size)
-    if not found:
-        return 0
+def hashes(text: str, size: int) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle of an already lower-cased text, repeats included."""
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, 42) for s in found], np.uint64)
+    return np.array([digest(s, 42) for s in shingles(_WORD.findall(text), size)], np.uint64)
+
+
+def simhash(h: np.ndarray) -> int:
+    """Signed 64-bit number whose bits are those set in over half of h; 0 for none."""
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(h), _CHUNK):
         ones += np.unpackbits(h[at : at + _CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(h), bitorder="little")
-    return int(bits.view(np.int64)[0])
+    return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.int64)[0])
 
 
 def fingerprinted(docs: DataFrame, shingle: int) -> DataFrame:
@@ -54,7 +54,7 @@ def fingerprinted(docs: DataFrame, shingle: int) -> DataFrame:
 
     @F.pandas_udf("long")
     def of(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: fingerprint(t, shingle)).astype("int64")
+        return text.map(lambda t: simhash(hashes(t, shingle))).astype("int64")
 
     return docs.withColumn("fp", of(lower_ascii(F.coalesce(F.col("text"), F.lit("")))))
 
@@ -86,16 +86,26 @@ class Pigeonring:
             F.struct(F.lit(s).alias("start"), fp.bitwiseAND(F.lit(_signed(self.key(s)))).alias("key")) for s in range(self.segments)
         ])
 
+    def _within(self, start: int, differ: Column) -> Column:
+        # of the chains with one budget, the longest holds the others
+        tests = {budget: mask for mask, budget in self.chains[start]}
+        found = F.lit(True)
+        for budget, mask in tests.items():
+            found = found & (F.bit_count(differ.bitwiseAND(F.lit(_signed(mask)))) <= budget)
+        return found
+
+    def near(self, a: Column, b: Column) -> Column:
+        """Whether from some segment on all chains stay within budget."""
+        found = F.lit(False)
+        for s in range(self.segments):
+            found = found | self._within(s, a.bitwiseXOR(b))
+        return found
+
     def within(self, start: Column, a: Column, b: Column) -> Column:
-        """Whether all chains from `start` stay within budget; the last is the Hamming check."""
-        differ = a.bitwiseXOR(b)
+        """Whether from `start` on all chains stay within budget; the last is the Hamming check."""
         case = F.lit(False)
         for s in reversed(range(self.segments)):
-            tests = {budget: mask for mask, budget in self.chains[s] if budget}  # the longest chain of each budget
-            test = F.lit(True)
-            for budget, mask in tests.items():
-                test = test & (F.bit_count(differ.bitwiseAND(F.lit(_signed(mask)))) <= budget)
-            case = F.when(start == s, test).otherwise(case)
+            case = F.when(start == s, self._within(s, a.bitwiseXOR(b))).otherwise(case)
         return case
 
 
