@@ -12,12 +12,12 @@ from __future__ import annotations
 import hashlib
 import mmap
 import os
+import re
 import tempfile
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -30,7 +30,12 @@ LEXICON_WORDS = 1 << 16
 FLUSH_WORDS = 300_000
 
 #: Texts with none of these split as the patterns below say; others go through the tokenizer's own normaliser.
-_RARE = regex.compile(r"[^\t\n\r\x20-\x7e -įı-ɏ]")
+_RARE = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f]")
+_LATIN = [chr(c) for c in range(0x250)]
+_LETTERS = "".join(c for c in _LATIN if c.isalpha())
+_NUMBERS = "".join(c for c in _LATIN if c.isnumeric())
+#: The tokenizer's pattern, with its letters and numbers as far as such texts have them.
+_WORD = re.compile(rf"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
 
 
 class WordSplitter:
@@ -42,8 +47,7 @@ class WordSplitter:
         self.tokenizer.no_padding()
         added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = added
-        self._specials = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self._word = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+        self._specials = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
         self._char = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
@@ -59,7 +63,7 @@ class WordSplitter:
 
     def _plain(self, text: str) -> list[str]:
         if not _RARE.search(text):
-            return self._word.findall(text.lower())
+            return _WORD.findall(text.lower())
         normal = self.tokenizer.normalizer.normalize_str(text)
         pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
         return [bytes(self._byte[c] for c in piece).decode() for piece, _ in pieces]
