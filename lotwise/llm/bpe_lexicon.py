@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import mmap
-import os
 import re
 import tempfile
 from collections import Counter
@@ -143,12 +142,9 @@ class Lexicon:
     """A compiled lexicon, memory-mapped from a file of this machine."""
 
     def __init__(self, compiled: bytes):
-        path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(compiled).hexdigest()[:16]}")
-        if not os.path.exists(path):
-            with tempfile.NamedTemporaryFile(dir=os.path.dirname(path), delete=False) as f:
-                f.write(compiled)
-            os.replace(f.name, path)
-        with open(path, "rb") as f:
+        with tempfile.TemporaryFile() as f:  # it has no name, so nothing is left behind
+            f.write(compiled)
+            f.flush()
             data = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), np.int64)
         ends = np.cumsum(np.concatenate([[7], data[:7]]))
         root, self.key, self.target, self.skip, self.final, self.start, self.ids = (data[a:b] for a, b in zip(ends, ends[1:]))
