@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import table
+from .shared import materialized, table
 
 #: Bound of the lexicon: a few MB.
 LEXICON_WORDS = 1 << 16
@@ -194,11 +194,28 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, size: int) -> list[str]:
+    """The words of `counts` (word, n) above a count that at most `size` words reach.
+
+    Counts are put into classes, 64 for each doubling, and only as many classes of the
+    largest counts are fetched as have `size` words or fewer in all.
+    """
+    classed = materialized(counts.filter("n > 1").select("word", F.floor(F.log2("n") * 64).cast("int").alias("class")))
+    left, least = size, None
+    for row in classed.groupBy("class").count().orderBy(F.desc("class")).toLocalIterator():  # 64 * 63 rows at most
+        left -= row["count"]
+        if left < 0:
+            break
+        least = row["class"]
+    if least is None:
+        return []
+    return sorted(r["word"] for r in classed.filter(F.col("class") >= least).select("word").toLocalIterator())
+
+
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_WORDS) -> bytes:
-    """Compile the `size` most frequent words of all texts (ties: by word)."""
+    """Compile the most frequent words of all texts, `size` at most."""
     split = WordSplitter(path)
-    top = word_counts(docs, path).orderBy(F.desc("n"), "word").limit(size).select("word").collect()
-    return compile_lexicon({r["word"]: split.merge(r["word"]) for r in top})
+    return compile_lexicon({w: split.merge(w) for w in frequent_words(word_counts(docs, path), size)})
 
 
 class Codec:
