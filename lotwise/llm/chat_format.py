@@ -10,8 +10,8 @@ order, then messages are rendered and put in order.
 
 Template, one turn: '### ' role ': ' text '</turn>' and a newline. Inside role and text a
 backslash becomes two, '##' becomes '#\\#' and '</turn>' becomes '<\\/turn>'; in roles
-':' becomes '\\:' and a newline '\\n\\'. So control strings are never in a text, and
-taking away the backslashes gives the text back.
+':' and a newline also get a backslash before them. So control strings are never in a
+text, and taking away the backslashes gives the text back.
 """
 
 from __future__ import annotations
@@ -38,11 +38,7 @@ def unescape(text: str) -> str:
 
 
 def escape_role(role: str) -> str:
-    return escape(role).replace(":", "\\:").replace("\n", "\\n\\")
-
-
-def unescape_role(role: str) -> str:
-    return re.sub(r"\\(n\\|.)", lambda m: "\n" if m[1] == "n\\" else m[1], role, flags=re.S)
+    return escape(role).replace(":", "\\:").replace("\n", "\\\n")
 
 
 def render(role: str, text: str) -> str:
@@ -55,7 +51,7 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     for m in TURN.finditer(formatted):
         if m.start() != at:
             raise ValueError(f"no turn at {at}")
-        turns.append((unescape_role(m[1]), unescape(m[2])))
+        turns.append((unescape(m[1]), unescape(m[2])))
         at = m.end()
     if at != len(formatted):
         raise ValueError(f"no turn at {at}")
