@@ -452,7 +452,7 @@ def object_roundtrip(spark, sf_dir):
     path = scratch(spark, "objects")
     landing.export_objects(_landed(spark, sf_dir), path)
     read = landing.read_objects(spark, path)
-    return read.select("source", F.col("dt").cast("string").alias("dt"), F.length(F.rtrim(F.lit("\n"), "html")).cast("long").alias("html_chars"))
+    return read.select("source", F.col("dt").cast("string").alias("dt"), F.length(F.regexp_replace("html", r"\n\z", "")).cast("long").alias("html_chars"))
 
 
 @query(f"WITH {_LANDED_SQL} SELECT page_id, length(html) AS html_chars FROM landed WHERE page_id % 3 = 1")
