@@ -29,7 +29,7 @@ def has_context_script(html: Column) -> Column:
     return F.coalesce(html.rlike(CONTEXT_SCRIPT), F.lit(False))
 
 
-def context(html: Column, schema: T.StructType) -> Column:
+def context(html: Column, schema: str) -> Column:
     """The page's rendering context as far as the schema names it; null if it can't be read.
 
     The JSON parser knows string literals, so a brace in a string does no harm. Of

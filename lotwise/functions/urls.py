@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def normalize_url(url: Column) -> Column:
@@ -20,7 +21,7 @@ def domain_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve_url(base: pd.Series, link: pd.Series) -> pd.Series:
     """A link as seen from its page; null if the link is, or can't be joined."""
 

@@ -1,0 +1,99 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise.operators import health as H
+
+S = 1_000_000
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "key string, us long, failed boolean")
+
+
+def rates_brute(rows, window, least):
+    out = []
+    events = sorted(set(rows))
+    for k, us, f in events:
+        seen = [e for e in events if e[0] == k and us - window < e[1] <= us]
+        fails = sum(e[2] for e in seen)
+        out.append((k, us, f, len(seen), fails, fails / len(seen) if len(seen) >= least else None))
+    return sorted(out)
+
+
+def openings_brute(rows, window, least, threshold, pause):
+    until, out = {}, []
+    for k, us, _, n, fails, rate in rates_brute(rows, window, least):
+        if rate is not None and rate > threshold and us >= until.get(k, us):
+            until[k] = us + pause
+            out.append((k, us, rate, us + pause))
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def log():
+    rnd = random.Random(8)
+    return [(rnd.choice("aaab"), rnd.randrange(0, 40_000) * 100_000, rnd.random() < 0.35) for _ in range(1500)]
+
+
+def test_rates_like_brute_force(spark, log):
+    got = sorted(map(tuple, H.error_rates(frame(spark, log + log[:50]), 300 * S, 10).collect()))
+    assert got == rates_brute(log, 300 * S, 10)
+
+
+def test_openings_like_brute_force(spark, log):
+    got = sorted(map(tuple, H.breaker_openings(frame(spark, log)).collect()))
+    want = openings_brute(log, H.WINDOW_US, H.MIN_SAMPLES, H.THRESHOLD, H.PAUSE_US)
+    assert got == want and len(want) > 2
+
+
+def opens(spark, outcomes, step=S):
+    return [r["us"] for r in H.breaker_openings(frame(spark, [("k", i * step, f) for i, f in enumerate(outcomes)])).collect()]
+
+
+def test_edges(spark):
+    assert opens(spark, [True] * 9) == []  # below ten samples
+    assert opens(spark, [False] * 5 + [True] * 5) == [9 * S]  # once, at the tenth
+    assert opens(spark, [True] * 3 + [False] * 7) == []  # exactly 30 %
+    assert opens(spark, [True] * 4 + [False] * 6) == [9 * S]
+    # the frame is open at its start: an event one window ago doesn't count
+    ten = lambda last: [("k", i, True) for i in range(9)] + [("k", last, True)]
+    assert H.breaker_openings(frame(spark, ten(300 * S))).count() == 0
+    assert H.breaker_openings(frame(spark, ten(300 * S - 1))).count() == 1
+    # same instant and outcome: one event
+    assert H.breaker_openings(frame(spark, [("k", 5, True)] * 20)).count() == 0
+
+
+def test_gate_and_alerts(spark):
+    log = frame(spark, [("k", i * S, i % 2 == 0) for i in range(10)])
+    openings = H.breaker_openings(log)
+    asked = spark.createDataFrame([("k", 9 * S), ("k", 10 * S), ("k", 9 * S + H.PAUSE_US), ("j", 10 * S)], "key string, us long")
+    assert sorted(map(tuple, H.admitted(asked, openings).collect())) == [("j", 10 * S), ("k", 9 * S), ("k", 9 * S + H.PAUSE_US)]
+    assert [r["message"] for r in H.opening_alerts(openings).collect()] == ["breaker opened for k at rate 0.5"]
+
+
+def test_token_bucket(spark):
+    asked = [("a", 0)] * 6 + [("a", 2 * S), ("a", 2 * S), ("b", 0), ("a", 2 * S + 3601 * S)]
+    got = H.token_bucket_waits(spark.createDataFrame(asked, "key string, us long")).orderBy("key", "seq").collect()
+    # five at once, the sixth waits 2 s and takes nothing; after 2 s there is one token
+    assert [r["wait_s"] for r in got] == [0, 0, 0, 0, 0, 2.0, 0, 2.0, 0, 0]
+    # after an hour idle the bucket is full again
+    again = H.token_bucket_waits(spark.createDataFrame([("a", 0)] * 5 + [("a", 3601 * S)] * 6, "key string, us long"), rate=1e-6)
+    assert [r["wait_s"] > 0 for r in again.orderBy("seq").collect()] == [False] * 10 + [True]
+
+
+def test_backoff(spark):
+    n = spark.range(8)
+    assert [r[0] for r in n.select(H.backoff_median(F.col("id"))).collect()] == [5, 10, 20, 40, 80, 160, 300, 300]
+    for k in (0, 2):
+        drawn = spark.range(20_000).select(H.backoff_with_jitter(F.lit(k), seed=1).alias("d"))
+        middle, least = drawn.agg(F.median("d"), F.min("d")).first()
+        assert abs(middle / (5 * 2**k) - 1) < 0.03 and least > 0
+
+
+def test_retries(spark):
+    log = spark.createDataFrame([("u", 0, 429), ("u", 1, 503), ("u", 2, 200), ("v", 0, 429), ("v", 3, 429), ("w", 0, 404)], "url string, attempt int, status int")
+    got = {(r["url"], r["attempt"]): (r["will_retry"], r["delay_s"]) for r in H.retry_log(log).collect()}
+    assert got == {("u", 0): (True, 5.0), ("u", 1): (True, 10.0), ("u", 2): (False, None), ("v", 0): (True, 5.0), ("v", 3): (False, None), ("w", 0): (False, None)}
+    assert sorted(map(tuple, H.final_responses(log).collect())) == [("u", 2, 200, False), ("v", 3, 429, True), ("w", 0, 404, True)]

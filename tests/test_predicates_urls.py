@@ -1,0 +1,53 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise.functions import predicates as P
+from lotwise.functions import urls as U
+
+
+def values(spark, rows, schema, column):
+    return [r["x"] for r in spark.createDataFrame(rows, schema).select(column.alias("x")).collect()]
+
+
+def test_is_ad(spark):
+    assert values(spark, [("true",), ("TRUE",), ("false",), (None,), ("",)], "a string", P.is_ad(F.col("a"))) == [True, True, False, False, False]
+
+
+@pytest.mark.parametrize("text,want", [
+    ("0 km", True), ("0km", True), ("0,00 Km", True), ("0.0\xa0KM", True), ("  0 km\n", True), ("00 km", True), ("10 km", False), ("0 kms", False), ("a 0 km", False), ("0 km usado", False), (None, False),
+])
+def test_zero_km(spark, text, want):
+    assert values(spark, [(["x", text],)], "a array<string>", P.is_zero_km(F.col("a"))) == [want]
+
+
+def test_zero_km_without_a_list(spark):
+    assert values(spark, [(None,), ([],)], "a array<string>", P.is_zero_km(F.col("a"))) == [False, False]
+
+
+def test_statuses(spark):
+    rows = [(200, 0), (404, 0), (429, 0), (429, 2), (429, 3), (503, None), (None, 0)]
+    schema = "s int, a int"
+    assert values(spark, rows, schema, P.is_success(F.col("s"))) == [True, False, False, False, False, False, False]
+    assert values(spark, rows, schema, P.is_retryable(F.col("s"), F.col("a"))) == [False, False, True, True, False, False, False]
+    assert values(spark, rows, schema, P.is_parseable(F.col("s"))) == [True] + [False] * 6
+
+
+def test_batch_window(spark):
+    local = [(2, 0), (6, 59), (7, 0), (1, 59), (14, 0)]
+    rows = [(datetime.datetime(2024, 5, 1, h, m) + datetime.timedelta(hours=3),) for h, m in local] + [(None,)]
+    assert values(spark, rows, "t timestamp_ntz", P.in_batch_window(F.col("t"))) == [True, True, False, False, False, None]
+    assert values(spark, rows, "t timestamp", P.in_batch_window(F.col("t"))) == [True, True, False, False, False, None]
+
+
+def test_urls(spark):
+    rows = [("cars.example/x",), ("http://a",), ("https://a",), ("HTTPS://a",), ("",), (None,)]
+    assert values(spark, rows, "u string", U.normalize_url(F.col("u"))) == ["https://cars.example/x", "http://a", "https://a", "https://HTTPS://a", "", None]
+    rows = [("https://u:p@a.example:80/x?y#z",), ("http://b.example?q",), ("a.example/x",), ("",), (None,)]
+    domain = U.domain_of(F.col("u"))
+    assert values(spark, rows, "u string", domain) == ["u:p@a.example:80", "b.example", "", "", None]
+    assert values(spark, rows, "u string", P.allowed_domain(domain, "example", "b.example")) == [True, True, False, False, False]
+    assert values(spark, [("notexample.org",)], "u string", P.allowed_domain(F.col("u"), "example.org")) == [False]
+    rows = [("https://a.example/x/y", "../z"), ("https://a.example/x", "//b/c"), ("https://a.example", None), (None, "/q")]
+    assert values(spark, rows, "b string, l string", U.resolve_url("b", "l")) == ["https://a.example/z", "https://b/c", None, "/q"]
