@@ -19,10 +19,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, which goes when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _file_system(spark, path).deleteOnExit(_hadoop_path(spark, path))
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    _file_system(spark, path).delete(_hadoop_path(spark, path), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage, keeping partitions and their order."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
