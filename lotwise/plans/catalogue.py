@@ -18,6 +18,8 @@ from ..functions import urls as U
 from ..operators import crawl, detail, health, listing
 from ..sinks import outbox
 from ..sources import landing, seeds
+from ..streaming import health as stream_health
+from ..streaming import listing as stream_listing
 from . import synth
 from .lineage import scratch
 
@@ -483,3 +485,57 @@ def json_lines_roundtrip(spark, sf_dir):
     path = scratch(spark, "lines")
     outbox.write_json_lines(_table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_retailprice").alias("price")), path)
     return spark.read.schema("p_partkey long, p_name string, price double").json(path)
+
+
+@query(f"SELECT url, attempt, status, status < 400 AS ok FROM {_ATTEMPTS_SQL}")
+def success_predicate(spark, sf_dir):
+    return _attempts(spark, sf_dir).withColumn("ok", P.is_success(F.col("status")))
+
+
+@query("""
+SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'sent' WHEN 1 THEN 'unroutable' WHEN 2 THEN 'refused' ELSE 'pending' END AS status FROM part""")
+def outbox_status(spark, sf_dir):
+    found = outbox.envelopes(_table(spark, sf_dir, "part").select(F.lit("detail").alias("item_type"), "p_partkey", "p_brand"))
+    key = F.get_json_object("body", "$.p_partkey").cast("long")
+    outcome = F.when(key % 4 == 0, "sent").when(key % 4 == 1, "unroutable").when(key % 4 == 2, "refused")
+    outcomes = found.select("body", outcome.alias("outcome")).filter("outcome is not null")
+    return outbox.with_outcome(found, outcomes).select(key.alias("k"), "status")
+
+
+def _drained(stream: DataFrame, name: str) -> DataFrame:
+    """All rows a stream gives for what is there now, through a table."""
+    spark = stream.sparkSession
+    out = scratch(spark, name)
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, name))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _event_stream(spark, sf_dir) -> DataFrame:
+    path = f"{sf_dir}/events.parquet"
+    # as a pattern, as a stream's path must be a folder or a pattern, and the table may be a file
+    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/events.parque[t]")
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return events.select(F.col("user_id").cast("string").alias("key"), us.alias("us"), (F.col("event_type") == "error").alias("failed"))
+
+
+@query(_OPENINGS_SQL + "SELECT CAST(key AS VARCHAR) AS key, us, round(rate, 6) AS rate, until AS open_until_us FROM fold WHERE opened")
+def stream_breaker_openings(spark, sf_dir):
+    opened = stream_health.stream_breaker_openings(_event_stream(spark, sf_dir), **_RATE, pause_us=2 * _DAY)
+    return _drained(opened, "openings").withColumn("rate", F.round("rate", 6))
+
+
+@query(SQL["token_bucket_waits"].replace("SELECT key, us, seq, round(wait_s, 4)", "SELECT CAST(key AS VARCHAR) AS key, us, round(wait_s, 4)"))
+def stream_token_bucket(spark, sf_dir):
+    asked = _event_stream(spark, sf_dir).select("key", "us")
+    return _drained(stream_health.stream_token_bucket(asked, capacity=1.0, rate=0.0001, idle_s=50000.0), "waits").withColumn("wait_s", F.round("wait_s", 4))
+
+
+@query(f"SELECT 'S' || s_suppkey AS sku, n_name AS brand, 1 AS schema_version {_SUPPLIER_FROM}")
+def stream_outbox(spark, sf_dir):
+    raw, box = scratch(spark, "landing"), scratch(spark, "outbox")
+    pages = _suppliers(spark, sf_dir).select(F.lit("cars_detail").alias("spider"), "url", "html", "http_status", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("fetched_at"))
+    landing.land(landing.stamped(pages), raw)
+    stream_listing.publish_details(stream_listing.landed_stream(spark, raw), "cars", box, scratch(spark, "progress"), available_now=True).awaitTermination()
+    body = F.from_json("body", "source_listing_key string, brand_raw string, schema_version int")
+    return spark.read.parquet(box).select(body.alias("b")).select(F.col("b.source_listing_key").alias("sku"), F.col("b.brand_raw").alias("brand"), F.col("b.schema_version").alias("schema_version"))
