@@ -5,96 +5,28 @@ keeps the slots that were hit at least twice. Pass 2 tests every row: if one of
 slots was hit only once, no other row has its hash and the row passes straight through;
 only the rest, the possibly repeated rows, shuffle on the hash and are decided exactly.
 
-The filter has 16 slots a row up to MAX_SLOTS; beyond that its size stays fixed and more
+The filter's size is bounded (bloom.MAX_SLOTS); with more rows than that serves, more
 unique rows are found possibly repeated, which costs shuffle and never changes a result.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bloom import PROBES, hit_slots, may_hit
 from .shared import attach, lower_ascii, materialized, table
 
-PROBES = 2
-SLOTS_PER_ROW = 16
-#: One bit each when broadcast: 64 MB at most.
-MAX_SLOTS = 1 << 29
-#: Slots of a block, the unit in which counters are merged.
-BLOCK = 1 << 16
-#: Hashes a task counts before it hands on its slots.
-FLUSH_ROWS = 1 << 20
-
 
 def text_key():
     """SHA-256 (lowercase hex) of the text with A-Z lower-cased; null counts as empty."""
     return F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
 
 
-def probes(key: str = "text_sha256"):
-    """Two independent 60-bit integers out of a hex digest."""
-    return [F.conv(F.substring(key, at, 15), 16, 10).cast("long").alias(f"_p{i}") for i, at in enumerate((1, 17))]
-
-
-def repeated_slots(keyed: DataFrame, n_rows: int) -> np.ndarray:
-    """Pass 1: a packed bit for each slot, set if at least two rows hit it."""
-    slots = min(MAX_SLOTS, max(BLOCK, 1 << math.ceil(math.log2(SLOTS_PER_ROW * max(1, n_rows)))))
-
-    def count(batches):
-        held, n = [], 0
-
-        def flush():
-            slot, hits = np.unique(np.concatenate(held), return_counts=True)
-            slot = np.repeat(slot, np.minimum(hits, 2))  # a hot hash hands on two entries
-            block, start = np.unique(slot // BLOCK, return_index=True)
-            low = np.split((slot % BLOCK).astype(np.uint16), start[1:])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(block, pa.int32()), pa.array([x.tobytes() for x in low], pa.binary())], ["block", "low"]
-            )
-
-        for batch in batches:
-            # a row's own probes count once, even where they fall on one slot
-            p = [batch.column(f"_p{i}").to_numpy() % slots for i in range(PROBES)]
-            held += [p[0], p[1][p[1] != p[0]]]
-            n += batch.num_rows
-            if n >= FLUSH_ROWS:
-                yield flush()
-                held, n = [], 0
-        if n:
-            yield flush()
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        hits = np.zeros(BLOCK, np.int64)
-        for low in pdf["low"]:
-            hits += np.bincount(np.frombuffer(low, np.uint16), minlength=BLOCK)
-        return pd.DataFrame({"block": pdf["block"][:1], "bits": [np.packbits(hits >= 2).tobytes()]})
-
-    counted = keyed.select(*probes()).mapInArrow(count, "block int, low binary")
-    bits = np.zeros(slots // 8, np.uint8)
-    for row in counted.groupBy("block").applyInPandas(merge, "block int, bits binary").toLocalIterator():
-        at = row["block"] * (BLOCK // 8)
-        bits[at : at + BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
-    return bits
-
-
-def possibly_repeated(spark, bits: np.ndarray):
-    """Pass 2: a column function that tests a row's probes against the filter."""
-    shared = spark.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def test(p0: pd.Series, p1: pd.Series) -> pd.Series:
-        found, hit = shared.value, True
-        for p in (p0, p1):
-            slot = p.to_numpy() % (len(found) * 8)
-            hit &= (found[slot // 8] >> (7 - slot % 8).astype(np.uint8)) & 1 == 1
-        return pd.Series(hit)
-
-    return test(*probes())
+def _probes():
+    """Two independent 60-bit integers out of the digest."""
+    return [F.conv(F.substring("text_sha256", at, 15), 16, 10).cast("long").alias(p) for at, p in zip((1, 17), PROBES)]
 
 
 def dedup_decisions(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -106,8 +38,8 @@ def dedup_decisions(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """
     keyed = materialized(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", text_key().alias("text_sha256")))
     n_rows = keyed.count()
-    bits = repeated_slots(keyed, n_rows)
-    tested = keyed.withColumn("_maybe", possibly_repeated(docs.sparkSession, bits))
+    bits = hit_slots(keyed.select(*_probes()), n_rows, times=2)
+    tested = keyed.withColumn("_maybe", may_hit(docs.sparkSession, bits)(*_probes()))
     straight = tested.filter(~F.col("_maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256",
@@ -133,7 +65,7 @@ def drop_exact_copies(docs: DataFrame) -> DataFrame:
     """
     decisions, bits = dedup_decisions(docs)
     keyed = docs.select(F.struct("*").alias("_doc"), "doc_id", text_key().alias("text_sha256"))
-    keyed = keyed.withColumn("_maybe", possibly_repeated(docs.sparkSession, bits))
+    keyed = keyed.withColumn("_maybe", may_hit(docs.sparkSession, bits)(*_probes()))
     straight = keyed.filter(~F.col("_maybe")).select("_doc.*")
     stays = decisions.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     found = keyed.filter("_maybe").join(

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 
-from lotwise.llm import exact_dedup
+from lotwise.llm import bloom
 from lotwise.llm.exact_dedup import dedup_decisions, drop_exact_copies
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -37,9 +37,9 @@ def test_like_brute_force(odd_docs, odd_rows):
 
 def test_full_filter_changes_nothing(odd_docs, odd_rows, monkeypatch):
     # a filter far too small finds all rows possibly repeated
-    monkeypatch.setattr(exact_dedup, "MAX_SLOTS", 1 << 10)
-    monkeypatch.setattr(exact_dedup, "BLOCK", 1 << 6)
-    monkeypatch.setattr(exact_dedup, "FLUSH_ROWS", 3)
+    monkeypatch.setattr(bloom, "MAX_SLOTS", 1 << 10)
+    monkeypatch.setattr(bloom, "BLOCK", 1 << 6)
+    monkeypatch.setattr(bloom, "FLUSH_ROWS", 3)
     many = odd_docs
     for _ in range(3):
         many = many.unionByName(many)
