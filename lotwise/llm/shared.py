@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +31,42 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Paths of tables written since each scoped() call that is under way.
+_written: list[list[str]] = []
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Write df to a compressed table in the shared folder and read it back."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    if _written:
+        _written[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scoped(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """build()'s result, materialised; the tables written on the way to it are deleted."""
+    _written.append([])
+    try:
+        result = build()
+    except BaseException:
+        _delete(spark, _written.pop())
+        raise
+    paths = _written.pop()
+    try:
+        return materialized(result)
+    finally:
+        _delete(spark, paths)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """Inner join of rows with one row per key, where few keys may hold most rows.
 
