@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import partitions, table
 
 K = 8
 TUPLE = 2
@@ -151,8 +151,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     next document (or all it has). Texts shuffle once, to be sorted by doc_id in runs; a
     task holds two texts at a time. A table of one row is followed by itself.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     types = [pa.int64() if kind == "bigint" else pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import materialized, table
+from .shared import materialized, partitions, table
 
 WINDOW = 2048
 END_ID = 1
@@ -190,9 +190,8 @@ def packed(docs: DataFrame, encoding=public_byte_bpe, window: int = WINDOW, with
     is in one piece; repeated rows and null doc_ids are documents of their own. sequence_id
     is the partition's number times 2^33 plus a count. An empty table gives no pieces.
     """
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions(docs)
     order = ["key", "doc_id", F.crc32("ids")]
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 

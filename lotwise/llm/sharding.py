@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import checkpointed, table
+from .shared import checkpointed, partitions, table
 
 
 def contiguous_shards(rows: DataFrame, id_col: str, size_col: str, n_shards: int) -> DataFrame:
@@ -22,11 +22,9 @@ def contiguous_shards(rows: DataFrame, id_col: str, size_col: str, n_shards: int
     repeated ids and rows keep one slot each; an empty table gives an empty result.
     The sorted rows hold numbers only: texts are not shuffled.
     """
-    spark = rows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(id_col), F.col(size_col), F.col("text_crc32")]
     ranged = checkpointed(
-        rows.repartitionByRange(parts, *order)
+        rows.repartitionByRange(partitions(rows), *order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
     )

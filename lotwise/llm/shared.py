@@ -2,33 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.lineage import checkpointed, delete, scratch
+
+__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "table"]
+
 #: A key is hot when it has more rows than total / HOT_SHARE (and HOT_LEAST).
 #: At most HOT_SHARE keys can be hot, which bounds what is broadcast.
 HOT_SHARE = 2000
 HOT_LEAST = 100
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one if unset."""
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="lotwise-")
-        sc.setCheckpointDir(found)
-    return found
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage, keeping partitions and their order."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def partitions(df: DataFrame) -> int:
+    """As many as the session shuffles into, and at least as many as df is read in."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
 
 
 #: Paths of tables written since each scoped() call that is under way.
@@ -36,9 +27,12 @@ _written: list[list[str]] = []
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """Write df to a compressed table in the shared folder and read it back."""
+    """Write df to a compressed table in the shared folder and read it back.
+
+    The table goes when the application ends, or with the scoped() call it was written in.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = scratch(spark, "table")
     if _written:
         _written[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
@@ -50,21 +44,13 @@ def scoped(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
     _written.append([])
     try:
         result = build()
-    except BaseException:
-        _delete(spark, _written.pop())
-        raise
-    paths = _written.pop()
+    finally:
+        paths = _written.pop()
     try:
         return materialized(result)
     finally:
-        _delete(spark, paths)
-
-
-def _delete(spark: SparkSession, paths: list[str]) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(conf).delete(path, True)
+        for path in paths:
+            delete(spark, path)
 
 
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
