@@ -395,10 +395,10 @@ def frontier_antijoin(spark, sf_dir):
     return crawl.unvisited(edges.select(F.col("link").alias("url")).distinct(), edges.select("url").distinct())
 
 
-@query("SELECT page_id, url FROM pages p WHERE EXISTS (SELECT 1 FROM pages w WHERE w.url = p.url AND w.page_id % 2 = 0)")
+@query("SELECT page_id, url FROM pages p WHERE EXISTS (SELECT 1 FROM pages w WHERE w.url = p.url AND w.url LIKE '%/en/%')")
 def detail_candidates(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    return crawl.detail_candidates(pages, pages.filter("page_id % 2 = 0"))
+    return crawl.detail_candidates(pages, pages.filter("url LIKE '%/en/%'"))
 
 
 @query("SELECT 'https://cars.example.com/' || n_name AS url, n_name AS brand, 1 AS depth FROM nation")
