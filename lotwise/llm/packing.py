@@ -28,6 +28,8 @@ WINDOW = 2048
 END_ID = 1
 #: Tokens of a shard, the unit of an index in memory.
 SHARD_TOKENS = 1 << 21
+#: Windows that a partition fills at least.
+PARTITION_WINDOWS = 64
 #: Best terms of a seed that are looked up.
 QUERY_TERMS = 16
 K1, B = 1.2, 0.75
@@ -73,7 +75,7 @@ def lexical_key(ids: np.ndarray) -> int:
 
 
 def tokenised(docs: DataFrame, encoding=public_byte_bpe) -> DataFrame:
-    """doc_id, key, ids (little-endian, 16 bits if they suffice, else 32), wide.
+    """doc_id, key, n_ids, ids (little-endian, 16 bits if they suffice, else 32), wide.
 
     Null text is empty; every document ends with END_ID.
     """
@@ -82,18 +84,19 @@ def tokenised(docs: DataFrame, encoding=public_byte_bpe) -> DataFrame:
     def encode(batches):
         enc = encoding()
         for batch in batches:
-            keys, blobs, wide = [], [], []
+            keys, counts, blobs, wide = [], [], [], []
             for text in batch.column("text").to_pylist():
                 ids = np.append(enc.ids(text or ""), np.uint32(END_ID))
                 keys.append(lexical_key(ids))
+                counts.append(len(ids))
                 wide.append(bool(ids.max() > 0xFFFF))
                 blobs.append(ids.astype("<u4" if wide[-1] else "<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(blobs, pa.binary()), pa.array(wide, pa.bool_())],
-                ["doc_id", "key", "ids", "wide"],
+                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(blobs, pa.binary()), pa.array(wide, pa.bool_())],
+                ["doc_id", "key", "n_ids", "ids", "wide"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, key long, ids binary, wide boolean")
+    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, key long, n_ids long, ids binary, wide boolean")
 
 
 class Index:
@@ -191,7 +194,10 @@ def packed(docs: DataFrame, encoding=public_byte_bpe, window: int = WINDOW, with
     is the partition's number times 2^33 plus a count. An empty table gives no pieces.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = partitions(docs)
+    written = materialized(tokenised(docs, encoding))
+    total = written.agg(F.sum("n_ids")).first()[0] or 0
+    # the last window of a partition is padded, so small tables get few partitions
+    parts = max(1, min(partitions(docs), total // (PARTITION_WINDOWS * window)))
     order = ["key", "doc_id", F.crc32("ids")]
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
@@ -225,8 +231,7 @@ def packed(docs: DataFrame, encoding=public_byte_bpe, window: int = WINDOW, with
             yield rows()
 
     return (
-        materialized(tokenised(docs, encoding))
-        .repartitionByRange(parts, *order)
+        written.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .mapInArrow(
             pack,
