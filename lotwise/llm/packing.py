@@ -66,11 +66,16 @@ def public_byte_bpe() -> ByteBPE:
 
 
 def lexical_key(ids: np.ndarray) -> int:
-    """Four 16-bit ids, each the least of the text's ids under another hash."""
-    ids = np.unique(ids).astype(np.uint64)
+    """Four 16-bit ids, each drawn with a chance that follows its frequency in the text.
+
+    The draws are weighted min-hashes, alike for texts alike. They don't depend on length,
+    so long texts lie among short ones and partitions get about as many tokens.
+    """
+    ids, times = np.unique(ids, return_counts=True)
     key = 0
     for odd in _ODD:
-        key = key << 16 | int(ids[np.argmin((ids + np.uint64(1)) * odd % np.uint64(1 << 32))]) & 0xFFFF
+        u = ((ids.astype(np.uint64) + np.uint64(1)) * odd % np.uint64(1 << 32) + 0.5) / (1 << 32)
+        key = key << 16 | int(ids[np.argmin(-np.log(u) / times)]) & 0xFFFF
     return key - (1 << 64) if key >> 63 else key
 
 
