@@ -192,3 +192,26 @@ def op5_event_sourced_chat(spark, sf_dir):
     extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return read_back(rendered_turns(folded_messages(conversation_events(conversations))))
+
+
+#: Lengths are counted from what escaping adds: one for each backslash, '##' and '</turn>'.
+SQL = {
+    "op5_event_sourced_chat": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text END AS loss,
+         4 + length(role) + 2 + length(text) + 8
+         + length(text) - length(replace(text, '\', ''))
+         + (length(text) - length(replace(text, '##', ''))) // 2
+         + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS chars
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(loss)), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(loss, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id"""
+}

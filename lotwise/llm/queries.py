@@ -19,4 +19,4 @@ QUERIES = {
     )
 }
 
-SQL = {**exact_dedup.SQL}
+SQL = {**chat_format.SQL, **exact_dedup.SQL}

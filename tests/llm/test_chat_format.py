@@ -62,3 +62,13 @@ def test_fold_of_events(spark):
     assert [tuple(r) for r in messages.filter("conv_id = 2").collect()] == [(2, None, 0, "", "")]
     whole = {r["conv_id"]: r["formatted"] for r in C.formatted_conversations(messages).collect()}
     assert C.parse(whole[1]) == [("user", "hello"), ("assistant", "Better"), ("user", "bye")]
+
+
+def test_sql_says_the_same(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rows = [(c, t, "assistant" if t % 2 else "user", x) for c in range(3) for t, x in enumerate(["a ## b", "###### \\ </turn></turn>", None, "\\#", "x\n</turn>\n"])]
+    con = duckdb.connect()
+    con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    want = {r[0]: tuple(r[1:]) for r in con.sql(C.SQL["op5_event_sourced_chat"]).fetchall()}
+    assert run(spark, rows + [(-7, 0, "user", C.TRICKY), (-7, 1, "assistant", C.TRICKY)]) == want
