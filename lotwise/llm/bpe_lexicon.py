@@ -12,8 +12,10 @@ from __future__ import annotations
 import hashlib
 import mmap
 import re
+import struct
 import tempfile
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,8 @@ from .shared import materialized, table
 LEXICON_WORDS = 1 << 16
 #: Words a task counts, or remembers, before it hands them on or forgets them.
 FLUSH_WORDS = 300_000
+#: Code points whose new words are looked up together.
+CHUNK_CHARS = 1 << 20
 
 #: Texts with none of these split as the patterns below say; others go through the tokenizer's own normaliser.
 _RARE = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f]")
@@ -233,20 +237,36 @@ class Codec:
         if len(self.known) + len(new) > FLUSH_WORDS:
             self.known.clear()
             new = list(words)
-        start, ids = self.lexicon.start, self.lexicon.ids
+        start, ids = self.lexicon.start.tolist(), self.lexicon.ids.astype("<u4").tobytes()
         for word, n in zip(new, self.lexicon.find(new).tolist()):
-            found = ids[start[n] : start[n + 1]] if n >= 0 else self.split.merge(word)
-            self.known[word] = np.asarray(found, "<u4").tobytes()
+            if n >= 0:
+                self.known[word] = ids[4 * start[n] : 4 * start[n + 1]]
+            else:
+                found = self.split.merge(word)
+                self.known[word] = struct.pack(f"<{len(found)}I", *found)
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text, as little-endian unsigned 32-bit integers.
+
+        Words that are new in CHUNK_CHARS of text or a little more are learnt together.
+        """
+        held, chars = [], 0
+        for text in texts:
+            held.append(self.split.words(text))
+            chars += len(text)
+            if chars >= CHUNK_CHARS:
+                yield from self._flush(held)
+                held, chars = [], 0
+        yield from self._flush(held)
+
+    def _flush(self, held: list[list[str]]) -> Iterator[bytes]:
+        self.learn(set().union(*held))
+        known = self.known
+        for words in held:
+            yield b"".join([known[w] for w in words])
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        words = self.split.words(text)
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self.learn(set(words))
-            return b"".join([self.known[w] for w in words])
+        return next(self.encode_all([text]))
 
     def decode(self, ids: bytes) -> str:
         return " ".join([self.token[i] for i in np.frombuffer(ids, "<u4").tolist()])
@@ -272,8 +292,7 @@ def _coded(docs: DataFrame, path: str, compiled: bytes, digests: bool) -> DataFr
         codec = Codec(path, shared.value)
         for batch in batches:
             n, first, second = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = codec.encode(text or "")
+            for ids in codec.encode_all(text or "" for text in batch.column("text").to_pylist()):
                 decoded = codec.decode(ids)
                 n.append(len(ids) // 4)
                 first.append(hashlib.sha256(ids).hexdigest() if digests else ids)
