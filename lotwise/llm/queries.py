@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe_lexicon, chat_format, exact_dedup, html_extract, language_id, order_minhash, packing, sharding, simhash
+from . import bpe_lexicon, chat_format, exact_dedup, html_extract, language_id, order_minhash, packing, sharding, simhash, training_order
 
 QUERIES = {
     f.__name__: f
     for f in (
         html_extract.op1_host_suffix_html,
         language_id.op2_naive_bayes_lang,
+        training_order.op3_feistel_order,
         packing.op4_bm25_packing,
         chat_format.op5_event_sourced_chat,
         exact_dedup.op6_bloom_exact_dedup,
