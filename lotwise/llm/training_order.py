@@ -41,6 +41,15 @@ HEADER = "<QQII"
 HEADER_BYTES = struct.calcsize(HEADER)
 #: Ends every record, as the writer is Spark's line writer; lengths tell records apart.
 RECORD_END = b"\n"
+#: Rows that a Python worker holds as objects at a time.
+SLICE = 256
+
+
+def _sliced(batches):
+    """The batches in slices, so that a worker's memory doesn't follow the session's batch size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
 @dataclass(frozen=True)
@@ -108,7 +117,7 @@ def _stream(docs: DataFrame, encoding, layout: Layout) -> DataFrame:
 
     def encode(batches):
         enc, part, at = encoding(), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in _sliced(batches):
             starts, counts, blobs = [], [], []
             for text in batch.column("text").to_pylist():
                 ids = np.append(enc.ids(text or ""), np.uint32(END_ID))
@@ -132,7 +141,7 @@ def _pieces(stream: DataFrame, before: dict[int, int], order: Permutation, layou
     size = layout.sequence
 
     def cut(batches):
-        for batch in batches:
+        for batch in _sliced(batches):
             part, start, count = (batch.column(c).to_numpy() for c in ("part", "start", "n_ids"))
             start = start + np.array([before[p] for p in part.tolist()], np.int64)
             first = start // size
@@ -172,7 +181,7 @@ def _records(pieces: DataFrame, layout: Layout, n_shards: int) -> DataFrame:
 
     def join(batches):
         at, parts = None, []
-        for batch in batches:
+        for batch in _sliced(batches):
             out = []
             for slot, sequence, ids in zip(*(batch.column(c).to_pylist() for c in ("slot", "sequence_id", "ids"))):
                 if at is not None and at[0] != slot:
