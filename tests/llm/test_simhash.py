@@ -125,6 +125,37 @@ def test_near_copies_go(spark, words, monkeypatch, pairs):
     assert kept == want
 
 
+def test_star_of_near_copies(spark, words):
+    """One text and copies of it, each near to it and not near to each other."""
+    rnd = random.Random(12)
+    base = [rnd.choice(words) for _ in range(400)]
+    rows = []
+    for i in range(150):
+        edited = list(base)
+        for k in range(7):
+            edited[57 * k + rnd.randrange(50)] = f"edit{i}x{k}"
+        rows.append((i, " ".join(edited)))
+    rows.insert(90, (1000, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert [r["doc_id"] for r in near_dedup.drop_near_copies(docs).collect()] == [d for d, _ in near_brute(rows)] == [0]
+
+
+def test_second_pass_needs_no_first(spark, words, monkeypatch):
+    monkeypatch.setattr(near_dedup, "near_links", lambda sketched, *_: spark.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(near_dedup, "TILE", 8)
+    monkeypatch.setattr(near_dedup, "COMMON", 100)
+    rnd, rows = random.Random(13), []
+    for g in range(30):
+        base = [rnd.choice(words) for _ in range(rnd.randint(1, 120))]
+        for _ in range(rnd.randint(1, 30)):
+            edited = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                edited[rnd.randrange(len(edited))] = rnd.choice(words)
+            rows.append((len(rows), " ".join(edited[: rnd.randint(len(edited) * 9 // 10, len(edited))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in near_dedup.drop_near_copies(docs).collect()} == {d for d, _ in near_brute(rows)}
+
+
 def test_near_copies_of_odd_documents(odd_docs, odd_rows, clashing_docs, no_docs):
     for docs in (odd_docs, clashing_docs):
         out = near_dedup.drop_near_copies(docs)
