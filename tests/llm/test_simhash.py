@@ -140,6 +140,20 @@ def test_star_of_near_copies(spark, words):
     assert [r["doc_id"] for r in near_dedup.drop_near_copies(docs).collect()] == [d for d, _ in near_brute(rows)] == [0]
 
 
+def test_repeats_do_not_count(spark, words):
+    """Texts with one set of shingles have one fingerprint, however often a line is repeated."""
+    rnd, rows = random.Random(14), []
+    for g in range(20):
+        base, line = ([rnd.choice(words) for _ in range(n)] for n in (300, 8))
+        rows += [(len(rows) + i, " ".join(base + line * n)) for i, n in enumerate((2, 50, 200))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fps = defaultdict(set)
+    for r in near_dedup.sketches(docs, 5).collect():
+        fps[r["doc_id"] // 3].add(r["fp"])
+    assert len(fps) == 20 and all(len(x) == 1 for x in fps.values())
+    assert {r["doc_id"] for r in near_dedup.drop_near_copies(docs).collect()} == {d for d, _ in near_brute(rows)} == set(range(0, 60, 3))
+
+
 def test_second_pass_needs_no_first(spark, words, monkeypatch):
     monkeypatch.setattr(near_dedup, "near_links", lambda sketched, *_: spark.createDataFrame([], "a long, b long"))
     monkeypatch.setattr(near_dedup, "TILE", 8)
