@@ -30,8 +30,8 @@ END_ID = 1
 SHARD_TOKENS = 1 << 21
 #: Windows that a partition fills at least.
 PARTITION_WINDOWS = 64
-#: Best terms of a seed that are looked up.
-QUERY_TERMS = 16
+#: Terms of a seed that are looked up: no seed has more, as ids have 32 bits.
+QUERY_TERMS = 1 << 32
 K1, B = 1.2, 0.75
 
 _ODD = np.array([0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F], np.uint64)
@@ -124,14 +124,10 @@ class Index:
         self.n = n
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share one of the seed's best terms, best first (ties: in order)."""
+        """Unused documents that share a term with the seed, best first (ties: in order)."""
         own = slice(self.of_doc[seed], self.of_doc[seed + 1])
-        terms, weights = self.term[own], self.weight[own]
-        shared = self.df[terms] > 1
-        terms, weights = terms[shared], weights[shared]
-        if len(terms) > QUERY_TERMS:
-            best = np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]
-            terms = terms[best]
+        terms = self.term[own]
+        terms = terms[self.df[terms] > 1]
         if not len(terms):
             return terms
         spans = [slice(self.of_term[t], self.of_term[t + 1]) for t in terms.tolist()]

@@ -95,3 +95,27 @@ def test_neighbours_like_brute_force():
         scores = [bm25([d.tolist() for d in docs], seed, d) for d in range(40)]
         assert set(found) == {d for d in range(40) if mask[d] and scores[d] > 1e-9}
         assert all(scores[a] >= scores[b] - 1e-5 for a, b in zip(found, found[1:]))
+
+
+def test_neighbours_by_all_terms():
+    """Also those that share none of a long seed's best terms, by their whole score."""
+    rng = np.random.default_rng(3)
+    docs = [rng.zipf(1.3, rng.integers(30, 60)) % 200 for _ in range(40)]
+    docs[0] = np.append(np.repeat(np.arange(1000, 1040), 3), 2000)
+    docs += [docs[0][:60], np.array([2000])]
+    index = P.Index(docs)
+    found = index.neighbours(0, np.arange(len(docs)) > 0).tolist()
+    assert len(docs) - 1 in found and found[0] == len(docs) - 2
+    for seed in range(1, 40):
+        mask = np.arange(len(docs)) != seed
+        found = index.neighbours(seed, mask).tolist()
+        n, mean = len(docs), sum(map(len, docs)) / len(docs)
+        df = Counter(t for x in docs for t in set(x.tolist()))
+
+        def weight(t, x):
+            tf = x.count(t)
+            return np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * (P.K1 + 1) / (tf + P.K1 * (1 - P.B + P.B * len(x) / mean))
+
+        scores = [sum(weight(t, d.tolist()) for t in set(docs[seed].tolist()) & set(d.tolist())) for d in docs]
+        assert set(found) == {d for d in range(len(docs)) if mask[d] and scores[d] > 0}
+        assert all(scores[a] >= scores[b] - 1e-4 for a, b in zip(found, found[1:]))
