@@ -4,20 +4,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of this machine only where it is unset."""
+    """spark.checkpoint.dir; a folder of this machine where it is unset and all runs in one process."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="lotwise-")
         sc.setCheckpointDir(found)
     return found
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of a query that ends meanwhile go with it, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, which goes when the application ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
