@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.lineage import checkpointed, delete, scratch
 
-__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "table"]
+__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "sliced", "table"]
 
 #: A key is hot when it has more rows than total / HOT_SHARE (and HOT_LEAST).
 #: At most HOT_SHARE keys can be hot, which bounds what is broadcast.
@@ -17,6 +18,17 @@ HOT_SHARE = 2000
 HOT_LEAST = 100
 
 
+#: Rows that a Python worker holds as objects at a time.
+SLICE = 256
+
+
+def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker's memory doesn't follow the session's batch size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def partitions(df: DataFrame) -> int:
     """As many as the session shuffles into, and at least as many as df is read in."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
