@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import sliced, table
 
 #: Lengths of the n-grams, and hash buckets for all of them.
 GRAMS = (1, 2, 3)
@@ -24,32 +24,41 @@ ROWS_PER_LANG = 2000
 #: Languages a model may have; more is taken for a wrong label column.
 MAX_LANGS = 1000
 SMOOTHING = 0.5
-#: Code points scored at a time.
+#: Values of the hash that draws the sample.
+HASHES = 1 << 62
+#: Code points counted or scored at a time.
 CHUNK = 1 << 20
 
 _LETTER = regex.compile(r"\p{L}")
-_GAP = 32
 
 
-def _features(text: str) -> np.ndarray:
-    """Bucket of every n-gram of the lower-cased text; all but letters are one space."""
-    c = np.frombuffer(_letters(text).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+_RUNS = regex.compile(r"[^\p{L}\p{M}]+")
+
+
+def _letters(text: str) -> np.ndarray:
+    """Code points of the lower-cased text; all but letters are one space, one at either end too."""
+    return np.frombuffer(f" {_RUNS.sub(' ', text.lower()).strip()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _features(c: np.ndarray, at: int, end: int) -> np.ndarray:
+    """Bucket of every n-gram of code points that begins from `at` to before `end`."""
     found = []
     for n in GRAMS:
-        if len(c) >= n:
-            h = c[: len(c) - n + 1] + np.uint64(n << 21)
+        stop = min(end, len(c) - n + 1)
+        if stop > at:
+            h = c[at:stop].astype(np.uint64) + np.uint64(n << 21)
             for k in range(1, n):
-                h = h * np.uint64(0x9E3779B97F4A7C15) + c[k : len(c) - n + 1 + k]
+                h = h * np.uint64(0x9E3779B97F4A7C15) + c[at + k : stop + k]
             h = h * np.uint64(0xD6E8FEB86659FD93)
             found.append((h >> np.uint64(64 - 16)).astype(np.int64))
     return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-_RUNS = regex.compile(r"[^\p{L}\p{M}]+")
-
-
-def _letters(text: str) -> str:
-    return f" {_RUNS.sub(' ', text.lower()).strip()} "
+def _chunks(text: str):
+    """The features of a text, CHUNK code points at a time; each n-gram is in one chunk."""
+    c = _letters(text)
+    for at in range(0, len(c), CHUNK):
+        yield _features(c, at, at + CHUNK)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -61,6 +70,11 @@ def _fold():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4, F.lit(0))
 
 
+def threshold(rows_per_lang: int, n: int) -> int:
+    """A hash below HASHES is below this one with the chance rows_per_lang / n; never 0, however large n is."""
+    return HASHES * min(rows_per_lang, n) // n
+
+
 def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> tuple[list[str], np.ndarray]:
     """Languages in order and their log-probability matrix (with the prior in a last column).
 
@@ -76,16 +90,17 @@ def train(docs: DataFrame, rows_per_lang: int = ROWS_PER_LANG) -> tuple[list[str
     langs = sorted(totals)
     if not langs:
         return [], np.zeros((0, BUCKETS + 1), np.float32)
-    chance = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, int(min(1.0, rows_per_lang / n) * 1_000_000))])
-    sample = labelled.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < chance[F.col("lang")])
+    chance = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, threshold(rows_per_lang, n))])
+    sample = labelled.filter(F.xxhash64("doc_id", "text").bitwiseAND(F.lit(HASHES - 1)) < chance[F.col("lang")])
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in sliced(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 if lang not in sums:
                     sums[lang] = np.zeros(BUCKETS, np.int64)
-                sums[lang] += np.bincount(_features(text), minlength=BUCKETS)
+                for f in _chunks(text):
+                    sums[lang] += np.bincount(f, minlength=BUCKETS)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["lang", "counts"])
 
@@ -111,8 +126,8 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
     score is the language's posterior with log-likelihoods divided by the square root of
     the number of n-grams, so that long texts do not all score exactly 1. `und` with score
     0: the text is null or has no letter, or there is no language. Ties go to the first
-    language in order. Texts are read whole; docs keeps its other columns, of any names
-    but these two.
+    language in order. Texts are read whole. docs keeps its other columns, of any names;
+    columns named lang_pred or score are replaced.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((langs, np.ascontiguousarray(matrix.T)))
@@ -127,9 +142,7 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
                 scores.append(0.0)
                 continue
             total, n = weights[BUCKETS].astype(np.float64), 0
-            for at in range(0, len(t), CHUNK):
-                # a chunk begins some characters early, so that no n-gram is lost
-                f = _features(t[max(0, at - max(GRAMS) + 1) : at + CHUNK] if at else t[:CHUNK])
+            for f in _chunks(t):
                 used = np.bincount(f, minlength=BUCKETS) if len(f) > BUCKETS else None
                 total = total + (used @ weights[:BUCKETS] if used is not None else weights[f].sum(axis=0, dtype=np.float64))
                 n += len(f)
@@ -138,10 +151,12 @@ def predict(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame:
             scores.append(float(1 / np.exp(np.minimum(50, (total - total[best]) / max(1, n) ** 0.5)).sum()))
         return pd.DataFrame({"lang_pred": pred, "score": scores})
 
-    return docs.withColumn("_lang", score("text")).select(*docs.columns, "_lang.lang_pred", "_lang.score")
+    others = [F.col(f"`{c.replace('`', '``')}`") for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    return docs.select(F.struct(*others).alias("_doc"), score("text").alias("_lang")).select("_doc.*", "_lang.lang_pred", "_lang.score")
 
 
 def op2_naive_bayes_lang(spark, sf_dir):
+    """The language of every whole text, learned from the labels of three folds of four; null text is `und`."""
     docs = table(spark, sf_dir, "documents")
     langs, matrix = train(docs)
     scored = predict(docs.select("doc_id", "text"), langs, matrix)
