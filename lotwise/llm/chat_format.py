@@ -6,7 +6,7 @@ A log has one event a row: conv_id, seq, op, msg_id, role, text. The ops are
   edit        the text so far is replaced
   regenerate  the text so far is thrown away; deltas begin anew
 A message stands where its first event stood. Events of one message are folded in seq
-order, then messages are rendered and put in order.
+order, then messages are put in order and rendered.
 
 Template, one turn: '### ' role ': ' text '</turn>' and a newline. Inside role and text a
 backslash becomes two, '##' becomes '#\\#' and '</turn>' becomes '<\\/turn>'; in roles
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import sliced, table
 
 TURN = re.compile(r"### ((?:[^:\\\n]|\\.)*): (.*?)</turn>\n", re.S)
 
@@ -61,26 +61,33 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def folded_messages(events: DataFrame) -> DataFrame:
     """One row per message: conv_id, msg_id, pos (seq of its first event), role, text.
 
-    Events shuffle by message, not by conversation, so a conversation with most of the
-    log is dealt over all tasks. Ties of seq are ordered by op, role, text. Null text
-    counts as empty, a null role leaves the role as it is (empty if there is none), an
-    unknown or null op is a message. A message whose last reset has no deltas is empty.
+    The log is partitioned by conversation and message, so a conversation with most of it
+    is dealt over all tasks, and sorted by seq; keys and seq may have any type that sorts.
+    Ties of seq are ordered by op, role, text, nulls first. Null text counts as empty, a
+    null role leaves the role as it is (empty if there is none), an unknown or null op is
+    a message. A message whose last reset has no deltas is empty.
     """
+    keys, names = ["conv_id", "msg_id"], ["conv_id", "msg_id", "pos", "role", "text"]
 
     def fold(batches):
         state = None
 
         def row(s):
-            return s["conv"], s["msg"], s["pos"], s["role"], "".join(s["parts"])
+            return *s["key"], s["pos"], s["role"], "".join(s["parts"])
 
-        for batch in batches:
+        def rows(found):
+            columns = list(zip(*found)) or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        for batch in sliced(batches):
             out = []
+            types = [batch.schema.field(c).type for c in ("conv_id", "msg_id", "seq")] + [pa.string()] * 2
             for e in batch.to_pylist():
                 key = (e["conv_id"], e["msg_id"])
-                if state is None or (state["conv"], state["msg"]) != key:
+                if state is None or state["key"] != key:
                     if state is not None:
                         out.append(row(state))
-                    state = {"conv": key[0], "msg": key[1], "pos": e["seq"], "role": "", "parts": []}
+                    state = {"key": key, "pos": e["seq"], "role": "", "parts": []}
                 state["role"] = e["role"] if e["role"] is not None else state["role"]
                 if e["op"] != "delta":
                     state["parts"] = []
@@ -90,46 +97,48 @@ def folded_messages(events: DataFrame) -> DataFrame:
         if state is not None:
             yield rows([row(state)])
 
-    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    types = [arrow[kinds["conv_id"]], arrow[kinds["msg_id"]], arrow[kinds["seq"]], pa.string(), pa.string()]
-
-    def rows(found):
-        columns = list(zip(*found)) or [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["conv_id", "msg_id", "pos", "role", "text"])
-
-    keys = ["conv_id", "msg_id"]
+    kind = {f.name: f.dataType.simpleString() for f in events.schema}
     return (
         events.select(*keys, "seq", "op", "role", "text")
         .repartition(*keys)
         .sortWithinPartitions(*keys, "seq", "op", "role", "text")
-        .mapInArrow(fold, f"conv_id {kinds['conv_id']}, msg_id {kinds['msg_id']}, pos {kinds['seq']}, role string, text string")
+        .mapInArrow(fold, f"conv_id {kind['conv_id']}, msg_id {kind['msg_id']}, pos {kind['seq']}, role string, text string")
     )
 
 
+#: What orders a conversation's messages: rows of one position by role and text, nulls first.
+ORDER = ("pos", "role", "text", "msg_id")
+
+
+def ordered_messages(messages: DataFrame) -> DataFrame:
+    """Messages partitioned by conversation and in order there."""
+    return messages.repartition("conv_id").sortWithinPartitions("conv_id", *ORDER)
+
+
 def rendered_turns(messages: DataFrame) -> DataFrame:
-    """conv_id, pos, msg_id, formatted: each message as the template writes it."""
+    """conv_id, pos, role, text, msg_id, formatted: each message as the template writes it."""
 
     @F.pandas_udf("string")
     def turn(role: pd.Series, text: pd.Series) -> pd.Series:
         return role.combine(text, render)
 
-    return messages.select("conv_id", "pos", "msg_id", turn("role", "text").alias("formatted"))
+    return messages.select("conv_id", *ORDER, turn("role", "text").alias("formatted"))
 
 
 def formatted_conversations(messages: DataFrame) -> DataFrame:
     """conv_id, formatted: whole conversations, for those that fit in one string."""
-    turns = rendered_turns(messages).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("pos", "msg_id", "formatted"))).alias("t"))
+    turns = rendered_turns(messages).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(*ORDER, "formatted"))).alias("t"))
     return turns.select("conv_id", F.array_join("t.formatted", "").alias("formatted"))
 
 
-def read_back(turns: DataFrame) -> DataFrame:
+def read_back(ordered: DataFrame) -> DataFrame:
     """Digests of every conversation, read from its rendered turns.
 
-    Turns arrive sorted and are hashed as they pass, so memory holds one turn only,
-    however long a conversation is. What is under the loss mask is the text between the
-    markers of assistant turns, unescaped.
+    Turns arrive partitioned and sorted (ordered_messages) and are hashed as they pass, so
+    memory holds one slice of them only, however long a conversation is. What is under the
+    loss mask is the text between the markers of assistant turns, unescaped.
     """
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
     def digest(batches):
         state = None
@@ -140,8 +149,13 @@ def read_back(turns: DataFrame) -> DataFrame:
         def row(s):
             return s["conv"], s["n"], s["all"].hexdigest(), s["loss_chars"], s["loss"].hexdigest(), s["chars"]
 
-        for batch in batches:
+        def rows(found):
+            columns = list(zip(*found)) or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+        for batch in sliced(batches):
             out = []
+            types = [batch.schema.field("conv_id").type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
             for conv, formatted in zip(batch.column("conv_id").to_pylist(), batch.column("formatted").to_pylist()):
                 if state is None or state["conv"] != conv:
                     if state is not None:
@@ -158,40 +172,52 @@ def read_back(turns: DataFrame) -> DataFrame:
         if state is not None:
             yield rows([row(state)])
 
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-
-    def rows(found):
-        columns = list(zip(*found)) or [[]] * 6
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-    return (
-        turns.repartition("conv_id")
-        .sortWithinPartitions("conv_id", "pos", "msg_id")
-        .mapInArrow(digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    kind = ordered.schema["conv_id"].dataType.simpleString()
+    return rendered_turns(ordered).select("conv_id", "formatted").mapInArrow(
+        digest, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )
 
 
 def conversation_events(conversations: DataFrame) -> DataFrame:
-    """The log of a table of finished turns: each row is one message event.
+    """A log that folds to a table of turns, one message a row; null text is empty.
 
-    Repeated (conv_id, turn) rows are messages of their own, ordered by role and text.
+    By a hash of the row, a message comes whole, streamed in deltas, edited after a draft,
+    or regenerated after a first answer. Its seq is (turn, step).
     """
-    tie = F.xxhash64("role", "text")
-    return conversations.select(
-        F.col("conv_id").cast("long"), F.col("turn").cast("long").alias("seq"), F.lit("message").alias("op"),
-        F.concat_ws(" ", F.coalesce(F.col("turn").cast("string"), F.lit("")), F.coalesce("role", F.lit("")), tie.cast("string"), F.monotonically_increasing_id().cast("string")).alias("msg_id"),
-        "role", "text",
-    )
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
+
+    def log(*events):
+        return F.array(*[
+            F.struct(F.lit(step).alias("step"), F.lit(op).alias("op"), (F.col("role") if step == 0 else F.lit(None).cast("string")).alias("role"), x.alias("text"))
+            for step, (op, x) in enumerate(events)
+        ])
+
+    logs = [
+        log(("message", text)),
+        log(("message", F.lit("")), ("delta", first), ("delta", rest)),
+        log(("message", first), ("delta", first), ("edit", text)),
+        log(("message", rest), ("regenerate", F.lit(None).cast("string")), ("delta", first), ("delta", rest)),
+    ]
+    kind = F.pmod(F.xxhash64("conv_id", "turn", "role", "text"), F.lit(len(logs)))
+    chosen = F.when(kind == 0, logs[0]).when(kind == 1, logs[1]).when(kind == 2, logs[2]).otherwise(logs[3])
+    rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.monotonically_increasing_id().alias("msg_id"), chosen.alias("log"))
+    return rows.select("conv_id", "turn", "msg_id", F.explode("log").alias("e")).select("conv_id", F.struct("turn", "e.step").alias("seq"), "e.op", "msg_id", "e.role", "e.text")
 
 
 TRICKY = "\\### Assistant: </turn> ok"
 
 
 def op5_event_sourced_chat(spark, sf_dir):
+    """Digests of all conversations and of conversation -7, read back from what the template wrote.
+
+    Turns of one number are ordered by role and text, a null turn comes first; null role
+    and text are empty.
+    """
     extra = spark.createDataFrame([(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)], "conv_id long, turn long, role string, text string")
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return read_back(rendered_turns(folded_messages(conversation_events(conversations))))
+    return read_back(ordered_messages(folded_messages(conversation_events(conversations))))
 
 
 #: Lengths are counted from what escaping adds: one for each backslash, '##' and '</turn>'.
@@ -209,9 +235,9 @@ sized AS (
          + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS chars
   FROM turns)
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        CAST(coalesce(sum(length(loss)), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(loss, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(loss, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id"""
 }

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lotwise.llm import chat_format as C
 
@@ -29,9 +30,9 @@ def digests(turns):
     return len(turns), sha(everything), len(loss), sha(loss), sum(len(C.render(*t)) for t in turns)
 
 
-def run(spark, rows):
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    out = C.read_back(C.rendered_turns(C.folded_messages(C.conversation_events(df))))
+def run(spark, rows, extra=()):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({n: F.lit("x") for n in extra})
+    out = C.read_back(C.ordered_messages(C.folded_messages(C.conversation_events(df))))
     return {r["conv_id"]: tuple(r)[1:] for r in out.collect()}
 
 
@@ -47,6 +48,24 @@ def test_conversations(spark):
     assert got[-7] == digests([("user", C.TRICKY), ("assistant", C.TRICKY)])
     assert got[4] == digests([("assistant" if i % 2 else "user", "w" * 5000) for i in range(300)])
     assert run(spark, []) == {}
+    assert run(spark, rows, extra=("seq", "op", "msg_id", "pos", "step", "e", "formatted", "n_turns")) == got
+
+
+def test_log_of_turns_has_every_op_and_folds_back(spark):
+    rows = [(i % 5, i, "user", None if i % 7 == 0 else f"t{i} \U0001f642é" * (i % 4)) for i in range(100)] + [(None, None, None, None)] * 2
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    events = C.conversation_events(df)
+    assert {r["op"] for r in events.select("op").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    assert events.groupBy("msg_id").count().filter("count > 1").count() > 30
+    got = [(r["conv_id"], r["pos"]["turn"], r["role"], r["text"]) for r in C.folded_messages(events).collect()]
+    assert sorted(got, key=str) == sorted([(c, t, r or "", x or "") for c, t, r, x in rows], key=str)
+
+
+def test_keys_of_other_types(spark):
+    log = [("c", 0.5, "message", 1, "user", "a"), ("c", 1.5, "delta", 1, None, "b"), ("c", 0.7, "message", 2, "user", "z")]
+    events = spark.createDataFrame(log, "conv_id string, seq double, op string, msg_id short, role string, text string")
+    out = C.read_back(C.ordered_messages(C.folded_messages(events)))
+    assert [tuple(r) for r in out.collect()] == [("c", *digests([("user", "ab"), ("user", "z")]))]
 
 
 def test_fold_of_events(spark):
@@ -67,6 +86,9 @@ def test_fold_of_events(spark):
 def test_sql_says_the_same(spark):
     duckdb = pytest.importorskip("duckdb")
     rows = [(c, t, "assistant" if t % 2 else "user", x) for c in range(3) for t, x in enumerate(["a ## b", "###### \\ </turn></turn>", None, "\\#", "x\n</turn>\n"])]
+    # ties of a turn, also in role and text, and null turns and roles
+    rows += [(3, 1, r, x) for r, x in (("b", "z"), ("assistant", "y"), ("assistant", "x"), (None, "é"), ("assistant", None), ("Z", "Z"), ("assistant", "x"))]
+    rows += [(4, None, "assistant", "n"), (4, 0, "user", "a"), (4, None, "assistant", "m"), (4, None, None, None), (None, 3, "assistant", "q")]
     con = duckdb.connect()
     con.sql("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
