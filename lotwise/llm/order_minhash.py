@@ -15,6 +15,7 @@ two empty texts have likeness 1.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import partitions, table
+from .shared import partitions, sliced, table
 
 K = 8
 TUPLE = 2
@@ -110,37 +111,52 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.withColumn("fingerprint", of("text"))
 
 
+#: Sampled rows a run, from which runs are cut.
+SAMPLES = 64
+#: Order of rows: doc_id (null first); rows of one doc_id by CRC-32 of the text (null first), then as they lie.
+ORDER = ("doc_id", "_crc", "_row")
+LEAST = -(1 << 63)
+
+
+def _place() -> list:
+    """ORDER as numbers without nulls: a pandas column with nulls would be of floats."""
+    return [
+        F.col("doc_id").isNotNull().cast("int").alias("known"), F.coalesce("doc_id", F.lit(LEAST)).cast("long").alias("doc"),
+        F.coalesce("_crc", F.lit(-1)).cast("long").alias("crc"), F.col("_row").alias("row"),
+    ]
+
+
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
     """Rows dealt in runs of ascending doc_id, each with the first row of the next run.
 
-    doc_id, text, _run, _tail: a run's own rows, then one or more with _tail set, which
-    are copies of the first doc_id after it (of the first of all, after the last). Runs
-    are cut at quantiles of doc_id, so only `parts` ids go to the driver. doc_id is meant
-    to be unique: rows of one doc_id stay in one run.
+    doc_id, text, _crc, _row, _run, _tail: a run's own rows, then one with _tail set, which
+    is a copy of the first row after it (of the first of all, after the last). Runs are cut
+    at quantiles of a sample of ORDER, SAMPLES rows a run, so rows of one doc_id, or with
+    none, may fill many runs. doc_id is an integer; docs must be read alike each time.
     """
     spark = docs.sparkSession
-    known = docs.filter(F.col("doc_id").isNotNull())
-    cuts = np.array(sorted(set(known.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.2 / parts))), np.int64)
+    rows = docs.select("doc_id", "text", F.crc32("text").alias("_crc"), F.monotonically_increasing_id().alias("_row"))
+    share = max(1, docs.count() // (SAMPLES * parts))
+    sample = sorted(map(tuple, rows.filter(F.pmod(F.xxhash64("_row"), F.lit(share)) == 0).select(*_place()).collect()))
+    cuts = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
+    ids = np.array([doc for _, doc, _, _ in cuts], np.int64)
 
     @F.pandas_udf("int")
-    def run_of(ids: pd.Series) -> pd.Series:
-        # a null doc_id is before all others
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(cuts, ids.fillna(0).to_numpy(np.int64)))).astype("int32")
-
-    dealt = docs.select("doc_id", "text", run_of("doc_id").alias("_run"))
-    first = F.when(F.count(F.when(F.col("doc_id").isNull(), 1)) == 0, F.min("doc_id")).alias("least")
-    firsts = sorted(((r["_run"], r["least"]) for r in dealt.groupBy("_run").agg(first).collect()), key=lambda x: x[0])  # `parts` rows at most
-    heads = spark.createDataFrame(
-        [(firsts[i - 1][0], r, least) for i, (r, least) in enumerate(firsts)], f"_before int, _run int, _least {docs.schema['doc_id'].dataType.simpleString()}"
-    )
-    marked = dealt.join(
-        F.broadcast(heads.withColumnRenamed("_run", "_of")), (F.col("_run") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_least")), "left"
-    )
+    def run_of(known: pd.Series, doc: pd.Series, crc: pd.Series, row: pd.Series) -> pd.Series:
+        run, end = np.searchsorted(ids, doc.to_numpy()), np.searchsorted(ids, doc.to_numpy(), "right")
+        for i in np.flatnonzero(run < end).tolist():  # cuts within this doc_id
+            run[i] = bisect_right(cuts, (known[i], doc[i], crc[i], row[i]))
+        return pd.Series(run).astype("int32")
+
+    dealt = rows.select("*", run_of(*_place()).alias("_run"))
+    firsts = sorted((r["_run"], r["first"]["_row"]) for r in dealt.groupBy("_run").agg(F.min(F.struct(*ORDER)).alias("first")).collect())  # `parts` rows at most
+    heads = spark.createDataFrame([(firsts[i - 1][0], row) for i, (_, row) in enumerate(firsts)], "_before int, _first long")
     own = F.struct(F.col("_run").alias("r"), F.lit(False).alias("t"))
     copy = F.struct(F.col("_before").alias("r"), F.lit(True).alias("t"))
     return (
-        marked.withColumn("_to", F.explode(F.when(F.col("_before").isNull(), F.array(own)).otherwise(F.array(own, copy))))
-        .select("doc_id", "text", F.col("_to.r").alias("_run"), F.col("_to.t").alias("_tail"))
+        dealt.join(F.broadcast(heads), F.col("_row") == F.col("_first"), "left")
+        .withColumn("_to", F.explode(F.when(F.col("_before").isNull(), F.array(own)).otherwise(F.array(own, copy))))
+        .select("doc_id", "text", "_crc", "_row", F.col("_to.r").alias("_run"), F.col("_to.t").alias("_tail"))
     )
 
 
@@ -149,12 +165,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     The last floor(n/4) code points of a text are replaced by the first as many of the
     next document (or all it has). Texts shuffle once, to be sorted by doc_id in runs; a
-    task holds two texts at a time. A table of one row is followed by itself.
+    task holds a slice of them. A table of one row is followed by itself, an empty one gives
+    no rows; null text is empty, null doc_ids come first, and rows of one doc_id are in the
+    order of with_next().
     """
     parts = partitions(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    types = [pa.int64() if kind == "bigint" else pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def pair(a, b):
         doc, text, _, own = a
@@ -165,8 +183,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
 
     def walk(batches):
         held = None
-        for batch in batches:
-            out = []
+        for batch in sliced(batches):
+            out, doc_type = [], batch.schema.field("doc_id").type
             for doc, text, run, tail in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "_run", "_tail"))):
                 if held is not None and held[2] == run:
                     this = (doc, text or "", run, fingerprint(text or ""))
@@ -175,15 +193,16 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                 elif not tail:
                     held = (doc, text or "", run, fingerprint(text or ""))
             columns = list(zip(*out)) or [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [doc_type, *types])], names)
 
     return (
         with_next(docs, parts)
-        .repartition(parts, "_run")
-        .sortWithinPartitions("_run", "_tail", "doc_id", "text")
+        .repartitionById(parts, "_run")
+        .sortWithinPartitions("_run", "_tail", *ORDER)
         .mapInArrow(walk, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
     )
 
 
 def op7_order_minhash(spark, sf_dir):
+    """Fingerprints of every whole text, its edited text and the next document's."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))

@@ -1,9 +1,11 @@
 import hashlib
 import random
+import zlib
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lotwise.llm import order_minhash as O
 
@@ -64,7 +66,7 @@ def test_order_matters_to_it():
 
 
 def expected(rows):
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, zlib.crc32((r[1] or "").encode()), r[1] or ""))
     out = []
     for a, b in zip(order, order[1:] + order[:1]):
         t, n = a[1] or "", b[1] or ""
@@ -82,6 +84,16 @@ def test_odd_documents(odd_docs, odd_rows, clashing_docs, no_docs):
     assert run(no_docs) == []
 
 
+def test_rows_of_one_doc_id_fill_many_runs(spark, words):
+    rnd = random.Random(8)
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 9))) for _ in range(300)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, None if i % 50 == 0 else "same" if i % 4 == 0 else t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, O.edited_fingerprints(docs).collect()), key=str) == expected(rows)
+    runs = O.with_next(docs, 12).filter("not _tail").groupBy("_run").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).collect()
+    assert len(runs) == 12 and max(r["n"] for r in runs) < 60
+
+
 def test_one_document_follows_itself(spark):
     one = spark.createDataFrame([(5, "abcdefgh" * 4)], "doc_id long, text string")
     assert [tuple(r) for r in O.edited_fingerprints(one).collect()] == expected([(5, "abcdefgh" * 4)])
