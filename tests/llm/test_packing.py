@@ -69,53 +69,103 @@ def test_shards_carry_the_open_window(odd_docs, odd_rows, reference_ids, monkeyp
     assert sum(sum(n for _, n in s) < 128 for s in seqs.values()) <= 4
 
 
-def bm25(docs, seed, d):
-    n, mean = len(docs), sum(map(len, docs)) / len(docs)
-    df = Counter(t for x in docs for t in set(x))
+def corpus_of(docs):
+    df = Counter(int(t) for d in docs for t in set(np.asarray(d).tolist()))
+    counts = np.zeros(max(df) + 1, np.int64)
+    counts[list(df)] = list(df.values())
+    return P.Statistics(len(docs), sum(map(len, docs)) / len(docs), counts)
 
-    def weight(t, x):
-        tf = Counter(x)[t]
-        return np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * (P.K1 + 1) / (tf + P.K1 * (1 - P.B + P.B * len(x) / mean))
 
-    terms = sorted({t for t in docs[seed] if df[t] > 1}, key=lambda t: -weight(t, docs[seed]))[: P.QUERY_TERMS]
-    return sum(weight(t, docs[d]) for t in terms if t in docs[d])
+def bm25(corpus, seed, d):
+    """Score of d for all terms of seed, term by term."""
+    tf = Counter(d.tolist())
+    score = 0.0
+    for t in set(seed.tolist()) & set(tf):
+        idf = np.log1p((corpus.n - corpus.df[t] + 0.5) / (corpus.df[t] + 0.5))
+        score += idf * tf[t] * (P.K1 + 1) / (tf[t] + P.K1 * (1 - P.B + P.B * len(d) / corpus.mean))
+    return score
 
 
-def test_neighbours_like_brute_force():
-    rng = np.random.default_rng(2)
-    docs = [rng.zipf(1.5, rng.integers(5, 12)) % 50 for _ in range(40)]
-    index = P.Index(docs)
-    unused = rng.random(40) < 0.7
-    for seed in range(40):
-        mask = unused.copy()
-        mask[seed] = False
-        if len(set(docs[seed])) > P.QUERY_TERMS:
-            continue
-        found = index.neighbours(seed, mask).tolist()
-        scores = [bm25([d.tolist() for d in docs], seed, d) for d in range(40)]
-        assert set(found) == {d for d in range(40) if mask[d] and scores[d] > 1e-9}
-        assert all(scores[a] >= scores[b] - 1e-5 for a, b in zip(found, found[1:]))
-
-
-def test_neighbours_by_all_terms():
-    """Also those that share none of a long seed's best terms, by their whole score."""
+def samples():
     rng = np.random.default_rng(3)
+    yield [rng.zipf(1.5, rng.integers(5, 12)) % 50 for _ in range(40)]
     docs = [rng.zipf(1.3, rng.integers(30, 60)) % 200 for _ in range(40)]
-    docs[0] = np.append(np.repeat(np.arange(1000, 1040), 3), 2000)
-    docs += [docs[0][:60], np.array([2000])]
-    index = P.Index(docs)
-    found = index.neighbours(0, np.arange(len(docs)) > 0).tolist()
-    assert len(docs) - 1 in found and found[0] == len(docs) - 2
-    for seed in range(1, 40):
-        mask = np.arange(len(docs)) != seed
-        found = index.neighbours(seed, mask).tolist()
-        n, mean = len(docs), sum(map(len, docs)) / len(docs)
-        df = Counter(t for x in docs for t in set(x.tolist()))
-
-        def weight(t, x):
-            tf = x.count(t)
-            return np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * tf * (P.K1 + 1) / (tf + P.K1 * (1 - P.B + P.B * len(x) / mean))
-
-        scores = [sum(weight(t, d.tolist()) for t in set(docs[seed].tolist()) & set(d.tolist())) for d in docs]
-        assert set(found) == {d for d in range(len(docs)) if mask[d] and scores[d] > 0}
-        assert all(scores[a] >= scores[b] - 1e-4 for a, b in zip(found, found[1:]))
+    docs[0] = np.append(np.repeat(np.arange(1000, 1040), 3), 2000)  # more terms than any other
+    yield docs + [docs[0][:60], np.array([2000])]
+
+
+@pytest.mark.parametrize("share", [1, 4, 8, 1000])
+def test_neighbours_like_brute_force(share, monkeypatch):
+    """All unused documents that share any term, by the whole score, whichever form the index holds terms in."""
+    monkeypatch.setattr(P, "COMMON_SHARE", share)
+    rng = np.random.default_rng(2)
+    for docs in samples():
+        # a shard of a larger corpus
+        corpus = corpus_of(docs + [rng.zipf(1.2, 80) % 3000 for _ in range(60)])
+        index = P.Index(docs, corpus)
+        for seed in range(len(docs)):
+            unused = rng.random(len(docs)) < 0.8
+            unused[seed] = False
+            found = index.neighbours(seed, unused).tolist()
+            scores = [bm25(corpus, docs[seed], d) for d in docs]
+            assert set(found) == {d for d in range(len(docs)) if unused[d] and scores[d] > 0}
+            assert all(scores[a] >= scores[b] - 1e-3 for a, b in zip(found, found[1:]))
+
+
+def plain_fill(docs, window):
+    """Windows as lists of (document, start, length), by the rule, one decision at a time."""
+    corpus = corpus_of(docs)
+    unused, windows, open_ = set(range(len(docs))), [[]], 0
+
+    def put(d, start):
+        nonlocal open_
+        n = min(len(docs[d]) - start, window - open_)
+        windows[-1].append((d, start, n))
+        open_ += n
+        if open_ == window:
+            windows.append([])
+            open_ = 0
+        return start + n
+
+    seed = None
+    while unused or seed is not None:
+        if seed is None:
+            seed = min(unused)
+            unused.remove(seed)
+        at = 0
+        while at < len(docs[seed]):
+            at = put(seed, at)
+        last, seed = seed, None
+        if not open_:
+            continue
+        scored = sorted((-bm25(corpus, docs[last], docs[d]), d) for d in unused if bm25(corpus, docs[last], docs[d]) > 0)
+        for _, d in scored:
+            if len(docs[d]) <= window - open_:
+                put(d, 0)
+                unused.remove(d)
+                if not open_:
+                    break
+        left = [d for _, d in scored if d in unused]
+        if open_ and left:
+            seed = left[0]
+            unused.remove(seed)
+    return [w for w in windows if w]
+
+
+def test_fill_like_a_plain_one():
+    rng = np.random.default_rng(7)
+    for _ in range(5):
+        docs = [rng.zipf(1.4, rng.integers(3, 90)) % 300 for _ in range(60)]
+        found = defaultdict(list)
+        for doc, start, ids, n, sequence, offset in P.Packer(0, corpus_of(docs), 64).pack(list(enumerate(docs))):
+            assert n == len(docs[doc]) and offset == sum(x[2] for x in found[sequence])
+            assert ids.tolist() == docs[doc][start : start + len(ids)].tolist()
+            found[sequence].append((doc, start, len(ids)))
+        assert [found[k] for k in sorted(found)] == plain_fill(docs, 64)
+
+
+def test_statistics_cover_all_documents(spark, odd_docs, odd_rows, no_docs, reference_ids):
+    got = P.statistics(P.tokenised(odd_docs))
+    want = corpus_of([np.array(reference_ids(r[1])) for r in odd_rows])
+    assert got.n == want.n and abs(got.mean - want.mean) < 1e-9 and got.df.tolist() == want.df.tolist()
+    assert P.statistics(P.tokenised(no_docs)).n == 0
