@@ -70,9 +70,9 @@ def json_ld(html: Column, type_name: str) -> Column:
 
 def cards(results: Column) -> Column:
     """The cards of a result list and of its groups, in order; other entries are skipped."""
-    none = F.filter(F.transform(results, lambda r: r["polycard"]), lambda c: F.lit(False))
 
     def of_entry(r: Column) -> Column:
+        none = F.slice(F.array(r["polycard"]), 1, 0)  # empty, of the cards' type
         grouped = F.transform(F.filter(r["items"], lambda i: i["id"] == CARD_ID), lambda i: i["polycard"])
         return F.when(r["id"] == CARD_ID, F.array(r["polycard"])).when(r["id"] == GROUP_ID, F.coalesce(grouped, none)).otherwise(none)
 

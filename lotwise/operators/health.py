@@ -6,6 +6,7 @@ by key, sorted by time and folded as they stream past, with a constant state per
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -51,29 +52,44 @@ def error_rates(events: DataFrame, window_us: int = WINDOW_US, min_samples: int
 
 
 def breaker_openings(
-    events: DataFrame, window_us: int = WINDOW_US, min_samples: int = MIN_SAMPLES, threshold: float = THRESHOLD, pause_us: int = PAUSE_US
+    events: DataFrame, window_us: int = WINDOW_US, min_samples: int = MIN_SAMPLES, threshold: float = THRESHOLD, pause_us: int = PAUSE_US,
+    closes: DataFrame | None = None,
 ) -> DataFrame:
     """key, us, rate, open_until_us of each opening.
 
     The breaker opens when the rate is above the threshold (not at it) and it isn't open;
-    it is open while open_until is after now. Only events over the threshold are folded.
+    it is open while open_until is after now. closes (key, us) are moments at which someone
+    closes it, after the events of that moment: open_until ends there, and what is over the
+    threshold later opens it anew; counted events stay. Only events over the threshold and
+    closes are folded.
     """
-    over = error_rates(events, window_us, min_samples).filter(F.col("rate") > threshold).select("key", "us", "rate").distinct()
+    rates = error_rates(events, window_us, min_samples)
+    over = rates.filter(F.col("rate") > threshold).select("key", "us", "rate").distinct().withColumn("closes", F.lit(False))
+    if closes is not None:
+        over = over.unionByName(closes.select("key", "us", F.lit(None).cast("double").alias("rate"), F.lit(True).alias("closes")).filter("us is not null"))
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, until = object(), None
+        key, until, opened = object(), None, None
         for pdf in batches:
-            keep = []
-            for k, us in zip(pdf["key"], pdf["us"]):
+            out = []
+            for k, us, rate, shut in zip(pdf["key"], pdf["us"], pdf["rate"], pdf["closes"]):
                 if k != key:
-                    key, until = k, None
-                opens = until is None or us >= until
-                until = us + pause_us if opens else until
-                keep.append(opens)
-            yield pdf[keep].assign(open_until_us=lambda x: x["us"] + pause_us)
+                    if opened:
+                        out.append(opened)
+                    key, until, opened = k, None, None
+                if shut and opened and us < opened[3]:
+                    opened, until = (*opened[:3], us), us
+                elif not shut and (until is None or us >= until):
+                    if opened:
+                        out.append(opened)
+                    until = us + pause_us
+                    opened = (k, us, rate, until)
+            yield pd.DataFrame(out, columns=["key", "us", "rate", "open_until_us"])
+        if opened:
+            yield pd.DataFrame([opened], columns=["key", "us", "rate", "open_until_us"])
 
     kind = events.schema["key"].dataType.simpleString()
-    return over.repartition("key").sortWithinPartitions("key", "us").mapInPandas(fold, f"key {kind}, us long, rate double, open_until_us long")
+    return over.repartition("key").sortWithinPartitions("key", "us", "closes").mapInPandas(fold, f"key {kind}, us long, rate double, open_until_us long")
 
 
 def is_open(open_until_us: Column, now_us: Column) -> Column:
@@ -131,13 +147,24 @@ def backoff_median(attempt: Column, base_s: float = BACKOFF_BASE_S, max_s: float
     return F.least(F.lit(base_s) * F.pow(F.lit(2.0), attempt), F.lit(max_s))
 
 
-def lognormal_delay(median: Column, sigma: float = SIGMA, seed: int = 0) -> Column:
+def _uniform(key: Column, seed: int, draw: int) -> Column:
+    """A number above 0 and at most 1 out of 48 bits of a hash of the key."""
+    digest = F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed)), F.lit(str(draw))))
+    return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("long") + 1) / F.lit(float(1 << 48))
+
+
+def normal_draw(key: Column, seed: int = 0) -> Column:
+    """A standard normal number that follows the key and the seed, so that a row is delayed alike each time it is read."""
+    return F.sqrt(F.lit(-2.0) * F.ln(_uniform(key, seed, 0))) * F.cos(F.lit(2 * math.pi) * _uniform(key, seed, 1))
+
+
+def lognormal_delay(median: Column, key: Column, sigma: float = SIGMA, seed: int = 0) -> Column:
     """A delay whose logarithm is normal around the median's."""
-    return F.exp(F.ln(median) + F.lit(sigma) * F.randn(seed))
+    return F.exp(F.ln(median) + F.lit(sigma) * normal_draw(key, seed))
 
 
-def backoff_with_jitter(attempt: Column, seed: int = 0, sigma: float = SIGMA) -> Column:
-    return lognormal_delay(backoff_median(attempt), sigma, seed)
+def backoff_with_jitter(attempt: Column, key: Column, seed: int = 0, sigma: float = SIGMA) -> Column:
+    return lognormal_delay(backoff_median(attempt), key, sigma, seed)
 
 
 def retry_log(attempts: DataFrame) -> DataFrame:

@@ -159,7 +159,7 @@ SELECT 'cars' AS source, 'L' || p_partkey AS source_listing_key, 'https://cars.e
        CASE WHEN p_partkey % 2 = 0 THEN 'USD' ELSE 'ARS' END AS price_currency, p_size || '/100 Km' AS attributes_raw,
        CASE WHEN p_partkey % 6 <> 0 THEN p_type END AS location_raw,
        CASE WHEN p_partkey % 3 = 0 THEN '10 %' END AS financing_initial_payment,
-       'cars/2024-01-01/' || p_brand || '-' || p_size || '.html.gz' AS s3_key, 200 AS http_status, '1.0.0' AS parser_version
+       'cars/2024-01-01/' || p_brand || '-' || p_size || '-' || (p_partkey // 50000) || '.html.gz' AS s3_key, 200 AS http_status, '1.0.0' AS parser_version
 FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0""")
 def summary_rows(spark, sf_dir):
     rows = listing.summary_rows(synth.listing_page(_table(spark, sf_dir, "part")), "cars")
@@ -222,19 +222,29 @@ def quarantine_reasons(spark, sf_dir):
     return found.groupBy(variant, "reason").agg(F.count("*").alias("pages"))
 
 
-@query("""
-SELECT p_partkey, CAST(c.pos AS INTEGER) AS pos, 'https://cars.example.com/' || CASE c.pos WHEN 1 THEN 'next' ELSE 'abs' END || p_partkey AS link
-FROM part CROSS JOIN (VALUES (1), (4)) c(pos)""")
-def pagination_links(spark, sf_dir):
+def _paged(spark, sf_dir) -> DataFrame:
     key = F.col("p_partkey").cast("string")
     nodes = F.concat(
         F.lit('[{"value":"1","url":"/x","is_actual_page":true},{"value":"2","url":"/next'), key, F.lit('"},"plain",{"value":"3","url":7},{"url":"https://cars.example.com/abs'), key, F.lit('"}]'),
     )
-    pages = synth.raw_pages(_table(spark, sf_dir, "part"), "p_partkey", synth.search_page(F.lit("[]"), nodes))
-    links = listing.pagination_links(pages)
+    return synth.raw_pages(_table(spark, sf_dir, "part"), "p_partkey", synth.search_page(F.lit("[]"), nodes))
+
+
+@query("""
+SELECT p_partkey, CAST(c.pos AS INTEGER) AS pos, 'https://cars.example.com/' || CASE c.pos WHEN 1 THEN 'next' ELSE 'abs' END || p_partkey AS link
+FROM part CROSS JOIN (VALUES (1), (4)) c(pos)""")
+def pagination_links(spark, sf_dir):
+    links = listing.pagination_links(_paged(spark, sf_dir))
     return links.select(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("p_partkey"), "pos", "link")
 
 
+@query("""
+SELECT p_partkey, CAST(c.pos AS INTEGER) AS pos, c.reason FROM part CROSS JOIN (VALUES (2, 'not an object'), (3, 'no string url')) c(pos, reason)""")
+def skipped_nodes(spark, sf_dir):
+    skipped = listing.skipped_nodes(_paged(spark, sf_dir))
+    return skipped.select(F.regexp_extract("url", r"(\d+)$", 1).cast("long").alias("p_partkey"), "pos", "reason")
+
+
 @query("""
 SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'https://' || regexp_replace(url, '^https?://', '') ELSE url END AS url FROM pages""")
 def normalize_url(spark, sf_dir):
@@ -304,10 +314,32 @@ def breaker_openings(spark, sf_dir):
     return health.breaker_openings(_events(spark, sf_dir), **_RATE, pause_us=2 * _DAY).withColumn("rate", F.round("rate", 6))
 
 
-@query(_OPENINGS_SQL + "SELECT key, us, 'breaker opened for ' || key AS subject FROM fold WHERE opened")
+@query(_OPENINGS_SQL + "SELECT key, us, 'breaker opened for ' || key || ' at rate ' || CAST(round(rate, 4) AS VARCHAR) AS message FROM fold WHERE opened")
 def opening_alerts(spark, sf_dir):
-    alerts = health.opening_alerts(health.breaker_openings(_events(spark, sf_dir), **_RATE, pause_us=2 * _DAY))
-    return alerts.select("key", "us", F.regexp_extract("message", "^(breaker opened for .*) at rate", 1).alias("subject"))
+    return health.opening_alerts(health.breaker_openings(_events(spark, sf_dir), **_RATE, pause_us=2 * _DAY))
+
+
+_CLOSED_SQL = f"""
+WITH RECURSIVE {_RATES_SQL},
+steps AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY us, closes) AS n FROM (
+    SELECT DISTINCT key, us, fails / CAST(total AS DOUBLE) AS rate, false AS closes FROM rates WHERE total >= 10 AND fails / CAST(total AS DOUBLE) > 0.3
+    UNION ALL SELECT user_id, epoch_us(ts), NULL, true FROM events WHERE event_type = 'signup')),
+fold(key, us, rate, n, closes, opened, until) AS (
+  SELECT key, us, rate, n, closes, NOT closes, CASE WHEN NOT closes THEN us + {2 * _DAY} END FROM steps WHERE n = 1
+  UNION ALL
+  SELECT s.key, s.us, s.rate, s.n, s.closes, NOT s.closes AND s.us >= coalesce(f.until, s.us),
+         CASE WHEN s.closes THEN least(s.us, f.until) WHEN s.us >= coalesce(f.until, s.us) THEN s.us + {2 * _DAY} ELSE f.until END
+  FROM steps s JOIN fold f ON s.key = f.key AND s.n = f.n + 1)
+"""
+
+
+@query(_CLOSED_SQL + f"""
+SELECT o.key, o.us, round(o.rate, 6) AS rate, least(o.us + {2 * _DAY}, (SELECT min(c.us) FROM steps c WHERE c.closes AND c.key = o.key AND c.us >= o.us)) AS open_until_us
+FROM fold o WHERE o.opened""")
+def breaker_closings(spark, sf_dir):
+    closes = _table(spark, sf_dir, "events").filter("event_type = 'signup'").select(F.col("user_id").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return health.breaker_openings(_events(spark, sf_dir), **_RATE, pause_us=2 * _DAY, closes=closes).withColumn("rate", F.round("rate", 6))
 
 
 @query(_OPENINGS_SQL + """
@@ -339,9 +371,19 @@ def backoff_schedule(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", health.backoff_median(F.col("event_id") % 8).alias("median_s"))
 
 
-@query()
+def _drawn_sql(key: str, seed: int) -> str:
+    u = [f"(CAST('0x' || substr(md5({key} || ':{seed}:{d}'), 1, 12) AS BIGINT) + 1) / {float(1 << 48)!r}" for d in (0, 1)]
+    return f"sqrt(-2.0 * ln({u[0]})) * cos(2 * pi() * {u[1]})"
+
+
+@query(f"SELECT event_id, round(least(5.0 * power(2.0, event_id % 3), 300.0) * exp(0.4 * {_drawn_sql('event_id', 7)}), 6) AS delay_s FROM events")
 def backoff_jitter(spark, sf_dir):
-    return _table(spark, sf_dir, "events").select("event_id", health.backoff_with_jitter(F.col("event_id") % 3, seed=7).alias("delay_s"))
+    return _table(spark, sf_dir, "events").select("event_id", F.round(health.backoff_with_jitter(F.col("event_id") % 3, F.col("event_id"), seed=7), 6).alias("delay_s"))
+
+
+@query(f"SELECT event_id, round(1.0 * exp(0.4 * {_drawn_sql('event_id', 3)}), 6) AS delay_s FROM events")
+def request_jitter(spark, sf_dir):
+    return _table(spark, sf_dir, "events").select("event_id", F.round(health.lognormal_delay(F.lit(1.0), F.col("event_id"), seed=3), 6).alias("delay_s"))
 
 
 def _attempts(spark, sf_dir) -> DataFrame:
@@ -368,12 +410,14 @@ def retry_schedule(spark, sf_dir):
 
 
 def _edges(spark, sf_dir) -> DataFrame:
+    """Links between as many pages as there are customers, and some more that link nowhere."""
+    pages = _table(spark, sf_dir, "customer").count() * 9 // 8
     return _table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("url"), F.concat(F.lit("p"), (F.col("o_orderkey") * 31 % 1700).cast("string")).alias("link")
+        F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("url"), F.concat(F.lit("p"), (F.col("o_orderkey") * 31 % pages).cast("string")).alias("link")
     )
 
 
-_EDGES_SQL = "edges AS (SELECT DISTINCT 'p' || o_custkey AS url, 'p' || (o_orderkey * 31 % 1700) AS link FROM orders)"
+_EDGES_SQL = "edges AS (SELECT DISTINCT 'p' || o_custkey AS url, 'p' || (o_orderkey * 31 % (SELECT count(*) * 9 // 8 FROM customer)) AS link FROM orders)"
 _SEEDS = ("p1", "p2", "p3")
 
 
@@ -493,13 +537,19 @@ def success_predicate(spark, sf_dir):
 
 
 @query("""
-SELECT p_partkey AS k, CASE p_partkey % 4 WHEN 0 THEN 'sent' WHEN 1 THEN 'unroutable' WHEN 2 THEN 'refused' ELSE 'pending' END AS status FROM part""")
+SELECT p_brand AS brand, CASE p_partkey % 4 WHEN 0 THEN 'sent' WHEN 1 THEN 'unroutable' WHEN 2 THEN 'refused' ELSE 'pending' END AS status, count(*) AS messages
+FROM part GROUP BY ALL""")
 def outbox_status(spark, sf_dir):
-    found = outbox.envelopes(_table(spark, sf_dir, "part").select(F.lit("detail").alias("item_type"), "p_partkey", "p_brand"))
-    key = F.get_json_object("body", "$.p_partkey").cast("long")
-    outcome = F.when(key % 4 == 0, "sent").when(key % 4 == 1, "unroutable").when(key % 4 == 2, "refused")
-    outcomes = found.select("body", outcome.alias("outcome")).filter("outcome is not null")
-    return outbox.with_outcome(found, outcomes).select(key.alias("k"), "status")
+    """Messages with one body each get their own outcome."""
+    box = scratch(spark, "outbox")
+    part = _table(spark, sf_dir, "part")
+    for k, outcome in enumerate((*outbox.OUTCOMES, None)):  # the relay reports on each quarter alike
+        items = part.filter(F.col("p_partkey") % 4 == k).select(F.lit("detail").alias("item_type"), "p_brand")
+        outbox.append_outbox(outbox.envelopes(items, run=str(outcome)), box)
+    found = spark.read.parquet(box)
+    reports = found.select("message_id", F.regexp_extract("message_id", "^([a-z]+|None)-", 1).alias("outcome")).filter("outcome <> 'None'")
+    brand = F.get_json_object("body", "$.p_brand").alias("brand")
+    return outbox.with_outcome(found, reports).groupBy(brand, "status").agg(F.count("*").alias("messages"))
 
 
 def _drained(stream: DataFrame, name: str) -> DataFrame:
@@ -514,9 +564,9 @@ def _drained(stream: DataFrame, name: str) -> DataFrame:
 def _event_stream(spark, sf_dir) -> DataFrame:
     path = f"{sf_dir}/events.parquet"
     # as a pattern, as a stream's path must be a folder or a pattern, and the table may be a file
-    events = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{sf_dir}/events.parque[t]")
+    events = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 100).parquet(f"{sf_dir}/events.parque[t]")
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return events.select(F.col("user_id").cast("string").alias("key"), us.alias("us"), (F.col("event_type") == "error").alias("failed"))
+    return events.select(F.col("user_id").cast("string").alias("key"), us.alias("us"), (F.col("event_type") == "error").alias("failed"), (F.col("event_type") == "signup").alias("signup"))
 
 
 @query(_OPENINGS_SQL + "SELECT CAST(key AS VARCHAR) AS key, us, round(rate, 6) AS rate, until AS open_until_us FROM fold WHERE opened")
@@ -525,6 +575,15 @@ def stream_breaker_openings(spark, sf_dir):
     return _drained(opened, "openings").withColumn("rate", F.round("rate", 6))
 
 
+@query(_CLOSED_SQL + f"SELECT CAST(key AS VARCHAR) AS key, us, round(rate, 6) AS rate, us + {2 * _DAY} AS open_until_us FROM fold WHERE opened")
+def stream_breaker_closings(spark, sf_dir):
+    events = _event_stream(spark, sf_dir)
+    closes = events.filter("signup").withColumn("closes", F.lit(True))
+    both = events.withColumn("closes", F.lit(False)).unionByName(closes)
+    opened = stream_health.stream_breaker_openings(both, **_RATE, pause_us=2 * _DAY)
+    return _drained(opened, "openings").withColumn("rate", F.round("rate", 6))
+
+
 @query(SQL["token_bucket_waits"].replace("SELECT key, us, seq, round(wait_s, 4)", "SELECT CAST(key AS VARCHAR) AS key, us, round(wait_s, 4)"))
 def stream_token_bucket(spark, sf_dir):
     asked = _event_stream(spark, sf_dir).select("key", "us")

@@ -54,7 +54,9 @@ def typed(kind: str, payload: Column) -> Column:
 
 
 def listing_page(part: DataFrame) -> DataFrame:
-    """One page for each brand and size: all its parts as cards, the larger half in a group.
+    """One page for each brand, size and range of part keys: its parts as cards, the even ones in a group.
+
+    A range of keys has about 40 parts of a brand and size, so pages don't grow with the table.
 
     By p_partkey, a fifth are adverts in three spellings, a seventh are new, and price
     complements have three shapes.
@@ -80,8 +82,8 @@ def listing_page(part: DataFrame) -> DataFrame:
         typed("location", F.when(k % 6 != 0, json_of(text=F.col("p_type")))),
         typed("title", json_of(text=F.col("p_name"))),
     )
-    cards = part.select("p_brand", "p_size", "p_partkey", (F.col("p_partkey") % 2 == 0).alias("grouped"), one.alias("card"))
-    listed = cards.groupBy("p_brand", "p_size").agg(
+    cards = part.select("p_brand", "p_size", F.floor(k / 50_000).alias("_range"), "p_partkey", (F.col("p_partkey") % 2 == 0).alias("grouped"), one.alias("card"))
+    listed = cards.groupBy("p_brand", "p_size", "_range").agg(
         F.array_sort(F.collect_list(F.when(~F.col("grouped"), F.struct("p_partkey", "card")))).alias("top"),
         F.array_sort(F.collect_list(F.when(F.col("grouped"), F.struct("p_partkey", "card")))).alias("group"),
     )
@@ -91,7 +93,7 @@ def listing_page(part: DataFrame) -> DataFrame:
         F.when(F.size("group") > 0, F.concat(F.lit(","), F.array_join("group.card", ","))).otherwise(F.lit("")), F.lit("]}]"),
     )
     results = F.regexp_replace(results, r"\},,\{", "},{")
-    return raw_pages(listed.withColumn("_key", F.concat("p_brand", F.lit("-"), F.col("p_size").cast("string"))), "_key", search_page(results))
+    return raw_pages(listed.withColumn("_key", F.concat_ws("-", "p_brand", F.col("p_size").cast("string"), F.col("_range").cast("string"))), "_key", search_page(results))
 
 
 def detail_page(supplier: DataFrame) -> DataFrame:

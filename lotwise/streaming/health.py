@@ -1,8 +1,11 @@
 """The breaker and the token bucket as keyed streaming state.
 
 State is bounded: a breaker keeps the events of one window and when it is open until, a
-bucket two numbers. Within a batch a key's events are sorted by time. An event older than
-what its key has already seen is late and is dropped; that rule is this package's own.
+bucket two numbers. Keys that nothing comes for any more are forgotten, by event time:
+the watermark is the latest event of any key less `delay_us`.
+Within a batch a key's events are sorted by time, so a batch bounds what one task holds
+(maxFilesPerTrigger or maxBytesPerTrigger of the source). An event older than what its key
+has already seen is late and is dropped; that rule is this package's own.
 """
 
 from __future__ import annotations
@@ -12,57 +15,97 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import health as H
 
 
+#: How far keys may lag behind each other.
+DELAY_US = 600_000_000
+
+
+def _timed(rows: DataFrame, delay_us: int) -> DataFrame:
+    return rows.withColumn("_at", F.timestamp_micros("us")).withWatermark("_at", f"{delay_us} microseconds")
+
+
+def _forget(state: GroupState, us: int) -> None:
+    """Let the key's state time out when the watermark is past that moment."""
+    state.setTimeoutTimestamp(max(us // 1000 + 1, state.getCurrentWatermarkMs() + 1, 1))
+
+
 def stream_breaker_openings(
-    events: DataFrame, window_us: int = H.WINDOW_US, min_samples: int = H.MIN_SAMPLES, threshold: float = H.THRESHOLD, pause_us: int = H.PAUSE_US
+    events: DataFrame, window_us: int = H.WINDOW_US, min_samples: int = H.MIN_SAMPLES, threshold: float = H.THRESHOLD, pause_us: int = H.PAUSE_US,
+    delay_us: int = DELAY_US,
 ) -> DataFrame:
-    """key, us, rate, open_until_us of openings over a stream of (key string, us, failed)."""
+    """key, us, rate, open_until_us of openings over a stream of (key string, us, failed[, closes]).
+
+    A row with closes set closes its key's breaker, after the events of its moment; it
+    isn't counted. open_until_us is as the breaker opened. A key's state goes when nothing
+    has come for twice the window and the breaker isn't open any more.
+    """
+    if "closes" not in events.columns:
+        events = events.withColumn("closes", F.lit(False))
 
     def step(key: tuple[Any], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, failed, until = state.get if state.exists else ([], [], -1)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        times, failed, until = state.get if state.exists else ([], [], None)
         held = list(zip(times, failed))
         last = times[-1] if times else None
-        new = pd.concat(list(batches))
-        fresh = sorted({(int(u), bool(f)) for u, f in zip(new["us"], new["failed"]) if last is None or u >= last} - set(held))
+        new = pd.concat([pdf[["us", "failed", "closes"]] for pdf in batches]).dropna(subset=["us"])
+        fresh = {(int(u), bool(c), None if c else bool(f)) for u, f, c in zip(new["us"], new["failed"], new["closes"].fillna(False)) if last is None or u >= last}
+        fresh = sorted(fresh - {(u, False, f) for u, f in held}, key=lambda e: e[:2])
         out = []
-        for i, (us, _) in enumerate(fresh):
-            held.append(fresh[i])
-            if i + 1 < len(fresh) and fresh[i + 1][0] == us:
+        for i, (us, closes, fail) in enumerate(fresh):
+            if closes:
+                until = None
+                continue
+            held.append((us, fail))
+            if i + 1 < len(fresh) and fresh[i + 1][:2] == (us, False):
                 continue  # events of one instant count together
             held = [e for e in held if e[0] > us - window_us]
             rate = sum(f for _, f in held) / len(held)
-            if len(held) >= min_samples and rate > threshold and us >= until:
+            if len(held) >= min_samples and rate > threshold and (until is None or us >= until):
                 until = us + pause_us
                 out.append((key[0], us, rate, until))
         state.update(([u for u, _ in held], [f for _, f in held], until))
+        _forget(state, max([u for u, _ in held[-1:]] + [until or 0]) + 2 * window_us)
         yield pd.DataFrame(out, columns=["key", "us", "rate", "open_until_us"])
 
-    return events.groupBy("key").applyInPandasWithState(
-        step, "key string, us long, rate double, open_until_us long", "times array<long>, failed array<boolean>, until long", "append", GroupStateTimeout.NoTimeout
+    return _timed(events, delay_us).groupBy("key").applyInPandasWithState(
+        step, "key string, us long, rate double, open_until_us long", "times array<long>, failed array<boolean>, until long", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
-def stream_token_bucket(requests: DataFrame, capacity: float = H.CAPACITY, rate: float = H.REFILL_PER_S, idle_s: float = H.IDLE_S) -> DataFrame:
-    """key, us, wait_s over a stream of (key string, us)."""
+def stream_token_bucket(
+    requests: DataFrame, capacity: float = H.CAPACITY, rate: float = H.REFILL_PER_S, idle_s: float = H.IDLE_S, delay_us: int = DELAY_US
+) -> DataFrame:
+    """key, us, wait_s over a stream of (key string, us).
+
+    A bucket that nothing has come for in idle_s seconds is full again, and forgotten.
+    """
 
     def step(key: tuple[Any], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        tokens, last = state.get if state.exists else (capacity, -1)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        tokens, last = state.get if state.exists else (capacity, None)
         out = []
-        for us in sorted(int(u) for pdf in batches for u in pdf["us"]):
-            if last >= 0 and us < last:
+        for us in sorted(int(u) for pdf in batches for u in pdf["us"].dropna()):
+            if last is not None and us < last:
                 continue
-            elapsed = (us - last) / 1e6 if last >= 0 else 0.0
+            elapsed = (us - last) / 1e6 if last is not None else 0.0
             tokens = capacity if elapsed > idle_s else min(capacity, tokens + elapsed * rate)
             last = us
             out.append((key[0], us, 0.0 if tokens >= 1 else (1 - tokens) / rate))
             tokens -= 1 if tokens >= 1 else 0
         state.update((tokens, last))
+        if last is not None:
+            _forget(state, last + int(idle_s * 1e6))
         yield pd.DataFrame(out, columns=["key", "us", "wait_s"])
 
-    return requests.groupBy("key").applyInPandasWithState(
-        step, "key string, us long, wait_s double", "tokens double, last long", "append", GroupStateTimeout.NoTimeout
+    return _timed(requests, delay_us).groupBy("key").applyInPandasWithState(
+        step, "key string, us long, wait_s double", "tokens double, last long", "append", GroupStateTimeout.EventTimeTimeout
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.detail import detail_rows
-from ..sinks.outbox import envelopes, outbox_writer
+from ..sinks.outbox import outbox_writer
 
 
 def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -19,5 +19,5 @@ def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 def publish_details(pages: DataFrame, source: str, outbox: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Parse detail pages as they land and write their envelopes to the outbox."""
     items = detail_rows(pages, source).withColumn("item_type", F.lit("detail"))
-    writer = envelopes(items).writeStream.foreachBatch(outbox_writer(outbox)).option("checkpointLocation", checkpoint)
+    writer = items.writeStream.foreachBatch(outbox_writer(outbox)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

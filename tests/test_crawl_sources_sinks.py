@@ -70,8 +70,12 @@ def test_envelopes(spark, tmp_path):
     assert (r["exchange"], r["routing_key"], r["status"]) == ("listings", "listing.observed", "pending")
     path = str(tmp_path / "outbox")
     outbox.append_outbox(found, path)
-    outcomes = spark.createDataFrame([(r["body"], "unroutable")], "body string, outcome string")
-    assert [x["status"] for x in outbox.with_outcome(spark.read.parquet(path), outcomes).collect()] == ["unroutable"]
+    outbox.append_outbox(outbox.envelopes(rows), path)  # the same body again
+    ids = [x["message_id"] for x in spark.read.parquet(path).collect()]
+    assert len(set(ids)) == 2
+    outcomes = spark.createDataFrame([(ids[0], "sent"), (ids[0], "unroutable"), ("no such", "sent")], "message_id string, outcome string")
+    status = {x["message_id"]: x["status"] for x in outbox.with_outcome(spark.read.parquet(path), outcomes).collect()}
+    assert status == {ids[0]: "unroutable", ids[1]: "pending"}
     outbox.write_json_lines(rows, str(tmp_path / "lines"))
     outbox.write_json_lines(rows, str(tmp_path / "lines"))
     assert spark.read.json(str(tmp_path / "lines")).count() == 2

@@ -65,6 +65,18 @@ def test_edges(spark):
     assert H.breaker_openings(frame(spark, [("k", 5, True)] * 20)).count() == 0
 
 
+def test_closing(spark):
+    """A close ends the opening; what is over the threshold after it opens again at once."""
+    log = frame(spark, [("k", i * S, True) for i in range(14)] + [("j", i * S, True) for i in range(10)])
+    closes = spark.createDataFrame([("k", 10 * S), ("k", 12 * S), ("j", 2 * S), ("i", 0), (None, 3), ("k", None)], "key string, us long")
+    got = sorted(map(tuple, H.breaker_openings(log, closes=closes).select("key", "us", "open_until_us").collect()))
+    # the close at 10 s comes after that moment's event, so the event at 11 s opens it again
+    assert got == [("j", 9 * S, 9 * S + H.PAUSE_US), ("k", 9 * S, 10 * S), ("k", 11 * S, 12 * S), ("k", 13 * S, 13 * S + H.PAUSE_US)]
+    opened = H.breaker_openings(log, closes=closes)
+    asked = spark.createDataFrame([("k", 10 * S - 1), ("k", 10 * S), ("k", 14 * S)], "key string, us long")
+    assert [tuple(r) for r in H.admitted(asked, opened).collect()] == [("k", 10 * S)]
+
+
 def test_gate_and_alerts(spark):
     log = frame(spark, [("k", i * S, i % 2 == 0) for i in range(10)])
     openings = H.breaker_openings(log)
@@ -87,7 +99,7 @@ def test_backoff(spark):
     n = spark.range(8)
     assert [r[0] for r in n.select(H.backoff_median(F.col("id"))).collect()] == [5, 10, 20, 40, 80, 160, 300, 300]
     for k in (0, 2):
-        drawn = spark.range(20_000).select(H.backoff_with_jitter(F.lit(k), seed=1).alias("d"))
+        drawn = spark.range(20_000).select(H.backoff_with_jitter(F.lit(k), F.col("id"), seed=1).alias("d"))
         middle, least = drawn.agg(F.median("d"), F.min("d")).first()
         assert abs(middle / (5 * 2**k) - 1) < 0.03 and least > 0
 
