@@ -1,11 +1,11 @@
 """Training-order materialisation: token sequences in fixed-stride shards, at permuted slots.
 
-Documents are tokenised into one stream of ids, in the order in which partitions read them,
-and cut into sequences of SEQUENCE ids. A keyed Feistel network with cycle-walking permutes
+Documents are tokenised into one stream of ids, in order of doc_id, and cut into sequences
+of SEQUENCE ids. A keyed Feistel network with cycle-walking permutes
 the sequence numbers; what it gives is the sequence's slot in training order, known without
 a shuffle, a table or a look at other sequences, and invertible. Each range of SHARD_RECORDS
 slots is one partition, sorted by slot and written as one file of records of equal length.
-A reader that stopped before slot s goes on at file s // SHARD_RECORDS, byte
+Slots are written in PASSES, so that only a part of the ids is in a shuffle at a time. A reader that stopped before slot s goes on at file s // SHARD_RECORDS, byte
 s % SHARD_RECORDS * stride.
 """
 
@@ -21,9 +21,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.lineage import delete, scratch
+from ..plans.lineage import delete, scratch, shuffles_dropped
 from .packing import public_byte_bpe
-from .shared import partitions, table
+from .shared import partitions, sliced, table
 
 SEQUENCE = 2048
 #: The vocabulary's own end of text, after every document and in the last sequence's padding.
@@ -32,6 +32,8 @@ END_ID = 50256
 ID_BYTES = 2
 #: Records of a file, but for the last.
 SHARD_RECORDS = 4096
+#: Ranges of slots that are shuffled and written one after the other.
+PASSES = 2
 #: Production key of the permutation.
 KEY = 20_240_229
 ROUNDS = 6
@@ -41,15 +43,6 @@ HEADER = "<QQII"
 HEADER_BYTES = struct.calcsize(HEADER)
 #: Ends every record, as the writer is Spark's line writer; lengths tell records apart.
 RECORD_END = b"\n"
-#: Rows that a Python worker holds as objects at a time.
-SLICE = 256
-
-
-def _sliced(batches):
-    """The batches in slices, so that a worker's memory doesn't follow the session's batch size."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, SLICE):
-            yield batch.slice(at, SLICE)
 
 
 @dataclass(frozen=True)
@@ -111,13 +104,19 @@ class Permutation:
         return self._walk(slot, self._backward)
 
 
-def _stream(docs: DataFrame, encoding, layout: Layout) -> DataFrame:
+def _ordered(docs: DataFrame) -> DataFrame:
+    """doc_id and text by doc_id, then text; partitions are ranges, and one doc_id may fill several."""
+    order = ["doc_id", F.crc32("text")]
+    return docs.select("doc_id", "text").repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order, "text")
+
+
+def _stream(ordered: DataFrame, encoding, layout: Layout) -> DataFrame:
     """doc_id, n_ids, ids, and where they start in the stream of the task that reads them."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = ordered.schema["doc_id"].dataType.simpleString()
 
     def encode(batches):
         enc, part, at = encoding(), TaskContext.get().partitionId(), 0
-        for batch in _sliced(batches):
+        for batch in sliced(batches):
             starts, counts, blobs = [], [], []
             for text in batch.column("text").to_pylist():
                 ids = np.append(enc.ids(text or ""), np.uint32(END_ID))
@@ -132,31 +131,38 @@ def _stream(docs: DataFrame, encoding, layout: Layout) -> DataFrame:
                 ["doc_id", "part", "start", "n_ids", "ids"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, part int, start long, n_ids long, ids binary")
+    return ordered.mapInArrow(encode, f"doc_id {kind}, part int, start long, n_ids long, ids binary")
 
 
-def _pieces(stream: DataFrame, before: dict[int, int], order: Permutation, layout: Layout, with_ids: bool) -> DataFrame:
-    """One row per document and sequence that it has ids in: slot, sequence, offset there."""
+def _pieces(stream: DataFrame, before: dict[int, int], order: Permutation, layout: Layout, slots: tuple[int, int] | None = None) -> DataFrame:
+    """One row per document and sequence that it has ids in: slot, sequence, offset there.
+
+    With `slots`, those from the first to before the second, and their ids.
+    """
     kind = stream.schema["doc_id"].dataType.simpleString()
     size = layout.sequence
 
     def cut(batches):
-        for batch in _sliced(batches):
+        for batch in sliced(batches):
             part, start, count = (batch.column(c).to_numpy() for c in ("part", "start", "n_ids"))
             start = start + np.array([before[p] for p in part.tolist()], np.int64)
             first = start // size
             times = (start + count - 1) // size - first + 1
             doc = np.repeat(np.arange(len(count)), times)
             sequence = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(times) - times, times)
+            slot = order.slot(sequence)
+            if slots:
+                here = np.flatnonzero((slot >= slots[0]) & (slot < slots[1]))
+                doc, sequence, slot = doc[here], sequence[here], slot[here]
             begin = np.maximum(start[doc], sequence * size)
             length = np.minimum(start[doc] + count[doc], (sequence + 1) * size) - begin
             columns = {
                 "doc_id": batch.column("doc_id").take(pa.array(doc)),
-                "slot": pa.array(order.slot(sequence)),
+                "slot": pa.array(slot),
                 "sequence_id": pa.array(sequence),
                 "offset": pa.array(begin - sequence * size),
             }
-            if with_ids:
+            if slots:
                 ids, wide = batch.column("ids").to_pylist(), layout.id_bytes
                 within = (begin - start[doc]) * wide
                 columns["ids"] = pa.array(
@@ -164,13 +170,13 @@ def _pieces(stream: DataFrame, before: dict[int, int], order: Permutation, layou
                 )
             yield pa.RecordBatch.from_pydict(columns)
 
-    return stream.select("doc_id", "part", "start", "n_ids", *["ids"] * with_ids).mapInArrow(
-        cut, f"doc_id {kind}, slot long, sequence_id long, offset long" + ", ids binary" * with_ids
+    return stream.select("doc_id", "part", "start", "n_ids", *["ids"] * bool(slots)).mapInArrow(
+        cut, f"doc_id {kind}, slot long, sequence_id long, offset long" + ", ids binary" * bool(slots)
     )
 
 
-def _records(pieces: DataFrame, layout: Layout, n_shards: int) -> DataFrame:
-    """A record for each slot; partition k holds shard k, in order of slots."""
+def _records(pieces: DataFrame, layout: Layout, first_shard: int, n_shards: int) -> DataFrame:
+    """A record for each slot; partition k holds shard first_shard + k, in order of slots."""
     wide = layout.id_bytes
     padding = np.array([END_ID], layout.dtype).tobytes() if END_ID >> 8 * wide == 0 else bytes(wide)
 
@@ -181,7 +187,7 @@ def _records(pieces: DataFrame, layout: Layout, n_shards: int) -> DataFrame:
 
     def join(batches):
         at, parts = None, []
-        for batch in _sliced(batches):
+        for batch in sliced(batches):
             out = []
             for slot, sequence, ids in zip(*(batch.column(c).to_pylist() for c in ("slot", "sequence_id", "ids"))):
                 if at is not None and at[0] != slot:
@@ -193,7 +199,7 @@ def _records(pieces: DataFrame, layout: Layout, n_shards: int) -> DataFrame:
         if at is not None:
             yield pa.RecordBatch.from_arrays([pa.array([record(*at, parts)], pa.binary())], ["record"])
 
-    shard = F.floor(F.col("slot") / layout.shard_records).cast("int")
+    shard = (F.floor(F.col("slot") / layout.shard_records) - first_shard).cast("int")
     return (
         pieces.drop("doc_id")
         .repartitionById(n_shards, shard)
@@ -202,38 +208,44 @@ def _records(pieces: DataFrame, layout: Layout, n_shards: int) -> DataFrame:
     )
 
 
-def write_training_order(docs: DataFrame, path: str, key: int = KEY, encoding=public_byte_bpe, layout: Layout = Layout()) -> int:
+def write_training_order(docs: DataFrame, path: str, key: int = KEY, encoding=public_byte_bpe, layout: Layout = Layout(), passes: int = PASSES) -> int:
     """Write `path`/shards (records) and `path`/index (documents of each slot); returns the number of sequences.
 
     `docs` needs doc_id and text; null text is empty. Every row, repeated or without a
-    doc_id, adds its ids and END_ID; an empty table writes no sequence. The order follows
-    the key and the partitions that docs is read in. Files are written by Spark's own
-    writer, so a lost task leaves none behind and the target may be any store Spark knows.
+    doc_id, adds its ids and END_ID; an empty table writes no sequence. Sequences follow
+    doc_id (null first) and text, slots the key; neither follows how docs is partitioned.
+    Files are written by Spark's own writer, so a lost task leaves none behind and the
+    target may be any store Spark knows.
     """
     spark = docs.sparkSession
     tokens = scratch(spark, "stream")
-    _stream(docs, encoding, layout).write.option("compression", "zstd").parquet(tokens)
-    try:
-        stream = spark.read.parquet(tokens)
-        before, total = {}, 0
-        for r in stream.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():  # one row per partition
-            before[r["part"]] = total
-            total += r["n"]
-        n = -(-total // layout.sequence)
-        if not n:
-            return 0
-        order = Permutation(n, key)
-        n_shards = -(-n // layout.shard_records)
-        records = _records(_pieces(stream, before, order, layout, True), layout, n_shards)
-        records.select(F.col("record").cast("string")).write.option("lineSep", RECORD_END.decode()).text(f"{path}/shards")
-        index = _pieces(stream, before, order, layout, False).repartition(partitions(docs), "slot")
-        (
-            index.groupBy("slot", "sequence_id")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("offset", "doc_id"))), lambda x: x["doc_id"]).alias("doc_ids"))
-            .write.parquet(f"{path}/index")
-        )
-    finally:
-        delete(spark, tokens)
+    with shuffles_dropped(spark):
+        _stream(_ordered(docs), encoding, layout).write.option("compression", "zstd").parquet(tokens)
+        try:
+            stream = spark.read.parquet(tokens)
+            before, total = {}, 0
+            for r in stream.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():  # one row per partition
+                before[r["part"]] = total
+                total += r["n"]
+            n = -(-total // layout.sequence)
+            if not n:
+                return 0
+            order = Permutation(n, key)
+            n_shards = -(-n // layout.shard_records)
+            cuts = sorted({n_shards * i // passes for i in range(passes + 1)})
+            for first, end in zip(cuts, cuts[1:]):
+                pieces = _pieces(stream, before, order, layout, (first * layout.shard_records, end * layout.shard_records))
+                records = _records(pieces, layout, first, end - first).select(F.col("record").cast("string"))
+                # a file a partition, whatever the session says, as names carry the shard
+                records.write.option("lineSep", RECORD_END.decode()).option("maxRecordsPerFile", 0).text(f"{path}/shards/first={first}")
+            index = _pieces(stream, before, order, layout).repartition(partitions(docs), "slot")
+            (
+                index.groupBy("slot", "sequence_id")
+                .agg(F.transform(F.array_sort(F.collect_list(F.struct("offset", "doc_id"))), lambda x: x["doc_id"]).alias("doc_ids"))
+                .write.parquet(f"{path}/index")
+            )
+        finally:
+            delete(spark, tokens)
     return n
 
 
@@ -243,7 +255,7 @@ def read_shards(spark: SparkSession, path: str, layout: Layout = Layout(), first
     Files before first_slot's aren't opened, records before it are skipped by their stride.
     A record whose place, slot, length or checksum don't agree is an error.
     """
-    shard = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
+    shard = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int") + F.col("first").cast("int")
     files = (
         spark.read.format("binaryFile").load(f"{path}/shards")
         .filter((shard >= first_slot // layout.shard_records) & (F.col("length") > 0))

@@ -28,17 +28,16 @@ def test_key_decides_the_order():
     assert abs(np.corrcoef(every, a)[0, 1]) < 0.1
 
 
-@pytest.fixture(scope="module")
-def odd_docs(spark, odd_rows):
-    """In partitions that don't depend on the columns asked for, as a table's don't."""
-    return spark.createDataFrame(odd_rows, SCHEMA)
-
-
 def all_ids(rows):
     enc = public_byte_bpe()
     return [(r[0], [*enc.ids(r[1] or "").tolist(), END_ID]) for r in rows]
 
 
+def in_order(rows):
+    text = lambda t: (0, 0, "") if t is None else (1, zlib.crc32(t.encode()), t)
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, text(r[1])))
+
+
 def written(spark, docs, path, **more):
     n = write_training_order(docs, path, layout=SMALL, **more)
     return n, sorted(read_shards(spark, path, SMALL).collect(), key=lambda r: r["slot"])
@@ -47,8 +46,8 @@ def written(spark, docs, path, **more):
 def test_round_trip(spark, odd_docs, tmp_path):
     path = str(tmp_path / "o")
     n, records = written(spark, odd_docs, path)
-    # brute force: the stream of the rows as they lie, one sequence after the other
-    each = all_ids(odd_docs.collect())
+    # brute force: the stream of the rows by doc_id, one sequence after the other
+    each = all_ids(in_order(odd_docs.collect()))
     stream = [i for _, ids in each for i in ids]
     assert n == len(records) == -(-len(stream) // 64)
     assert [r["slot"] for r in records] == list(range(n))
@@ -65,10 +64,16 @@ def test_round_trip(spark, odd_docs, tmp_path):
         assert set(index[r["slot"]]) == set(held)
 
 
+def test_order_does_not_follow_partitions(spark, odd_rows, tmp_path):
+    docs = spark.createDataFrame(odd_rows, SCHEMA)
+    found = [written(spark, docs.repartition(n), str(tmp_path / str(n)), passes=passes) for n, passes in ((2, 1), (7, 2), (3, 5))]
+    assert found[0] == found[1] == found[2]
+
+
 def test_every_file_has_fixed_stride(spark, odd_docs, tmp_path):
     path = str(tmp_path / "o")
     n, _ = written(spark, odd_docs, path)
-    sizes = [r["length"] for r in spark.read.format("binaryFile").load(f"{path}/shards").select("length", "path").orderBy("path").collect()]
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(f"{path}/shards").select("length", "path", "first").orderBy("first", "path").collect()]
     assert sizes == [SMALL.stride * min(16, n - 16 * k) for k in range(-(-n // 16))]
 
 
@@ -83,10 +88,10 @@ def test_resumes_at_a_slot(spark, odd_docs, tmp_path):
 def test_damage_is_found(spark, odd_docs, tmp_path):
     path = tmp_path / "o"
     written(spark, odd_docs, str(path))
-    shard = next((path / "shards").glob("part-00000*"))
+    shard = next((path / "shards" / "first=0").glob("part-00000*"))
     data = bytearray(shard.read_bytes())
     data[40] ^= 1
-    (path / "shards" / f".{shard.name}.crc").unlink()
+    (shard.parent / f".{shard.name}.crc").unlink()
     shard.write_bytes(data)
     with pytest.raises(Exception, match="damaged"):
         read_shards(spark, str(path), SMALL).collect()
