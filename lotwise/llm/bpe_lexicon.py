@@ -23,18 +23,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import materialized, table
+from .shared import materialized, sliced, table
 
 #: Bound of the lexicon: a few MB.
 LEXICON_WORDS = 1 << 16
 #: Words a task counts, or remembers, before it hands them on or forgets them.
 FLUSH_WORDS = 300_000
+#: Code points of text a task counts, and of words it remembers, at most; so long words don't fill its memory.
+FLUSH_CHARS = 1 << 24
 #: Code points whose new words are looked up together.
 CHUNK_CHARS = 1 << 20
 
-#: Texts with none of these split as the patterns below say; others go through the tokenizer's own normaliser.
-_RARE = re.compile(r"[^\t\n\r\x20-\x7e\xa0-\u012f\u0131-\u024f]")
 _LATIN = [chr(c) for c in range(0x250)]
+#: Of those: white space and what is printed, if lower case leaves it in the table.
+_COMMON = "".join(c for c in _LATIN if (c in "\t\n\r" or c.isprintable() or c == "\xa0") and c.lower() in _LATIN)
+#: Texts with none of these split as the patterns below say; others go through the tokenizer's own normaliser.
+_RARE = re.compile(f"[^{re.escape(_COMMON)}]")
 _LETTERS = "".join(c for c in _LATIN if c.isalpha())
 _NUMBERS = "".join(c for c in _LATIN if c.isnumeric())
 #: The tokenizer's pattern, with its letters and numbers as far as such texts have them.
@@ -182,17 +186,19 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
     """word, n over all whole texts; tasks hand on sums of up to FLUSH_WORDS words."""
 
     def count(batches):
-        split, held = WordSplitter(path), Counter()
+        split, held, chars = WordSplitter(path), Counter(), 0
 
         def flush():
             return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column("text").to_pylist():
                 held.update(split.words(text or ""))
-                if len(held) >= FLUSH_WORDS:
+                chars += len(text or "")
+                if len(held) >= FLUSH_WORDS or chars >= FLUSH_CHARS:
                     yield flush()
                     held.clear()
+                    chars = 0
         yield flush()
 
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -231,12 +237,15 @@ class Codec:
         size = self.split.tokenizer.get_vocab_size(with_added_tokens=True)
         self.token = [self.split.tokenizer.id_to_token(i) for i in range(size)]
         self.known: dict[str, bytes] = {}
+        self.known_chars = 0
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > FLUSH_WORDS:
+        if len(self.known) + len(new) > FLUSH_WORDS or self.known_chars > FLUSH_CHARS:
             self.known.clear()
+            self.known_chars = 0
             new = list(words)
+        self.known_chars += sum(map(len, new))
         start, ids = self.lexicon.start.tolist(), self.lexicon.ids.astype("<u4").tobytes()
         for word, n in zip(new, self.lexicon.find(new).tolist()):
             if n >= 0:
@@ -290,7 +299,7 @@ def _coded(docs: DataFrame, path: str, compiled: bytes, digests: bool) -> DataFr
 
     def code(batches):
         codec = Codec(path, shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             n, first, second = [], [], []
             for ids in codec.encode_all(text or "" for text in batch.column("text").to_pylist()):
                 decoded = codec.decode(ids)
@@ -314,6 +323,7 @@ def vocabulary(name: str) -> str:
 
 
 def op10_lexicon_bpe(spark, sf_dir):
+    """Digests of the ids and the decoded text of every whole text; null text is empty."""
     docs = table(spark, sf_dir, "documents")
     path = vocabulary("word_bpe_49k.json")
     return _coded(docs, path, build_lexicon(docs, path), digests=True)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import pytest
@@ -41,7 +42,34 @@ def test_like_the_tokenizer(codec, text):
     assert codec.decode(ids) == t.decode(want, skip_special_tokens=False)
 
 
-def test_documents(odd_docs, odd_rows, clashing_docs, no_docs, codec):
+def same_as_tokenizer(codec, texts):
+    t = codec.split.tokenizer
+    for text, want in zip(texts, t.encode_batch(texts, add_special_tokens=False)):
+        ids = codec.encode(text)
+        assert np.frombuffer(ids, "<u4").tolist() == want.ids, text
+        assert codec.decode(ids) == t.decode(want.ids, skip_special_tokens=False), text
+
+
+def test_every_latin_character(codec):
+    """Alone, before and after letters, digits, signs and white space."""
+    around = ("{}", "ab{}cd", "{}x", "1{}2", "!{}?", "{0}{0}", "{}'s", "'{}", "É{} ö", "{}\n{}")
+    same_as_tokenizer(codec, [a.format(chr(c), chr(c)) for c in range(1, 0x250) for a in around])
+
+
+def test_many_latin_texts(codec):
+    rnd = random.Random(3)
+    latin, common = [chr(c) for c in range(1, 0x250)], "abc DEF'123.,stmdrel ƁƆƉƊƏƐƓƔƖƗƜƝƟƦƩƮƱƲƷȺȾɄɅ\n"
+    texts = ["".join(rnd.choice(latin if rnd.random() < 0.3 else common) for _ in range(rnd.randint(1, 60))) for _ in range(10_000)]
+    same_as_tokenizer(codec, [*texts, "Ɓala Ɗan", "Ɖekawo"])
+
+
+def test_long_words_are_forgotten_too(codec, monkeypatch):
+    monkeypatch.setattr(B, "FLUSH_CHARS", 40)
+    same_as_tokenizer(codec, ["x" * n + " the y" for n in range(1, 60)] * 2)
+    assert codec.known_chars < 200
+
+
+def test_documents(odd_docs, odd_rows, clashing_docs, no_docs, codec, monkeypatch):
     t = codec.split.tokenizer
     want = []
     for d, text, *_ in odd_rows:
@@ -51,6 +79,8 @@ def test_documents(odd_docs, odd_rows, clashing_docs, no_docs, codec):
     for docs in (odd_docs, clashing_docs):
         got = [(r["doc_id"], r["n_tokens"], bytes(r["ids"]), r["decoded"]) for r in B.encoded(docs, PATH, compiled).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
+    monkeypatch.setattr(B, "FLUSH_CHARS", 100)  # tasks hand on sums sooner
+    assert B.build_lexicon(odd_docs, PATH, 100) == compiled
     digests = B._coded(odd_docs, PATH, compiled, digests=True).collect()
     assert sorted(r["ids_sha256"] for r in digests) == sorted(hashlib.sha256(w[2]).hexdigest() for w in want)
     assert B.encoded(no_docs, PATH, B.build_lexicon(no_docs, PATH)).count() == 0
