@@ -110,35 +110,68 @@ def opening_alerts(openings: DataFrame) -> DataFrame:
     )
 
 
+#: A key's time is cut into spans of so many times what fills a bucket.
+SPAN_FILLS = 64
+
+
+def _full_since(requests: DataFrame, fill_us: int) -> DataFrame:
+    """key, us, seq, _from of each request: its number by time, and the last request by then that found a full bucket.
+
+    A gap of over fill_us fills a bucket, so what comes after it needs nothing from before.
+    A key's time is cut into spans, and only one row for each span with requests meets
+    others of its key.
+    """
+    known = requests.select("key", "us").filter("key is not null and us is not null")
+    spanned = known.withColumn("_span", F.floor(F.col("us") / F.lit(SPAN_FILLS * fill_us)).cast("long"))
+    in_span = Window.partitionBy("key", "_span").orderBy("us")
+    numbered = spanned.withColumns({"_n": F.row_number().over(in_span), "_before": F.lag("us").over(in_span)})
+    begins = F.when(F.col("us") - F.col("_before") > fill_us, F.col("us"))
+    spans = numbered.groupBy("key", "_span").agg(
+        F.count("*").alias("_rows"), F.min("us").alias("_first"), F.max("us").alias("_last"), F.max(begins).alias("_begun")
+    )
+    of_key = Window.partitionBy("key").orderBy("_span")
+    earlier = of_key.rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.col("_first") - F.lag("_last").over(of_key)
+    spans = spans.withColumn("_opens", F.when(gap.isNull() | (gap > fill_us), F.col("_first")))
+    spans = spans.withColumns({
+        "_skip": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+        "_carry": F.coalesce("_opens", F.max(F.greatest("_begun", "_opens")).over(earlier)),
+    })
+    joined = numbered.join(spans.select("key", "_span", "_skip", "_carry"), ["key", "_span"])
+    since = F.greatest(F.col("_carry"), F.max(begins).over(in_span.rangeBetween(Window.unboundedPreceding, 0)))
+    return joined.select("key", "us", (F.col("_n") + F.col("_skip")).cast("long").alias("seq"), since.alias("_from"))
+
+
 def token_bucket_waits(requests: DataFrame, capacity: float = CAPACITY, rate: float = REFILL_PER_S, idle_s: float = IDLE_S) -> DataFrame:
     """key, us, seq, wait_s: seconds until a token is there, at each request.
 
     A bucket starts full and refills by `rate` tokens a second up to `capacity`. With one
     token or more, one is taken and the wait is 0; else the wait is (1 - tokens) / rate and
     none is taken, so several who wait are each told the same. A bucket not asked for
-    idle_s seconds is forgotten, that is, full. seq numbers a key's requests by time.
+    idle_s seconds is forgotten, that is, full. seq numbers a key's requests by time. What
+    comes between two gaps that fill a bucket is folded apart from the rest of its key.
     """
+    fill_us = math.ceil(min(capacity / rate * (1 + 1e-9), idle_s) * 1e6) + 1
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, tokens, last, n = object(), capacity, None, 0
+        part, tokens, last = object(), capacity, None
         for pdf in batches:
-            waits, seqs = [], []
-            for k, us in zip(pdf["key"], pdf["us"]):
-                if k != key:
-                    key, tokens, last, n = k, capacity, us, 0
+            waits = []
+            for k, begun, us in zip(pdf["key"], pdf["_from"], pdf["us"]):
+                if (k, begun) != part:
+                    part, tokens, last = (k, begun), capacity, us
                 elapsed = max(0.0, (us - last) / 1e6)
                 tokens = capacity if elapsed > idle_s else min(capacity, tokens + elapsed * rate)
-                last, n = us, n + 1
+                last = us
                 wait = 0.0 if tokens >= 1 else (1 - tokens) / rate
                 tokens -= 1 if tokens >= 1 else 0
                 waits.append(wait)
-                seqs.append(n)
-            yield pdf.assign(seq=seqs, wait_s=waits)
+            yield pdf[["key", "us", "seq"]].assign(wait_s=waits)
 
     kind = requests.schema["key"].dataType.simpleString()
     return (
-        requests.select("key", "us").filter("key is not null and us is not null")
-        .repartition("key").sortWithinPartitions("key", "us").mapInPandas(fold, f"key {kind}, us long, seq long, wait_s double")
+        _full_since(requests, fill_us).repartition("key", "_from").sortWithinPartitions("key", "_from", "us", "seq")
+        .mapInPandas(fold, f"key {kind}, us long, seq long, wait_s double")
     )
 
 

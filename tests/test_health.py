@@ -95,6 +95,27 @@ def test_token_bucket(spark):
     assert [r["wait_s"] > 0 for r in again.orderBy("seq").collect()] == [False] * 10 + [True]
 
 
+def test_bucket_like_one_fold(spark, monkeypatch):
+    """Keys cut at gaps, in spans of any length, against one fold of each key."""
+    rnd = random.Random(6)
+    rows = [(k, rnd.randrange(-20_000, 20_000) * 100_000) for k in "aaab" for _ in range(400)] + [("c", i * 100_000) for i in range(300)]
+    requests = spark.createDataFrame([*rows, (None, 5), ("a", None)], "key string, us long").repartition(3)
+    for spans, (capacity, rate, idle) in ((64, (5.0, 0.5, 3600.0)), (1, (2.0, 0.7, 3600.0)), (3, (3.0, 0.05, 7.0))):
+        monkeypatch.setattr(H, "SPAN_FILLS", spans)
+        want = []
+        for key in "abc":
+            tokens, last = capacity, None
+            for n, us in enumerate(sorted(u for k, u in rows if k == key), 1):
+                gap = 0.0 if last is None else (us - last) / 1e6
+                tokens = capacity if gap > idle else min(capacity, tokens + gap * rate)
+                want.append((key, us, n, 0.0 if tokens >= 1 else (1 - tokens) / rate))
+                tokens -= tokens >= 1
+                last = us
+        got = sorted(map(tuple, H.token_bucket_waits(requests, capacity, rate, idle).collect()))
+        assert [g[:3] for g in got] == [w[:3] for w in want]
+        assert all(abs(g[3] - w[3]) < 1e-6 for g, w in zip(got, want)) and any(w[3] for w in want)
+
+
 def test_backoff(spark):
     n = spark.range(8)
     assert [r[0] for r in n.select(H.backoff_median(F.col("id"))).collect()] == [5, 10, 20, 40, 80, 160, 300, 300]
