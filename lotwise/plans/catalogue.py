@@ -20,7 +20,7 @@ from ..sinks import outbox
 from ..sources import landing, seeds
 from ..streaming import health as stream_health
 from ..streaming import listing as stream_listing
-from . import synth
+from . import settings, synth
 from .lineage import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -552,6 +552,17 @@ def outbox_status(spark, sf_dir):
     return outbox.with_outcome(found, reports).groupBy(brand, "status").agg(F.count("*").alias("messages"))
 
 
+@query("""
+SELECT * FROM (VALUES ('breaker.window_us', '300000000'), ('breaker.min_samples', '20'), ('breaker.threshold', '0.3'), ('breaker.pause_us', '1800000000'),
+  ('bucket.capacity', '5.0'), ('bucket.refill_per_s', '0.5'), ('bucket.idle_s', '3600.0'), ('backoff.base_s', '5.0'), ('backoff.max_s', '300.0'),
+  ('backoff.sigma', '0.4'), ('outbox.exchange', 'other'), ('outbox.routing_key', 'listing.observed'), ('parser_version', '1.0.0')) t(name, value)""")
+def session_settings(spark, sf_dir):
+    session = spark.newSession()
+    session.conf.set("lotwise.breaker.min_samples", "20")
+    session.conf.set("lotwise.outbox.exchange", "other")
+    return settings.settings(session)
+
+
 def _drained(stream: DataFrame, name: str) -> DataFrame:
     """All rows a stream gives for what is there now, through a table."""
     spark = stream.sparkSession
