@@ -118,10 +118,8 @@ def near_links(fps: DataFrame, max_bits: int) -> DataFrame:
 
     Links have the components of all pairs within max_bits, and join no others. Buckets of
     up to BUCKET fingerprints are compared in pairs, as the pigeonring says. A fingerprint
-    in a larger bucket is not compared with it: it is written under each fingerprint that
-    is max_bits / 2 or fewer bits away, and all that meet there, which are within max_bits
-    of each other, are linked to the smallest. That is exact for even max_bits and linear
-    in the bucket.
+    in a larger bucket is not compared with it, but goes the way of ball_links(), which is
+    exact too and linear in the bucket.
     """
     ring = Pigeonring(max_bits)
     keyed = fps.select("fp", F.explode(ring.keys(F.col("fp"))).alias("k")).select("fp", "k.start", "k.key")
@@ -136,28 +134,28 @@ def near_links(fps: DataFrame, max_bits: int) -> DataFrame:
     total = large.agg(F.sum("n")).first()[0] or 0
     if not total:
         return links
-    if max_bits % 2:
-        raise ValueError("large buckets need an even max_bits")
     # each fingerprint of a large bucket, and those that may be near it: all in that bucket
     crowd = attach(keyed.withColumn("sk", F.struct("start", "key")), large.select(F.struct("start", "key").alias("sk"), "n"), "sk", "n", total)
-    return links.unionByName(ball_links(crowd.select("fp").distinct(), max_bits // 2))
+    return links.unionByName(ball_links(crowd.select("fp").distinct(), max_bits))
 
 
-def ball_links(fps: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) through fingerprints that are `radius` or fewer bits from both.
+def ball_links(fps: DataFrame, max_bits: int) -> DataFrame:
+    """Links (a, b) within max_bits that connect all pairs within max_bits.
 
-    Two fingerprints within 2 * radius bits share such a centre. Only centres are grouped,
-    with partial sums, so no group of rows meets in one task.
+    A fingerprint is written under each centre that is half of max_bits (rounded up) or
+    fewer bits away. Of two within max_bits, one is half of them (rounded down) or fewer
+    bits from a centre of both. All at a centre are linked to the smallest of those that
+    are so near. Only centres are grouped, with partial sums, so no group of rows meets in
+    one task.
     """
-    near = fps.select("fp", F.col("fp").alias("centre"))
-    for _ in range(radius):
+    at = fps.select("fp", F.col("fp").alias("centre"))
+    for _ in range(max_bits - max_bits // 2):
         flips = F.array(F.lit(0).cast("long"), *[F.lit(_signed(1 << i)) for i in range(BITS)])
-        near = near.select("fp", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("centre")))).alias("centre")).distinct()
-    met = near.groupBy("centre").agg(F.min("fp").alias("least"), F.count("*").alias("n")).filter("n > 1")
+        at = at.select("fp", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("centre")))).alias("centre")).distinct()
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("centre"))) <= max_bits // 2
+    met = at.groupBy("centre").agg(F.min(F.when(near, F.col("fp"))).alias("least"), F.count("*").alias("n")).filter("n > 1 and least is not null")
     total = fps.count()
-    return (
-        attach(near, met, "centre", "n", total).select(F.col("fp").alias("a"), F.col("least").alias("b")).filter("a != b").distinct()
-    )
+    return attach(at, met, "centre", "n", total).select(F.col("fp").alias("a"), F.col("least").alias("b")).filter("a != b").distinct()
 
 
 def near_components(rows: DataFrame, max_bits: int) -> DataFrame:
@@ -178,6 +176,7 @@ def near_components(rows: DataFrame, max_bits: int) -> DataFrame:
 
 
 def op8_pigeonring_simhash(spark, sf_dir):
+    """Fingerprints of every whole text's 3-word shingles, and their components at 2 bits; null text has no words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = materialized(fingerprinted(docs, 3).select("doc_id", "fp"))
     return near_components(rows, 2).select(

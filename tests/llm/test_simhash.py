@@ -68,8 +68,8 @@ def brute(rows, max_bits=2):
     return sorted(((d, f, min(least[label[f]], default=None)) for d, f in rows), key=str)
 
 
-@pytest.mark.parametrize("bucket", [64, 3])
-def test_components_of_crowds(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("bucket,bits", [(64, 2), (3, 2), (3, 1), (3, 3), (64, 3)])
+def test_components_of_crowds(spark, monkeypatch, bucket, bits):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
     rnd, rows = random.Random(1), []
     for c in range(5):
@@ -80,8 +80,8 @@ def test_components_of_crowds(spark, monkeypatch, bucket):
                 x ^= 1 << rnd.randrange(64)
             rows.append((len(rows), _signed(x)))
     rows += [(1000 + i, rows[0][1]) for i in range(400)] + [(None, rows[1][1]), (None, 12345), (0, 777)]
-    got = near_components(spark.createDataFrame(rows, "doc_id long, fp long").repartition(3), 2)
-    assert sorted(((r["doc_id"], r["fp"], r["component_id"]) for r in got.collect()), key=str) == brute(rows)
+    got = near_components(spark.createDataFrame(rows, "doc_id long, fp long").repartition(3), bits)
+    assert sorted(((r["doc_id"], r["fp"], r["component_id"]) for r in got.collect()), key=str) == brute(rows, bits)
 
 
 def test_query_on_odd_documents(odd_docs, odd_rows, clashing_docs, no_docs):
