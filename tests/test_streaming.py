@@ -16,7 +16,7 @@ S = 1_000_000
 
 def run(df, name, tmp_path):
     q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
-    q.awaitTermination(300)
+    assert q.awaitTermination(300)
     return sorted(map(tuple, df.sparkSession.table(name).collect()))
 
 
@@ -45,6 +45,19 @@ def test_bucket_as_in_batch(source, tmp_path):
     assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want)) and any(w[2] > 0 for w in want)
 
 
+@pytest.mark.parametrize("operator", [stream_breaker_openings, stream_token_bucket])
+def test_state_of_quiet_keys_goes(spark, tmp_path, operator):
+    path = str(tmp_path / "log")
+    for key, us in (("a", 5 * S), ("b", 36_000 * S), ("c", 36_001 * S), ("d", -5 * S)):
+        spark.createDataFrame([(key, us, True)], "key string, us long, failed boolean").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema("key string, us long, failed boolean").option("maxFilesPerTrigger", 1).parquet(path)
+    if operator is stream_token_bucket:
+        stream = stream.select("key", "us")
+    q = operator(stream).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3  # a is gone; d came when the watermark was past it
+
+
 def test_details_into_the_outbox(spark, tmp_path):
     import datetime
 
