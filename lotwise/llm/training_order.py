@@ -288,6 +288,31 @@ def read_shards(spark: SparkSession, path: str, layout: Layout = Layout(), first
     )
 
 
+def read_record(spark: SparkSession, path: str, slot: int, layout: Layout = Layout()) -> tuple[int, np.ndarray]:
+    """sequence_id and ids (without padding) of one slot; opens its file and reads one stride."""
+    shard, record = divmod(slot, layout.shard_records)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.globStatus(hadoop.Path(f"{path}/shards/first=*"))]  # one for each pass
+    first = max((n for n in (int(x.partition("=")[2]) for x in names) if n <= shard), default=0)
+    files = fs.globStatus(hadoop.Path(f"{path}/shards/first={first}/part-{shard - first:05d}-*"))
+    if not files:
+        raise IndexError(f"no slot {slot}")
+    stream = fs.open(files[0].getPath())
+    try:
+        stream.seek(record * layout.stride)
+        data = bytes(stream.readNBytes(layout.stride))
+    finally:
+        stream.close()
+    if len(data) != layout.stride:
+        raise IndexError(f"no slot {slot}")
+    found, sequence, n, crc = struct.unpack_from(HEADER, data)
+    ids = data[HEADER_BYTES : HEADER_BYTES + n * layout.id_bytes]
+    if found != slot or zlib.crc32(ids) != crc:
+        raise ValueError(f"slot {slot} is damaged")
+    return sequence, np.frombuffer(ids, layout.dtype)
+
+
 def op3_feistel_order(spark, sf_dir):
     """All documents written in training order, and every record as read back, with the ids of its documents."""
     docs = table(spark, sf_dir, "documents")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.llm.packing import public_byte_bpe
-from lotwise.llm.training_order import END_ID, KEY, Layout, Permutation, read_shards, write_training_order
+from lotwise.llm.training_order import END_ID, KEY, Layout, Permutation, read_record, read_shards, write_training_order
 
 from .conftest import SCHEMA
 
@@ -85,6 +85,17 @@ def test_resumes_at_a_slot(spark, odd_docs, tmp_path):
         assert rest == records[first:]
 
 
+def test_one_record_by_its_place(spark, odd_docs, tmp_path):
+    path = str(tmp_path / "o")
+    n, records = written(spark, odd_docs, path)
+    for slot in (0, 1, 15, 16, n // 2, n - 1):
+        sequence, ids = read_record(spark, path, slot, SMALL)
+        assert sequence == records[slot]["sequence_id"] and ids.tobytes() == records[slot]["ids"]
+    for slot in (n, n + 1000):
+        with pytest.raises(Exception, match="no slot|past"):
+            read_record(spark, path, slot, SMALL)
+
+
 def test_damage_is_found(spark, odd_docs, tmp_path):
     path = tmp_path / "o"
     written(spark, odd_docs, str(path))
