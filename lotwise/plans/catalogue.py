@@ -360,10 +360,11 @@ fold(key, us, seq, tokens, wait_s) AS (
   FROM (SELECT a.key, a.us, a.seq,
                CASE WHEN (a.us - f.us) / 1e6 > 50000 THEN 1.0 ELSE least(CAST(1.0 AS DOUBLE), f.tokens + (a.us - f.us) / 1e6 * 0.0001) END AS have
         FROM asked a JOIN fold f ON a.key = f.key AND a.seq = f.seq + 1))
-SELECT key, us, seq, round(wait_s, 4) AS wait_s FROM fold""")
+SELECT key, us, seq, round(wait_s, 6) AS wait_s FROM fold""")
 def token_bucket_waits(spark, sf_dir):
     asked = _events(spark, sf_dir).select("key", "us")
-    return health.token_bucket_waits(asked, capacity=1.0, rate=0.0001, idle_s=50000.0).withColumn("wait_s", F.round("wait_s", 4))
+    # a wait has whole microseconds, so this many digits leave no tie to rounding
+    return health.token_bucket_waits(asked, capacity=1.0, rate=0.0001, idle_s=50000.0).withColumn("wait_s", F.round("wait_s", 6))
 
 
 @query("SELECT event_id, least(5.0 * power(2.0, event_id % 8), 300.0) AS median_s FROM events")
@@ -595,10 +596,10 @@ def stream_breaker_closings(spark, sf_dir):
     return _drained(opened, "openings").withColumn("rate", F.round("rate", 6))
 
 
-@query(SQL["token_bucket_waits"].replace("SELECT key, us, seq, round(wait_s, 4)", "SELECT CAST(key AS VARCHAR) AS key, us, round(wait_s, 4)"))
+@query(SQL["token_bucket_waits"].replace("SELECT key, us, seq, round(wait_s, 6)", "SELECT CAST(key AS VARCHAR) AS key, us, round(wait_s, 6)"))
 def stream_token_bucket(spark, sf_dir):
     asked = _event_stream(spark, sf_dir).select("key", "us")
-    return _drained(stream_health.stream_token_bucket(asked, capacity=1.0, rate=0.0001, idle_s=50000.0), "waits").withColumn("wait_s", F.round("wait_s", 4))
+    return _drained(stream_health.stream_token_bucket(asked, capacity=1.0, rate=0.0001, idle_s=50000.0), "waits").withColumn("wait_s", F.round("wait_s", 6))
 
 
 @query(f"SELECT 'S' || s_suppkey AS sku, n_name AS brand, 1 AS schema_version {_SUPPLIER_FROM}")
