@@ -70,7 +70,7 @@ def hit_slots(probed: DataFrame, n_rows: int, times: int) -> np.ndarray:
 
     counted = probed.select(*PROBES).mapInArrow(count, "block int, low binary")
     bits = np.zeros(slots // 8, np.uint8)
-    for row in counted.groupBy("block").applyInPandas(merge, "block int, bits binary").toLocalIterator():
+    for row in counted.groupBy("block").applyInPandas(merge, "block int, bits binary").collect():  # as bounded as the filter
         at = row["block"] * (BLOCK // 8)
         bits[at : at + BLOCK // 8] = np.frombuffer(row["bits"], np.uint8)
     return bits

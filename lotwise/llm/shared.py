@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.lineage import checkpointed, delete, scratch
+from ..plans.lineage import checkpointed, delete, scratch, shuffles_dropped
 
 __all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "sliced", "table"]
 
@@ -52,17 +52,18 @@ def materialized(df: DataFrame) -> DataFrame:
 
 
 def scoped(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
-    """build()'s result, materialised; the tables written on the way to it are deleted."""
-    _written.append([])
-    try:
-        result = build()
-    finally:
-        paths = _written.pop()
-    try:
-        return materialized(result)
-    finally:
-        for path in paths:
-            delete(spark, path)
+    """build()'s result, materialised; what is written and shuffled on the way to it is deleted."""
+    with shuffles_dropped(spark):
+        _written.append([])
+        try:
+            result = build()
+        finally:
+            paths = _written.pop()
+        try:
+            return materialized(result)
+        finally:
+            for path in paths:
+                delete(spark, path)
 
 
 def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
