@@ -125,8 +125,11 @@ def test_near_copies_go(spark, words, monkeypatch, pairs):
     assert kept == want
 
 
-def test_star_of_near_copies(spark, words):
-    """One text and copies of it, each near to it and not near to each other."""
+@pytest.mark.parametrize("first_pass_only", [False, True])
+def test_star_of_near_copies(spark, words, monkeypatch, first_pass_only):
+    """One text and copies of it, each near to it and not near to each other. The first pass finds the centre."""
+    if first_pass_only:
+        monkeypatch.setattr(near_dedup, "missed", lambda *_: spark.createDataFrame([], "a long, b long"))
     rnd = random.Random(12)
     base = [rnd.choice(words) for _ in range(400)]
     rows = []
