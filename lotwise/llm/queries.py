@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_lexicon, chat_format, exact_dedup, html_extract, language_id, order_minhash, packing, sharding, simhash, training_order
+from . import bpe_lexicon, chat_format, divergence, exact_dedup, html_extract, language_id, merkle, order_minhash, packing, sharding, simhash, training_order
 
 QUERIES = {
     f.__name__: f
@@ -17,7 +17,9 @@ QUERIES = {
         simhash.op8_pigeonring_simhash,
         sharding.op9_prefix_sum_shards,
         bpe_lexicon.op10_lexicon_bpe,
+        divergence.op11_radix_divergence,
+        merkle.op12_merkle_manifest,
     )
 }
 
-SQL = {**chat_format.SQL, **exact_dedup.SQL}
+SQL = {**chat_format.SQL, **exact_dedup.SQL, **divergence.SQL, **merkle.SQL}
