@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import attach, materialized, table
+from .shared import attach, materialized, split_pieces, table
 
 SCALE = 1_000_000_000
 #: Documents of a language that a term must be in.
@@ -26,8 +26,6 @@ LEAST_DOCS = 3
 TOP = 200
 #: Different (group, term)s that a task counts before it hands them on.
 HELD_TERMS = 1 << 18
-#: Bytes of a text that are split into terms at a time.
-PIECE = 1 << 20
 #: Bits of a value that one histogram tells apart.
 DIGIT = 12
 #: Rows of a group, at the kth value, that are sorted rather than narrowed down further.
@@ -40,17 +38,6 @@ HELD_TILES = 64
 _TERM_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
-def _pieces(data: bytes):
-    """Lists of terms, together all of the text's."""
-    data = data.translate(_TERM_BYTES)
-    at = 0
-    while at < len(data):
-        end = data.find(b" ", at + PIECE) if at + PIECE < len(data) else -1
-        end = len(data) if end < 0 else end
-        yield data[at:end].split()
-        at = end
-
-
 def term_counts(docs: DataFrame) -> DataFrame:
     """lang, source, term, n (occurrences), n_lang and df_lang (its documents in the language), of all terms.
 
@@ -78,7 +65,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 n, df = held.setdefault((langs[i].as_py(), sources[i].as_py()), (Counter(), Counter()))
                 before, seen = len(n), set()
-                for terms in _pieces(texts[i].as_py()):
+                for terms in split_pieces(texts[i].as_py(), _TERM_BYTES):
                     n.update(terms)
                     seen.update(terms)
                 df.update(seen)

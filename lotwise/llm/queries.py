@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_lexicon, chat_format, divergence, exact_dedup, html_extract, language_id, merkle, order_minhash, packing, sharding, simhash, training_order
+from . import bpe_lexicon, chat_format, divergence, exact_dedup, html_extract, language_id, merkle, ngram_join, order_minhash, packing, sharding, simhash, training_order
 
 QUERIES = {
     f.__name__: f
@@ -19,6 +19,7 @@ QUERIES = {
         bpe_lexicon.op10_lexicon_bpe,
         divergence.op11_radix_divergence,
         merkle.op12_merkle_manifest,
+        ngram_join.op13_vertical_jaccard_join,
     )
 }
 

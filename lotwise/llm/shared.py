@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..plans.lineage import checkpointed, delete, scratch, shuffles_dropped
 
-__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "sliced", "table"]
+__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "sliced", "split_pieces", "table"]
 
 #: A key is hot when it has more rows than total / HOT_SHARE (and HOT_LEAST).
 #: At most HOT_SHARE keys can be hot, which bounds what is broadcast.
@@ -29,6 +29,20 @@ def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+#: Bytes of a text that are split at a time.
+PIECE = 1 << 20
+
+
+def split_pieces(data: bytes, table: bytes, piece: int = PIECE) -> Iterator[list[bytes]]:
+    """What blanks separate once the bytes are translated, in lists that together have all of the text's."""
+    data, at = data.translate(table), 0
+    while at < len(data):
+        end = data.find(b" ", at + piece) if at + piece < len(data) else -1
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
+
+
 def partitions(df: DataFrame) -> int:
     """As many as the session shuffles into, and at least as many as df is read in."""
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())

@@ -66,7 +66,7 @@ def test_odd_clashing_and_empty(odd_docs, odd_rows, clashing_docs, no_docs):
 
 
 def test_few_held_at_a_time(spark, rows, monkeypatch):
-    for name, value in (("HELD_TERMS", 7), ("PIECE", 5), ("TILE", 2), ("HELD_TILES", 1), ("FINISH", 2)):
+    for name, value in (("HELD_TERMS", 7), ("TILE", 2), ("HELD_TILES", 1), ("FINISH", 2)):
         monkeypatch.setattr(divergence, name, value)
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(2)
     assert found(source_divergence(docs, top=4)) == brute(rows, top=4)

@@ -1,0 +1,107 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lotwise.llm import ngram_join
+from lotwise.llm.ngram_join import Grams, ngram_components, op13_vertical_jaccard_join
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
+SCHEMA = "doc_id long, text string"
+
+
+def grams(text):
+    words = WORD.findall((text or "").translate(LOWER))
+    if len(words) < 3:
+        return {tuple(words)} if words else set()
+    return set(zip(words, words[1:], words[2:]))
+
+
+def brute(rows):
+    sets = [grams(r[1]) for r in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            both = len(a & b)
+            if a and b and 100 * both >= 90 * (len(a) + len(b) - both):
+                label[root(i)] = root(j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[root(i)] = min(r[0], least.get(root(i), r[0]))
+    return sorted(((r[0], len(sets[i]), least.get(root(i)) if sets[i] else r[0]) for i, r in enumerate(rows)), key=str)
+
+
+def found(df):
+    assert df.columns == ["doc_id", "n_shingles", "component_id"]
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def edited(rnd, words, base, share):
+    out = list(base)
+    for i in rnd.sample(range(len(out)), int(share * len(out))):
+        out[i] = rnd.choice(words) + str(rnd.random())
+    return out
+
+
+def corpus(words, n_copies=30):
+    """Chains and stars of edited copies around the limit, passages many share, short texts."""
+    rnd = random.Random(11)
+    prose = lambda n: [rnd.choice(words) for _ in range(n)]
+    texts, passage = [], prose(60)
+    for _ in range(12):
+        base = prose(rnd.randint(20, 300))
+        texts.append(base)
+        for _ in range(rnd.randint(1, 5)):
+            base = edited(rnd, words, base, rnd.choice([0.005, 0.01, 0.015, 0.02, 0.03]))
+            texts.append(base)
+    star = prose(250)
+    texts += [star, *(edited(rnd, words, star, 0.012) for _ in range(n_copies))]
+    lost = prose(250)  # copies whose original isn't there
+    texts += [edited(rnd, words, lost, 0.012) for _ in range(n_copies)]
+    texts += [passage + prose(rnd.randint(0, 9)) for _ in range(n_copies)]
+    texts += [["a", "b"], ["A", "b"], ["a"], ["a", "b", "c"], ["a", "b", "c", "d"]]
+    # exactly nine tenths: 18 of 20
+    line = [f"w{i}" for i in range(22)]
+    texts += [line[:21], [*line[:20], "x"], [*line[:20], "y", "z"]]
+    rows = [(i * 7 % 1009, "  ".join(t).title()) for i, t in enumerate(texts)]
+    return rows + rows[:3] + [(None, " ".join(star)), (2000, None), (2001, ""), (2002, " \t\n\r\x0b\x0c "), (2003, "one word"), (None, "all alone here")]
+
+
+def test_like_brute_force(spark, words):
+    rows = corpus(words)
+    assert found(ngram_components(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
+
+
+@pytest.mark.parametrize("pairs,tile,slots", [(2, 3, 1 << 16), (4, 2, 1 << 17)])
+def test_second_round_and_full_sketch(spark, words, monkeypatch, pairs, tile, slots):
+    """Few meet in pairs at first, tiles are small, and every slot of the sketch is hit often."""
+    for name, value in (("PAIRS", pairs), ("TILE", tile), ("MAX_SLOTS", slots), ("HELD", 100)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = corpus(words, 12)
+    filler = [(5000 + i, " ".join(f"f{i}.{j}" for j in range(2500))) for i in range(60)]
+    got = found(ngram_components(spark.createDataFrame(rows + filler, SCHEMA).repartition(3)))
+    assert got == sorted(brute(rows) + [(i, 2498, i) for i, _ in filler], key=str)
+
+
+def test_odd_clashing_empty_and_registered(spark, odd_docs, odd_rows, clashing_docs, no_docs, tmp_path):
+    want = brute(odd_rows)
+    assert found(ngram_components(clashing_docs.withColumns({c: F.lit("x") for c in ("size", "set", "grams", "label", "_n")}))) == want
+    assert ngram_components(no_docs).count() == 0
+    odd_docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert found(op13_vertical_jaccard_join(spark, str(tmp_path))) == want
+
+
+def test_pieces_of_a_long_text():
+    text = " ".join(f"w{i % 5000}" for i in range(400_000)).encode()
+    assert len(Grams().of(text)) == 5000
+    assert len(Grams().of(b"x" * 3_000_000)) == 1
