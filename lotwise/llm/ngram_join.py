@@ -41,11 +41,11 @@ TILE = 512
 #: Slots of the sketch at most; it has four bits each (64 MB) when broadcast.
 MAX_SLOTS = 1 << 27
 BLOCK = 1 << 16
-#: N-grams a task counts before it hands them on, and groups in which a block's are summed first.
-HELD = 1 << 21
-SALTS = 16
+#: N-grams a task counts before it hands them on, and tasks whose counts of a block are summed first.
+HELD = 1 << 20
+TASKS = 128
 #: Word hashes a task remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 
 # A-Z become a-z, and all that separates words becomes a blank
 _WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else 0x20 if 0x09 <= b <= 0x0D else b for b in range(256))
@@ -137,15 +137,15 @@ def global_order(sets: DataFrame, n_grams: int) -> Order:
     shift = np.uint64(64 - (slots - 1).bit_length())
 
     def count(batches):
-        salt, held, n = TaskContext.get().partitionId() % SALTS, [], 0
+        group, held, n = TaskContext.get().partitionId() // TASKS, [], 0
 
         def flush():
             slot, hits = np.unique(np.concatenate(held), return_counts=True)
             block, start = np.unique(slot // BLOCK, return_index=True)
             low = np.split((slot % BLOCK).astype(np.uint16), start[1:])
             hits = np.split(np.minimum(hits, 65535).astype(np.uint16), start[1:])
-            columns = [pa.array([salt] * len(block), pa.int32()), pa.array(block, pa.int32()), *[pa.array([x.tobytes() for x in c], pa.binary()) for c in (low, hits)]]
-            return pa.RecordBatch.from_arrays(columns, ["salt", "block", "low", "hits"])
+            columns = [pa.array([group] * len(block), pa.int32()), pa.array(block, pa.int32()), *[pa.array([x.tobytes() for x in c], pa.binary()) for c in (low, hits)]]
+            return pa.RecordBatch.from_arrays(columns, ["tasks", "block", "low", "hits"])
 
         for batch in batches:
             for blob in batch.column("grams"):
@@ -158,22 +158,28 @@ def global_order(sets: DataFrame, n_grams: int) -> Order:
         if n:
             yield flush()
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+    def summed(low, hits) -> np.ndarray:
         total = np.zeros(BLOCK, np.int64)
-        for low, hits in zip(pdf["low"], pdf["hits"]):
-            total[np.frombuffer(low, np.uint16)] += np.frombuffer(hits, np.uint16)
-        return pd.DataFrame({"block": pdf["block"][:1], "total": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
+        for at, n in zip(low, hits):
+            total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint16)
+        return total
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = summed(pdf["low"], pdf["hits"])
+        at = np.flatnonzero(total)
+        return pd.DataFrame({"block": pdf["block"][:1], "low": [at.astype(np.uint16).tobytes()], "hits": [np.minimum(total[at], 65535).astype(np.uint16).tobytes()]})
 
     def level(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in pdf["total"])
+        total = summed(pdf["low"], pdf["hits"])
         levels = _level(total)
         mass = np.bincount(levels, total, 16)
         return pd.DataFrame({"block": pdf["block"][:1], "packed": [(levels[::2] | (levels[1::2] << 4)).tobytes()], "mass": [mass.tolist()]})
 
-    counted = sets.select("grams").mapInArrow(count, "salt int, block int, low binary, hits binary")
-    summed = counted.groupBy("salt", "block").applyInPandas(add, "block int, total binary")
+    counted = sets.select("grams").mapInArrow(count, "tasks int, block int, low binary, hits binary")
+    if sets.rdd.getNumPartitions() > TASKS:
+        counted = counted.groupBy("tasks", "block").applyInPandas(add, "block int, low binary, hits binary")
     packed, mass = np.zeros(slots // 2, np.uint8), np.zeros(16)
-    for row in summed.groupBy("block").applyInPandas(level, "block int, packed binary, mass array<double>").collect():  # as bounded as the sketch
+    for row in counted.groupBy("block").applyInPandas(level, "block int, packed binary, mass array<double>").collect():  # as bounded as the sketch
         packed[row["block"] * (BLOCK // 2) :][: BLOCK // 2] = np.frombuffer(row["packed"], np.uint8)
         mass += row["mass"]
     mass[:2] = 0  # n-grams of one document have no segment
