@@ -23,10 +23,10 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import hit_slots, may_hit, probes
+from .bloom import PROBES, hit, hit_slots, probes
 from .components import components
 from .shared import attach, materialized, scoped, sliced, split_pieces, table
 
@@ -217,15 +217,16 @@ def _meeting(sets: DataFrame, shared) -> DataFrame:
     return sets.select("_row", "grams").mapInArrow(prefix, "_row long, size long, own long, grams array<long>")
 
 
-def _segments(sets: DataFrame, shared) -> DataFrame:
-    """_row, fragment, segment (sorted) of each set, without empty ones and n-grams of one document."""
+def _segments(sets: DataFrame, shared, wanted) -> DataFrame:
+    """_row, fragment, segment (sorted) of each set in the filter, without empty ones and n-grams of one document."""
 
     def cut(batches):
-        order = shared.value
+        order, bits = shared.value, wanted.value
         for batch in sliced(batches):
             rows, fragments, segments = [], [], []
-            for row, blob in zip(batch.column("_row").to_pylist(), batch.column("grams")):
-                g = np.frombuffer(blob.as_buffer(), np.uint64)
+            found = hit(bits, *(batch.column(p).to_numpy() for p in PROBES))
+            for i in np.flatnonzero(found).tolist():
+                row, g = batch.column("_row")[i].as_py(), np.frombuffer(batch.column("grams")[i].as_buffer(), np.uint64)
                 levels = order.levels(g)
                 g, levels = g[levels > 1], levels[levels > 1]
                 of = order.fragments(g, levels)
@@ -235,14 +236,14 @@ def _segments(sets: DataFrame, shared) -> DataFrame:
                     segments.append(g[of == f].view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(fragments, pa.int32()), pa.array(segments, pa.list_(pa.int64()))], ["_row", "fragment", "segment"])
 
-    return sets.select("_row", "grams").mapInArrow(cut, "_row long, fragment int, segment array<long>")
+    return sets.select("_row", "grams", *probes("_row")).mapInArrow(cut, "_row long, fragment int, segment array<long>")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, shared, total: int) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, shared) -> DataFrame:
     """Those of the pairs (a, b, size_a, size_b) that link: partial overlaps of each fragment, summed for each pair."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
-    in_pair = may_hit(sets.sparkSession, hit_slots(ends.select(*probes("_row")), min(total, ends.count()), times=1))
-    segments = materialized(_segments(sets.filter(in_pair(*probes("_row"))), shared))
+    in_pair = sets.sparkSession.sparkContext.broadcast(hit_slots(ends.select(*probes("_row")), ends.count(), times=1))
+    segments = materialized(_segments(sets, shared, in_pair))
     first = pairs.join(segments.select(F.col("_row").alias("a"), "fragment", F.col("segment").alias("_sa")), "a")
     both = first.join(segments.select(F.col("_row").alias("b"), "fragment", F.col("segment").alias("_sb")), ["b", "fragment"])
     partial = both.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("_sa", "_sb")).cast("long").alias("overlap"))
@@ -300,12 +301,12 @@ def node_labels(sets: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
     counts = materialized(each.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))
     met = materialized(attach(each, counts, "gram", "n", n_each))
     tried = materialized(first_pairs(met, n_each))
-    links = materialized(linked(tried, sets, shared, total))
+    links = materialized(linked(tried, sets, shared))
     labels = components(links)
     more = materialized(missed_pairs(met, labels, tried.select("a", "b"), n_each))
     if more.isEmpty():
         return labels
-    found = linked(more, sets, shared, total)
+    found = linked(more, sets, shared)
     return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
 
 
