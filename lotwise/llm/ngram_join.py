@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .bloom import PROBES, hit, hit_slots, probes
 from .components import components
-from .shared import attach, materialized, scoped, sliced, split_pieces, table
+from .shared import attach, materialized, scoped, sliced, small_batches, split_pieces, table
 
 WORDS = 3
 #: Two sets link when PERCENT of their union, or more, is common.
@@ -333,7 +333,8 @@ def ngram_components(docs: DataFrame) -> DataFrame:
         linkable = attach(narrow.select("doc_id", "set"), groups, "set", "n", n_rows).select("doc_id", F.col("set.size").alias("n_shingles"), "component_id")
         return linkable.unionByName(sets.filter("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
-    return scoped(spark, build)
+    with small_batches(spark):
+        return scoped(spark, build)
 
 
 def op13_vertical_jaccard_join(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..plans.lineage import checkpointed, delete, scratch, shuffles_dropped
 
-__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "sliced", "split_pieces", "table"]
+__all__ = ["attach", "checkpointed", "lower_ascii", "materialized", "partitions", "scoped", "sliced", "small_batches", "split_pieces", "table"]
 
 #: A key is hot when it has more rows than total / HOT_SHARE (and HOT_LEAST).
 #: At most HOT_SHARE keys can be hot, which bounds what is broadcast.
@@ -29,6 +30,18 @@ def sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024):
+    """Queries that run meanwhile send wide rows to Python workers in batches of so many, not of the session's number."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 #: Bytes of a text that are split at a time.
 PIECE = 1 << 20
 
