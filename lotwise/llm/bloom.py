@@ -76,21 +76,16 @@ def hit_slots(probed: DataFrame, n_rows: int, times: int) -> np.ndarray:
     return bits
 
 
-def hit(bits: np.ndarray, *at: np.ndarray) -> np.ndarray:
-    """Whether the slots of all probes are set."""
-    found = True
-    for p in at:
-        slot = p % (len(bits) * 8)
-        found &= (bits[slot // 8] >> (7 - slot % 8).astype(np.uint8)) & 1 == 1
-    return found
-
-
 def may_hit(spark, bits: np.ndarray):
     """A function of two probe columns: whether both slots are set."""
     shared = spark.sparkContext.broadcast(bits)
 
     @F.pandas_udf("boolean")
     def test(p0: pd.Series, p1: pd.Series) -> pd.Series:
-        return pd.Series(hit(shared.value, p0.to_numpy(), p1.to_numpy()))
+        found, hit = shared.value, True
+        for p in (p0, p1):
+            slot = p.to_numpy() % (len(found) * 8)
+            hit &= (found[slot // 8] >> (7 - slot % 8).astype(np.uint8)) & 1 == 1
+        return pd.Series(hit)
 
     return test

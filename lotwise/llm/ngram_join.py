@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bloom import PROBES, hit, hit_slots, probes
+from .bloom import hit_slots, may_hit, probes
 from .components import components
 from .shared import attach, materialized, scoped, sliced, small_batches, split_pieces, table
 
@@ -186,64 +186,45 @@ def global_order(sets: DataFrame, n_grams: int) -> Order:
     return Order(packed, mass)
 
 
-def _meeting(sets: DataFrame, shared) -> DataFrame:
-    """_row, size, own (n-grams of one document), gram, at: the prefix of each set that may have a partner.
+def cut_sets(sets: DataFrame, order: Order) -> DataFrame:
+    """_row, size, own (n-grams of one document), prefix, segments of each set that may have a partner.
 
-    at is the n-gram's place in the set's order.
+    segments has a sorted array for each fragment; n-grams of one document are left out.
     """
+    shared = sets.sparkSession.sparkContext.broadcast(order)
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+    names = ["_row", "size", "own", "prefix", "segments"]
 
-    def prefix(batches):
+    def cut(batches):
         order = shared.value
         for batch in sliced(batches):
-            rows, sizes, owns, grams = [], [], [], []
+            out = []
             for row, blob in zip(batch.column("_row").to_pylist(), batch.column("grams")):
                 g = np.frombuffer(blob.as_buffer(), np.uint64)
-                levels = order.levels(g)
-                common = levels > 1
-                own = len(g) - int(common.sum())
+                size, levels = len(g), order.levels(g)
+                g, levels = g[levels > 1], levels[levels > 1]
                 # sets with more of their own than this share too few with any other
-                length = len(g) - need(len(g)) + 1 - own
-                if not len(g) or length <= 0:
+                length = len(g) - need(size) + 1
+                if not size or length <= 0:
                     continue
-                g, levels = g[common], levels[common]
-                first = np.lexsort((g, levels))[:length]
-                rows.append(row)
-                sizes.append(len(blob.as_buffer()) // 8)
-                owns.append(own)
-                grams.append(g[first].view(np.int64))
-            columns = [pa.array(rows, pa.int64()), pa.array(sizes, pa.int64()), pa.array(owns, pa.int64()), pa.array(grams, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "size", "own", "grams"])
-
-    return sets.select("_row", "grams").mapInArrow(prefix, "_row long, size long, own long, grams array<long>")
-
-
-def _segments(sets: DataFrame, shared, wanted) -> DataFrame:
-    """_row, fragment, segment (sorted) of each set in the filter, without empty ones and n-grams of one document."""
-
-    def cut(batches):
-        order, bits = shared.value, wanted.value
-        for batch in sliced(batches):
-            rows, fragments, segments = [], [], []
-            found = hit(bits, *(batch.column(p).to_numpy() for p in PROBES))
-            for i in np.flatnonzero(found).tolist():
-                row, g = batch.column("_row")[i].as_py(), np.frombuffer(batch.column("grams")[i].as_buffer(), np.uint64)
-                levels = order.levels(g)
-                g, levels = g[levels > 1], levels[levels > 1]
+                prefix = g[np.lexsort((g, levels))[:length]].view(np.int64)
                 of = order.fragments(g, levels)
-                for f in np.unique(of):
-                    rows.append(row)
-                    fragments.append(f)
-                    segments.append(g[of == f].view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(fragments, pa.int32()), pa.array(segments, pa.list_(pa.int64()))], ["_row", "fragment", "segment"])
+                out.append((row, size, size - len(g), prefix, [g[of == f].view(np.int64) for f in range(FRAGMENTS)]))
+            columns = list(zip(*out)) or [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return sets.select("_row", "grams", *probes("_row")).mapInArrow(cut, "_row long, fragment int, segment array<long>")
+    schema = "_row long, size long, own long, prefix array<long>, segments array<array<long>>"
+    try:
+        return materialized(sets.select("_row", "grams").mapInArrow(cut, schema))
+    finally:
+        shared.destroy()
 
 
-def linked(pairs: DataFrame, sets: DataFrame, shared) -> DataFrame:
+def linked(pairs: DataFrame, cut: DataFrame) -> DataFrame:
     """Those of the pairs (a, b, size_a, size_b) that link: partial overlaps of each fragment, summed for each pair."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
-    in_pair = sets.sparkSession.sparkContext.broadcast(hit_slots(ends.select(*probes("_row")), ends.count(), times=1))
-    segments = materialized(_segments(sets, shared, in_pair))
+    in_pair = may_hit(cut.sparkSession, hit_slots(ends.select(*probes("_row")), ends.count(), times=1))
+    segments = cut.filter(in_pair(*probes("_row"))).select("_row", F.posexplode("segments").alias("fragment", "segment")).filter(F.size("segment") > 0)
     first = pairs.join(segments.select(F.col("_row").alias("a"), "fragment", F.col("segment").alias("_sa")), "a")
     both = first.join(segments.select(F.col("_row").alias("b"), "fragment", F.col("segment").alias("_sb")), ["b", "fragment"])
     partial = both.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("_sa", "_sb")).cast("long").alias("overlap"))
@@ -291,23 +272,20 @@ def missed_pairs(met: DataFrame, labels: DataFrame, tried: DataFrame, total: int
     return x.join(y, met_at & once & _may_link("x", "y")).select(*_pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
 
 
-def node_labels(sets: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
+def node_labels(sets: DataFrame, nodes: DataFrame, n_grams: int) -> DataFrame:
     """node, label of the sets that have a link; nodes (_row) has one of each distinct set."""
-    spark = sets.sparkSession
-    shared = spark.sparkContext.broadcast(global_order(sets, total))
-    meeting = _meeting(sets, shared).join(nodes.select("_row"), "_row", "left_semi")
-    each = materialized(meeting.select("_row", "size", "own", F.posexplode("grams").alias("at", "gram")).withColumn("at", F.col("at") + F.col("own")))
+    cut = cut_sets(sets, global_order(sets, n_grams))
+    prefixes = cut.select("_row", "size", "own", "prefix").join(nodes.select("_row"), "_row", "left_semi")
+    each = materialized(prefixes.select("_row", "size", "own", F.posexplode("prefix").alias("at", "gram")).withColumn("at", F.col("at") + F.col("own")))
     n_each = each.count()
     counts = materialized(each.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))
     met = materialized(attach(each, counts, "gram", "n", n_each))
     tried = materialized(first_pairs(met, n_each))
-    links = materialized(linked(tried, sets, shared))
-    labels = components(links)
+    labels = components(materialized(linked(tried, cut)))
     more = materialized(missed_pairs(met, labels, tried.select("a", "b"), n_each))
     if more.isEmpty():
         return labels
-    found = linked(more, sets, shared)
-    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(linked(more, cut)))
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:
