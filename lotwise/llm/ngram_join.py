@@ -10,10 +10,11 @@ What the order is changes no result, only how many sets meet, so the sketch has
 size. An n-gram whose slot one document only has hit is in no other: it counts in a set's
 size and prefix, but is no key, and a set with too many of them has no partner at all.
 
-Equal sets are one node. Sets that meet at an n-gram that many have are first compared with
-one of them, the one with the fewest n-grams of its own, as an original among its edited
-copies; what that connects needn't meet again. A second round then compares all that meet
-and aren't connected, so no link between two components is lost.
+Equal sets are one node. Sets that meet at an n-gram that many have are first compared with a
+few of them, those with the fewest n-grams of their own, as an original has among its edited
+copies; what that connects needn't meet again. Rounds with other ones follow as long as they
+find links. A last round then compares all that meet and aren't connected, so no link between
+two components is lost.
 """
 
 from __future__ import annotations
@@ -36,7 +37,10 @@ PERCENT = 90
 FRAGMENTS = 8
 #: Sets at an n-gram that are compared in pairs in the first round.
 PAIRS = 8
-#: Sets of a tile, the unit in which the second round compares those at an n-gram.
+#: Sets that the others at an n-gram are compared with in each of the rounds before the last, and those rounds at most.
+CENTRES = 4
+ROUNDS = 6
+#: Sets of a tile, the unit in which the last round compares those at an n-gram.
 TILE = 512
 #: Slots of the sketch at most; it has four bits each (64 MB) when broadcast.
 MAX_SLOTS = 1 << 27
@@ -246,30 +250,42 @@ def _pair(a: str, b: str) -> list:
 
 
 def first_pairs(met: DataFrame, total: int) -> DataFrame:
-    """Distinct pairs of the sets at an n-gram (met, with n): all of few; of many, each with one centre."""
-    small, large = met.filter(F.col("n") <= PAIRS), met.filter(F.col("n") > PAIRS)
+    """Distinct pairs of the sets at an n-gram (met, with n): all of few; of many, each with the first centres."""
+    small = met.filter(F.col("n") <= PAIRS)
     a, b = small.alias("a"), small.alias("b")
     pairs = a.join(b, (F.col("a.gram") == F.col("b.gram")) & (F.col("a._row") > F.col("b._row"))).filter(_may_link("a", "b")).select(*_pair("a", "b"))
-    order = F.struct((F.col("own") / F.col("size")).alias("own"), F.xxhash64("_row").alias("h"), "_row", "size", "at")
-    centres = large.groupBy("gram").agg(F.min(order).alias("c"), F.count("*").alias("_n")).select("gram", "_n", F.struct("c._row", "c.size", "c.at").alias("c"))
-    starred = attach(large, centres, "gram", "_n", total).select(F.struct("_row", "size", "at").alias("a"), F.col("c").alias("b"))
-    stars = starred.filter((F.col("a._row") != F.col("b._row")) & _may_link("a", "b")).select(*_pair("a", "b"))
-    return pairs.unionByName(stars).distinct()
+    large = met.filter(F.col("n") > PAIRS).withColumn("label", F.col("_row"))
+    return pairs.unionByName(star_pairs(large, 0, total)).distinct()
 
 
-def missed_pairs(met: DataFrame, labels: DataFrame, tried: DataFrame, total: int) -> DataFrame:
-    """Distinct pairs that meet, may link, have two labels so far and weren't tried."""
+def star_pairs(rows: DataFrame, turn: int, total: int) -> DataFrame:
+    """Distinct pairs of each set with a few centres of another label at an n-gram; each turn has other centres."""
+    seen = lambda i: F.struct((F.col("own") / F.col("size")).alias("own"), F.xxhash64("_row", F.lit(turn * CENTRES + i)).alias("h"), "_row", "size", "at", "label")
+    centres = rows.groupBy("gram").agg(
+        F.array_distinct(F.transform(F.array(*[F.min(seen(i)) for i in range(CENTRES)]), lambda c: F.struct(*[c[x].alias(x) for x in ("_row", "size", "at", "label")]))).alias("centres"),
+        F.count("*").alias("_n"), F.min("label").alias("_l"), F.max("label").alias("_m"),
+    ).filter("_l < _m").select("gram", "centres", "_n")
+    starred = attach(rows, centres, "gram", "_n", total).select(F.struct("_row", "size", "at", "label").alias("a"), F.explode("centres").alias("b"))
+    return starred.filter((F.col("a.label") != F.col("b.label")) & _may_link("a", "b")).select(*_pair("a", "b")).distinct()
+
+
+def _labelled(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """met with label and n_label, the nodes that have it; a set without a link is a label of its own."""
     named = labels.join(labels.groupBy("label").agg(F.count("*").alias("n_label")), "label").select(F.col("node").alias("_row"), "label", "n_label")
-    rows = materialized(met.drop("n").join(named, "_row", "left").withColumns({"label": F.coalesce("label", "_row"), "n_label": F.coalesce("n_label", F.lit(1))}))
+    return materialized(met.join(named, "_row", "left").withColumns({"label": F.coalesce("label", "_row"), "n_label": F.coalesce("n_label", F.lit(1))}))
+
+
+def missed_pairs(rows: DataFrame, total: int) -> DataFrame:
+    """Distinct pairs of the labelled rows that meet, may link and have two labels."""
     two = rows.groupBy("gram").agg(F.count("*").alias("n"), F.min("label").alias("_l"), F.max("label").alias("_m"), F.max(F.struct("n_label", "label"))["label"].alias("major")).filter("_l < _m")
-    member = materialized(attach(rows, two.select("gram", "n", "major"), "gram", "n", total))
+    member = materialized(attach(rows.drop("n"), two.select("gram", "n", "major"), "gram", "n", total))
     # of two that meet, one isn't of the largest component there; it is dealt to all tiles, the other lies in one
     tiles = F.ceil(F.col("n") / TILE).cast("long")
     x = member.withColumn("tile", F.pmod(F.xxhash64("_row"), tiles)).alias("x")
     y = member.filter("label != major").withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))).alias("y")
     met_at = (F.col("x.gram") == F.col("y.gram")) & (F.col("x.tile") == F.col("y.tile")) & (F.col("x.label") != F.col("y.label"))
     once = (F.col("x.label") == F.col("x.major")) | (F.col("x._row") < F.col("y._row"))
-    return x.join(y, met_at & once & _may_link("x", "y")).select(*_pair("x", "y")).distinct().join(tried, ["a", "b"], "left_anti")
+    return x.join(y, met_at & once & _may_link("x", "y")).select(*_pair("x", "y")).distinct()
 
 
 def node_labels(sets: DataFrame, nodes: DataFrame, n_grams: int) -> DataFrame:
@@ -282,10 +298,16 @@ def node_labels(sets: DataFrame, nodes: DataFrame, n_grams: int) -> DataFrame:
     met = materialized(attach(each, counts, "gram", "n", n_each))
     tried = materialized(first_pairs(met, n_each))
     labels = components(materialized(linked(tried, cut)))
-    more = materialized(missed_pairs(met, labels, tried.select("a", "b"), n_each))
-    if more.isEmpty():
-        return labels
-    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(linked(more, cut)))
+    joined = lambda found: components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+    crowded = met.filter(F.col("n") > PAIRS)
+    for turn in range(1, ROUNDS):
+        new = materialized(star_pairs(_labelled(crowded, labels), turn, n_each).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+        found = materialized(linked(new, cut)) if not new.isEmpty() else new
+        if found.isEmpty():
+            break
+        tried, labels = tried.unionByName(new), joined(found)
+    more = materialized(missed_pairs(_labelled(met, labels), n_each).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+    return labels if more.isEmpty() else joined(linked(more, cut))
 
 
 def ngram_components(docs: DataFrame) -> DataFrame:

@@ -82,10 +82,10 @@ def test_like_brute_force(spark, words):
     assert found(ngram_components(spark.createDataFrame(rows, SCHEMA).repartition(3))) == brute(rows)
 
 
-@pytest.mark.parametrize("pairs,tile,slots", [(2, 3, 1 << 16), (4, 2, 1 << 17)])
-def test_second_round_and_full_sketch(spark, words, monkeypatch, pairs, tile, slots):
+@pytest.mark.parametrize("pairs,tile,slots,centres,rounds", [(2, 3, 1 << 16, 1, 1), (4, 2, 1 << 17, 2, 3)])
+def test_last_round_and_full_sketch(spark, words, monkeypatch, pairs, tile, slots, centres, rounds):
     """Few meet in pairs at first, tiles are small, and every slot of the sketch is hit often."""
-    for name, value in (("PAIRS", pairs), ("TILE", tile), ("MAX_SLOTS", slots), ("HELD", 100), ("TASKS", 2)):
+    for name, value in (("PAIRS", pairs), ("TILE", tile), ("MAX_SLOTS", slots), ("HELD", 100), ("TASKS", 2), ("CENTRES", centres), ("ROUNDS", rounds)):
         monkeypatch.setattr(ngram_join, name, value)
     rows = corpus(words, 12)
     filler = [(5000 + i, " ".join(f"f{i}.{j}" for j in range(2500))) for i in range(60)]
