@@ -191,13 +191,14 @@ def global_order(sets: DataFrame, n_grams: int) -> Order:
 
 
 def cut_sets(sets: DataFrame, order: Order) -> DataFrame:
-    """_row, size, own (n-grams of one document), prefix, segments of each set that may have a partner.
+    """_row, size, own (n-grams of one document), weight, prefix, segments of each set that may have a partner.
 
+    weight is the mean level of its n-grams: that of an original is above its edited copies'.
     segments has a sorted array for each fragment; n-grams of one document are left out.
     """
     shared = sets.sparkSession.sparkContext.broadcast(order)
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
-    names = ["_row", "size", "own", "prefix", "segments"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+    names = ["_row", "size", "own", "weight", "prefix", "segments"]
 
     def cut(batches):
         order = shared.value
@@ -206,6 +207,7 @@ def cut_sets(sets: DataFrame, order: Order) -> DataFrame:
             for row, blob in zip(batch.column("_row").to_pylist(), batch.column("grams")):
                 g = np.frombuffer(blob.as_buffer(), np.uint64)
                 size, levels = len(g), order.levels(g)
+                weight = float(levels.mean()) if size else 0.0
                 g, levels = g[levels > 1], levels[levels > 1]
                 # sets with more of their own than this share too few with any other
                 length = len(g) - need(size) + 1
@@ -213,11 +215,11 @@ def cut_sets(sets: DataFrame, order: Order) -> DataFrame:
                     continue
                 prefix = g[np.lexsort((g, levels))[:length]].view(np.int64)
                 of = order.fragments(g, levels)
-                out.append((row, size, size - len(g), prefix, [g[of == f].view(np.int64) for f in range(FRAGMENTS)]))
+                out.append((row, size, size - len(g), weight, prefix, [g[of == f].view(np.int64) for f in range(FRAGMENTS)]))
             columns = list(zip(*out)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    schema = "_row long, size long, own long, prefix array<long>, segments array<array<long>>"
+    schema = "_row long, size long, own long, weight double, prefix array<long>, segments array<array<long>>"
     try:
         return materialized(sets.select("_row", "grams").mapInArrow(cut, schema))
     finally:
@@ -260,7 +262,9 @@ def first_pairs(met: DataFrame, total: int) -> DataFrame:
 
 def star_pairs(rows: DataFrame, turn: int, total: int) -> DataFrame:
     """Distinct pairs of each set with a few centres of another label at an n-gram; each turn has other centres."""
-    seen = lambda i: F.struct((F.col("own") / F.col("size")).alias("own"), F.xxhash64("_row", F.lit(turn * CENTRES + i)).alias("h"), "_row", "size", "at", "label")
+    # the first is the one of most weight, the others are drawn among those with the fewest n-grams of their own
+    by = lambda i: F.xxhash64("_row", F.lit(turn * CENTRES + i)).alias("h")
+    seen = lambda i: F.struct((F.col("own") / F.col("size") if i else -F.col("weight")).alias("w"), by(i), "_row", "size", "at", "label")
     centres = rows.groupBy("gram").agg(
         F.array_distinct(F.transform(F.array(*[F.min(seen(i)) for i in range(CENTRES)]), lambda c: F.struct(*[c[x].alias(x) for x in ("_row", "size", "at", "label")]))).alias("centres"),
         F.count("*").alias("_n"), F.min("label").alias("_l"), F.max("label").alias("_m"),
@@ -291,8 +295,8 @@ def missed_pairs(rows: DataFrame, total: int) -> DataFrame:
 def node_labels(sets: DataFrame, nodes: DataFrame, n_grams: int) -> DataFrame:
     """node, label of the sets that have a link; nodes (_row) has one of each distinct set."""
     cut = cut_sets(sets, global_order(sets, n_grams))
-    prefixes = cut.select("_row", "size", "own", "prefix").join(nodes.select("_row"), "_row", "left_semi")
-    each = materialized(prefixes.select("_row", "size", "own", F.posexplode("prefix").alias("at", "gram")).withColumn("at", F.col("at") + F.col("own")))
+    prefixes = cut.select("_row", "size", "own", "weight", "prefix").join(nodes.select("_row"), "_row", "left_semi")
+    each = materialized(prefixes.select("_row", "size", "own", "weight", F.posexplode("prefix").alias("at", "gram")).withColumn("at", F.col("at") + F.col("own")))
     n_each = each.count()
     counts = materialized(each.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1"))
     met = materialized(attach(each, counts, "gram", "n", n_each))
