@@ -564,42 +564,62 @@ def session_settings(spark, sf_dir):
     return settings.settings(session)
 
 
-def _drained(stream: DataFrame, name: str) -> DataFrame:
-    """All rows a stream gives for what is there now, through a table."""
-    spark = stream.sparkSession
-    out = scratch(spark, name)
-    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch(spark, name))
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
-
-
-def _event_stream(spark, sf_dir) -> DataFrame:
-    path = f"{sf_dir}/events.parquet"
-    # as a pattern, as a stream's path must be a folder or a pattern, and the table may be a file
-    events = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 100).parquet(f"{sf_dir}/events.parque[t]")
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return events.select(F.col("user_id").cast("string").alias("key"), us.alias("us"), (F.col("event_type") == "error").alias("failed"), (F.col("event_type") == "signup").alias("signup"))
+#: Files that the events are dealt over, in no order of time.
+_FILES = 12
+
+
+def _streamed(spark, sf_dir, columns, operator, ticks: dict) -> DataFrame:
+    """Rows that a stream gives over the events in many files, each with rows of all times, and a restart.
+
+    Rows wait until their key's last one is known: a file of ticks, one a key, comes after
+    the restart. There are no late rows then; if there were, they would be in the result.
+    """
+    path, out, late, progress = (scratch(spark, x) for x in ("events", "out", "late", "progress"))
+    rows = _table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), *columns)
+    rows.withColumn("_file", F.pmod(F.xxhash64("key", "us"), F.lit(_FILES))).repartition(_FILES, "_file").drop("_file").write.parquet(path)
+
+    def run():
+        stream = operator(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path))
+        writer = stream.writeStream.foreachBatch(stream_health.routed(out, late)).option("checkpointLocation", progress)
+        stream_health.start_available_now(writer, spark).awaitTermination()
+        return stream.drop("late")
+
+    run()
+    last = rows.groupBy("key").agg(F.max("us").alias("us")).select("key", (F.col("us") + 2 * _HOLD_US).alias("us"), *[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in ticks.items()])
+    last.write.mode("append").parquet(path)
+    schema = run().schema
+    read = lambda p: spark.read.schema(schema).parquet(f"{p}/batch=*")
+    return read(out).unionByName(read(late))
+
+
+_HOLD_US = 10_000 * _DAY
+
+
+def _stream_openings(spark, sf_dir, closing: bool) -> DataFrame:
+    failed, closes = (F.col("event_type") == "error").alias("failed"), F.lit(False).alias("closes")
+    if closing:
+        # an event that closes is counted too
+        both = F.explode(F.when(F.col("event_type") == "signup", F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False))))
+        closes = both.alias("closes")
+    operator = lambda events: stream_health.stream_breaker_openings(events, **_RATE, pause_us=2 * _DAY, hold_us=_HOLD_US)
+    found = _streamed(spark, sf_dir, [failed, closes], operator, {"failed": None, "closes": False})
+    return found.select("key", "us", F.round("rate", 6).alias("rate"), "open_until_us")
 
 
 @query(_OPENINGS_SQL + "SELECT CAST(key AS VARCHAR) AS key, us, round(rate, 6) AS rate, until AS open_until_us FROM fold WHERE opened")
 def stream_breaker_openings(spark, sf_dir):
-    opened = stream_health.stream_breaker_openings(_event_stream(spark, sf_dir), **_RATE, pause_us=2 * _DAY)
-    return _drained(opened, "openings").withColumn("rate", F.round("rate", 6))
+    return _stream_openings(spark, sf_dir, closing=False)
 
 
 @query(_CLOSED_SQL + f"SELECT CAST(key AS VARCHAR) AS key, us, round(rate, 6) AS rate, us + {2 * _DAY} AS open_until_us FROM fold WHERE opened")
 def stream_breaker_closings(spark, sf_dir):
-    events = _event_stream(spark, sf_dir)
-    closes = events.filter("signup").withColumn("closes", F.lit(True))
-    both = events.withColumn("closes", F.lit(False)).unionByName(closes)
-    opened = stream_health.stream_breaker_openings(both, **_RATE, pause_us=2 * _DAY)
-    return _drained(opened, "openings").withColumn("rate", F.round("rate", 6))
+    return _stream_openings(spark, sf_dir, closing=True)
 
 
 @query(SQL["token_bucket_waits"].replace("SELECT key, us, seq, round(wait_s, 6)", "SELECT CAST(key AS VARCHAR) AS key, us, round(wait_s, 6)"))
 def stream_token_bucket(spark, sf_dir):
-    asked = _event_stream(spark, sf_dir).select("key", "us")
-    return _drained(stream_health.stream_token_bucket(asked, capacity=1.0, rate=0.0001, idle_s=50000.0), "waits").withColumn("wait_s", F.round("wait_s", 6))
+    operator = lambda asked: stream_health.stream_token_bucket(asked, capacity=1.0, rate=0.0001, idle_s=50000.0, hold_us=_HOLD_US)
+    return _streamed(spark, sf_dir, [F.lit(True).alias("asks")], operator, {"asks": False}).withColumn("wait_s", F.round("wait_s", 6))
 
 
 @query(f"SELECT 'S' || s_suppkey AS sku, n_name AS brand, 1 AS schema_version {_SUPPLIER_FROM}")

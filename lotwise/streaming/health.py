@@ -1,111 +1,268 @@
-"""The breaker and the token bucket as keyed streaming state.
-
-State is bounded: a breaker keeps the events of one window and when it is open until, a
-bucket two numbers. Keys that nothing comes for any more are forgotten, by event time:
-the watermark is the latest event of any key less `delay_us`.
-Within a batch a key's events are sorted by time, so a batch bounds what one task holds
-(maxFilesPerTrigger or maxBytesPerTrigger of the source). An event older than what its key
-has already seen is late and is dropped; that rule is this package's own.
+"""The breaker and the token bucket as keyed streaming state that loses no row.
+
+There is no watermark: what one key is late by says nothing about another, and a row that
+a watermark filters leaves no trace. Each key has its own clock instead. Its rows wait in a
+list state until its newest row is `hold_us` past them (or the key was quiet for `quiet_ms`,
+by a timer), and are then folded in order of time. A row that comes when later ones have
+been folded is late: it isn't folded, but comes out with `late` set, so results and late
+rows together account for all input, for any order of files and any size of batches.
+
+A row without `failed` and `closes` (the breaker), or with `asks` false (the bucket), is a
+tick: it moves its key's clock and counts for nothing.
+
+Needs the RocksDB state store, which use_state_store() sets for a session. State goes by its
+time to live when nothing has come for a key; a row after that finds a key that is new.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections import deque
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators import health as H
 
-
-#: How far keys may lag behind each other.
-DELAY_US = 600_000_000
+#: How far a key's rows wait for older ones, and how long they wait for any.
+HOLD_US = 0
+QUIET_MS = 60_000
+#: Milliseconds after a key's last row that its state is kept, at least.
+KEPT_MS = 7_200_000
 
 
-def _timed(rows: DataFrame, delay_us: int) -> DataFrame:
-    return rows.withColumn("_at", F.timestamp_micros("us")).withWatermark("_at", f"{delay_us} microseconds")
+def use_state_store(spark: SparkSession) -> None:
+    """Keyed state with timers and lists lives in RocksDB."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
-def _forget(state: GroupState, us: int) -> None:
-    """Let the key's state time out when the watermark is past that moment."""
-    state.setTimeoutTimestamp(max(us // 1000 + 1, state.getCurrentWatermarkMs() + 1, 1))
+def start_available_now(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Starts a query over what is there now. It ends by itself, so it makes no batches for timers alone, which would go on for ever."""
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
 
 
-def stream_breaker_openings(
-    events: DataFrame, window_us: int = H.WINDOW_US, min_samples: int = H.MIN_SAMPLES, threshold: float = H.THRESHOLD, pause_us: int = H.PAUSE_US,
-    delay_us: int = DELAY_US,
-) -> DataFrame:
-    """key, us, rate, open_until_us of openings over a stream of (key string, us, failed[, closes]).
+class _InOrder(StatefulProcessor):
+    """Holds a key's rows back, folds them in order, and gives late ones out as they are.
 
-    A row with closes set closes its key's breaker, after the events of its moment; it
-    isn't counted. open_until_us is as the breaker opened. A key's state goes when nothing
-    has come for twice the window and the breaker isn't open any more.
+    Subclasses have `row` (DDL of a waiting row, us first), `out` (names), fold() and late().
     """
-    if "closes" not in events.columns:
-        events = events.withColumn("closes", F.lit(False))
-
-    def step(key: tuple[Any], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        times, failed, until = state.get if state.exists else ([], [], None)
-        held = list(zip(times, failed))
-        last = times[-1] if times else None
-        new = pd.concat([pdf[["us", "failed", "closes"]] for pdf in batches]).dropna(subset=["us"])
-        fresh = {(int(u), bool(c), None if c else bool(f)) for u, f, c in zip(new["us"], new["failed"], new["closes"].fillna(False)) if last is None or u >= last}
-        fresh = sorted(fresh - {(u, False, f) for u, f in held}, key=lambda e: e[:2])
-        out = []
-        for i, (us, closes, fail) in enumerate(fresh):
+
+    row: str
+    out: list[str]
+
+    def __init__(self, hold_us: int, quiet_ms: int, kept_ms: int):
+        self.hold_us, self.quiet_ms, self.kept_ms = hold_us, quiet_ms, kept_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", self.row, self.kept_ms)
+        self.clock = handle.getValueState("clock", "us long", self.kept_ms)
+        self.open(handle)
+
+    def handleInputRows(self, key: tuple[Any], rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        done = self.clock.get()[0] if self.clock.exists() else None
+        waiting, out = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else [], []
+        newest = max((r[0] for r in waiting), default=done)
+        for pdf in rows:
+            for r in self.read(pdf):
+                if newest is None or r[0] > newest:
+                    newest = r[0]
+                if self.is_late(r, done):
+                    out.append(self.late(key[0], r))
+                elif not self.is_tick(r):
+                    waiting.append(r)
+        ready = [r for r in waiting if r[0] <= newest - self.hold_us]
+        rest = [r for r in waiting if r[0] > newest - self.hold_us]
+        out += self._folded(key[0], ready, newest - self.hold_us if newest is not None else None, done)
+        if rest:
+            self.waiting.put(rest)
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
+        elif waiting or self.waiting.exists():
+            self.waiting.clear()
+        yield pd.DataFrame(out, columns=self.out)
+
+    def handleExpiredTimer(self, key: tuple[Any], timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+        if waiting:
+            done = self.clock.get()[0] if self.clock.exists() else None
+            out = self._folded(key[0], waiting, max(r[0] for r in waiting), done)
+            self.waiting.clear()
+            yield pd.DataFrame(out, columns=self.out)
+
+    def _folded(self, key, ready: list[tuple], until: int | None, done: int | None) -> list[tuple]:
+        out = self.fold(key, sorted(set(ready) if self.distinct else ready, key=self.order)) if ready else []
+        if until is not None and (done is None or until > done):
+            self.clock.update((until,))
+        return out
+
+    def close(self) -> None:
+        pass
+
+
+class _Breaker(_InOrder):
+    row = "us long, closes boolean, failed boolean"
+    out = ["key", "us", "rate", "open_until_us", "late", "failed", "closes"]
+    distinct = True
+
+    def __init__(self, window_us: int, min_samples: int, threshold: float, pause_us: int, *wait: int):
+        super().__init__(*wait)
+        self.window_us, self.min_samples, self.threshold, self.pause_us = window_us, min_samples, threshold, pause_us
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.events = handle.getListState("events", "us long, failed boolean", self.kept_ms)
+        self.until = handle.getValueState("until", "us long", self.kept_ms)
+
+    def read(self, pdf: pd.DataFrame) -> Iterator[tuple]:
+        known = pdf.dropna(subset=["us"])
+        for us, closes, failed in zip(known["us"], known["closes"], known["failed"]):
+            shut = bool(closes) if not pd.isna(closes) else False
+            yield int(us), shut, None if shut or pd.isna(failed) else bool(failed)
+
+    def is_tick(self, r: tuple) -> bool:
+        return not r[1] and r[2] is None
+
+    def is_late(self, r: tuple, done: int | None) -> bool:
+        # events of one instant count together, so one that comes after the others were counted is late
+        return not self.is_tick(r) and done is not None and r[0] <= done
+
+    def order(self, r: tuple):
+        return r[:2]
+
+    def late(self, key, r: tuple) -> tuple:
+        return key, r[0], None, None, True, r[2], r[1]
+
+    def fold(self, key, ready: list[tuple]) -> list[tuple]:
+        held = deque((r[0], r[1]) for r in self.events.get()) if self.events.exists() else deque()
+        fails = sum(f for _, f in held)
+        until, out = self.until.get()[0] if self.until.exists() else None, []
+        for i, (us, closes, failed) in enumerate(ready):
             if closes:
                 until = None
                 continue
-            held.append((us, fail))
-            if i + 1 < len(fresh) and fresh[i + 1][:2] == (us, False):
+            held.append((us, failed))
+            fails += failed
+            if i + 1 < len(ready) and ready[i + 1][:2] == (us, False):
                 continue  # events of one instant count together
-            held = [e for e in held if e[0] > us - window_us]
-            rate = sum(f for _, f in held) / len(held)
-            if len(held) >= min_samples and rate > threshold and (until is None or us >= until):
-                until = us + pause_us
-                out.append((key[0], us, rate, until))
-        state.update(([u for u, _ in held], [f for _, f in held], until))
-        _forget(state, max([u for u, _ in held[-1:]] + [until or 0]) + 2 * window_us)
-        yield pd.DataFrame(out, columns=["key", "us", "rate", "open_until_us"])
-
-    return _timed(events, delay_us).groupBy("key").applyInPandasWithState(
-        step, "key string, us long, rate double, open_until_us long", "times array<long>, failed array<boolean>, until long", "append", GroupStateTimeout.EventTimeTimeout
-    )
+            while held[0][0] <= us - self.window_us:
+                fails -= held.popleft()[1]
+            rate = fails / len(held)
+            if len(held) >= self.min_samples and rate > self.threshold and (until is None or us >= until):
+                until = us + self.pause_us
+                out.append((key, us, rate, until, False, None, None))
+        if held:
+            self.events.put(list(held))
+        if until is not None:
+            self.until.update((until,))
+        elif self.until.exists():
+            self.until.clear()
+        return out
 
 
-def stream_token_bucket(
-    requests: DataFrame, capacity: float = H.CAPACITY, rate: float = H.REFILL_PER_S, idle_s: float = H.IDLE_S, delay_us: int = DELAY_US
-) -> DataFrame:
-    """key, us, wait_s over a stream of (key string, us).
+class _Bucket(_InOrder):
+    row = "us long"
+    out = ["key", "us", "wait_s", "late"]
+    distinct = False
 
-    A bucket that nothing has come for in idle_s seconds is full again, and forgotten.
-    """
+    def __init__(self, capacity: float, rate: float, idle_s: float, *wait: int):
+        super().__init__(*wait)
+        self.capacity, self.rate, self.idle_s = capacity, rate, idle_s
 
-    def step(key: tuple[Any], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        tokens, last = state.get if state.exists else (capacity, None)
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.bucket = handle.getValueState("bucket", "tokens double, last long", self.kept_ms)
+
+    def read(self, pdf: pd.DataFrame) -> Iterator[tuple]:
+        known = pdf.dropna(subset=["us"])
+        for us, asks in zip(known["us"], known["asks"]):
+            yield (int(us),) if asks else (int(us), None)
+
+    def is_tick(self, r: tuple) -> bool:
+        return len(r) > 1
+
+    def is_late(self, r: tuple, done: int | None) -> bool:
+        return not self.is_tick(r) and done is not None and r[0] < done
+
+    def order(self, r: tuple):
+        return r
+
+    def late(self, key, r: tuple) -> tuple:
+        return key, r[0], None, True
+
+    def fold(self, key, ready: list[tuple]) -> list[tuple]:
+        tokens, last = self.bucket.get() if self.bucket.exists() else (self.capacity, None)
         out = []
-        for us in sorted(int(u) for pdf in batches for u in pdf["us"].dropna()):
-            if last is not None and us < last:
-                continue
+        for (us,) in ready:
             elapsed = (us - last) / 1e6 if last is not None else 0.0
-            tokens = capacity if elapsed > idle_s else min(capacity, tokens + elapsed * rate)
+            tokens = self.capacity if elapsed > self.idle_s else min(self.capacity, tokens + elapsed * self.rate)
             last = us
-            out.append((key[0], us, 0.0 if tokens >= 1 else (1 - tokens) / rate))
+            out.append((key, us, 0.0 if tokens >= 1 else (1 - tokens) / self.rate, False))
             tokens -= 1 if tokens >= 1 else 0
-        state.update((tokens, last))
-        if last is not None:
-            _forget(state, last + int(idle_s * 1e6))
-        yield pd.DataFrame(out, columns=["key", "us", "wait_s"])
+        self.bucket.update((tokens, last))
+        return out
+
+
+def _with(df: DataFrame, **columns) -> DataFrame:
+    return df.withColumns({name: c for name, c in columns.items() if name not in df.columns})
+
+
+def stream_breaker_openings(
+    events: DataFrame, window_us: int = H.WINDOW_US, min_samples: int = H.MIN_SAMPLES, threshold: float = H.THRESHOLD, pause_us: int = H.PAUSE_US,
+    hold_us: int = HOLD_US, quiet_ms: int = QUIET_MS,
+) -> DataFrame:
+    """key, us, rate, open_until_us of openings over a stream of (key string, us, failed[, closes]); and late rows.
 
-    return _timed(requests, delay_us).groupBy("key").applyInPandasWithState(
-        step, "key string, us long, wait_s double", "tokens double, last long", "append", GroupStateTimeout.EventTimeTimeout
+    A row with closes set closes its key's breaker, after the events of its moment; it isn't
+    counted. open_until_us is as the breaker opened. Late rows have late set, their us, failed
+    and closes, and no rate; rows without us are none. Repeated events count once.
+    """
+    use_state_store(events.sparkSession)
+    rows = _with(events, closes=F.lit(False)).select("key", "us", "failed", "closes")
+    # a breaker needs one window of events and its pause, by the times of its rows
+    kept = max(KEPT_MS, math.ceil((2 * window_us + pause_us) / 1000))
+    return rows.groupBy("key").transformWithStateInPandas(
+        _Breaker(window_us, min_samples, threshold, pause_us, hold_us, quiet_ms, kept),
+        "key string, us long, rate double, open_until_us long, late boolean, failed boolean, closes boolean", "Append", "ProcessingTime",
+    )
+
+
+def stream_token_bucket(
+    requests: DataFrame, capacity: float = H.CAPACITY, rate: float = H.REFILL_PER_S, idle_s: float = H.IDLE_S, hold_us: int = HOLD_US, quiet_ms: int = QUIET_MS
+) -> DataFrame:
+    """key, us, wait_s over a stream of (key string, us[, asks]); late rows have late set and no wait_s.
+
+    A bucket that nothing has come for in idle_s seconds is full again.
+    """
+    use_state_store(requests.sparkSession)
+    rows = _with(requests, asks=F.lit(True)).select("key", "us", "asks")
+    kept = max(KEPT_MS, math.ceil(idle_s * 1000))
+    return rows.groupBy("key").transformWithStateInPandas(
+        _Bucket(capacity, rate, idle_s, hold_us, quiet_ms, kept), "key string, us long, wait_s double, late boolean", "Append", "ProcessingTime"
     )
+
+
+def routed(results: str, late: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: rows to one table and late rows to another, under the batch's id.
+
+    A batch that is run again after a failure overwrites what it wrote.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for path, rows in ((results, batch.filter("not late")), (late, batch.filter("late"))):
+                rows.drop("late").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return write

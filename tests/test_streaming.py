@@ -1,11 +1,13 @@
 import json
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from lotwise.operators import health as H
 from lotwise.sources import landing
-from lotwise.streaming.health import stream_breaker_openings, stream_token_bucket
+from lotwise.streaming.health import routed, start_available_now, stream_breaker_openings, stream_token_bucket
 from lotwise.streaming.listing import landed_stream, publish_details
 
 from .pages import detail
@@ -14,48 +16,91 @@ from .test_health import log  # noqa: F401
 S = 1_000_000
 
 
-def run(df, name, tmp_path):
-    q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
-    assert q.awaitTermination(300)
-    return sorted(map(tuple, df.sparkSession.table(name).collect()))
+def run(df, tmp_path, name="q"):
+    """Rows and late rows so far; a second call goes on from the checkpoint."""
+    out, late = str(tmp_path / name / "out"), str(tmp_path / name / "late")
+    q = df.writeStream.foreachBatch(routed(out, late)).option("checkpointLocation", str(tmp_path / name / "ck"))
+    assert start_available_now(q, df.sparkSession).awaitTermination(100)
+    return tuple(sorted(tuple(r)[:-1] for r in df.sparkSession.read.parquet(path).collect()) for path in (out, late))
+
+
+SCHEMA = "key string, us long, failed boolean"
+
+
+def write(spark, rows, path, schema=SCHEMA):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def reader(spark, path, schema=SCHEMA, files=1):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @pytest.fixture
-def source(spark, log, tmp_path):  # noqa: F811
-    path = str(tmp_path / "log")
-    rows = sorted(set(log), key=lambda r: r[1])
-    for i in range(0, len(rows), 500):
-        spark.createDataFrame(rows[i : i + 500], "key string, us long, failed boolean").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema("key string, us long, failed boolean").option("maxFilesPerTrigger", 1).parquet(path), spark.read.parquet(path)
+def rows(log):  # noqa: F811
+    return sorted(set(log), key=lambda r: r[1])[:1500]
 
 
-def test_breaker_as_in_batch(source, tmp_path):
-    stream, batch = source
-    got = run(stream_breaker_openings(stream), "openings", tmp_path)
-    want = sorted(map(tuple, H.breaker_openings(batch).collect()))
-    assert [g[:2] for g in got] == [w[:2] for w in want] and len(want) > 2
-    assert all(abs(g[2] - w[2]) < 1e-12 and g[3] == w[3] for g, w in zip(got, want))
+def same(got, want):
+    assert [g[:2] for g in got] == [w[:2] for w in want] and len(want) > 1
+    assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want))
 
 
-def test_bucket_as_in_batch(source, tmp_path):
-    stream, batch = source
-    got = run(stream_token_bucket(stream.select("key", "us"), rate=0.05), "waits", tmp_path)
-    want = sorted(map(tuple, H.token_bucket_waits(batch.select("key", "us"), rate=0.05).select("key", "us", "wait_s").collect()))
-    assert [g[:2] for g in got] == [w[:2] for w in want]
-    assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want)) and any(w[2] > 0 for w in want)
+def test_breaker_in_order_of_time(spark, rows, tmp_path):
+    path = str(tmp_path / "log")
+    cut = [i for i in range(0, len(rows), 500)]
+    for at in cut:
+        write(spark, rows[at : at + 500], path)
+    got, late = run(stream_breaker_openings(reader(spark, path)), tmp_path)
+    same([g[:4] for g in got], sorted(map(tuple, H.breaker_openings(spark.createDataFrame(rows, SCHEMA)).collect())))
+    assert not late
+
+
+def test_breaker_in_any_order_with_a_restart(spark, rows, tmp_path):
+    """What is held until ticks come is folded in order, whatever the files' order."""
+    path, shuffled = str(tmp_path / "log"), rows[:]
+    random.Random(2).shuffle(shuffled)
+    for at in range(0, len(rows), 500):
+        write(spark, shuffled[at : at + 500], path)
+    stream = lambda: stream_breaker_openings(reader(spark, path), hold_us=10**15)
+    assert run(stream(), tmp_path) == ([], [])
+    write(spark, [(k, 10**16, None) for k in {r[0] for r in rows}], path)
+    got, late = run(stream(), tmp_path)
+    same([g[:4] for g in got], sorted(map(tuple, H.breaker_openings(spark.createDataFrame(rows, SCHEMA)).collect())))
+    assert not late
+
+
+def test_bucket_and_late_rows_add_up(spark, rows, tmp_path):
+    path, shuffled = str(tmp_path / "log"), [r[:2] for r in rows]
+    random.Random(3).shuffle(shuffled)
+    for at in range(0, len(rows), 300):
+        write(spark, shuffled[at : at + 300], path, "key string, us long")
+    got, late = run(stream_token_bucket(reader(spark, path, "key string, us long"), rate=0.05), tmp_path)
+    assert late and sorted([g[:2] for g in got] + [r[:2] for r in late]) == sorted(shuffled)
+    want = H.token_bucket_waits(spark.createDataFrame([g[:2] for g in got], "key string, us long"), rate=0.05)
+    same(got, sorted(map(tuple, want.select("key", "us", "wait_s").collect())))
+
+
+def test_keys_that_lag_behind_others_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for key, us in (("a", 100_000 * S), ("b", 5 * S), ("c", 99_000 * S), ("a", 99_999 * S), (None, 1), ("d", None)):
+        write(spark, [(key, us)], path, "key string, us long")
+    got, late = run(stream_token_bucket(reader(spark, path, "key string, us long").filter("key is not null")), tmp_path)
+    assert [g[:2] for g in got] == [("a", 100_000 * S), ("b", 5 * S), ("c", 99_000 * S)] and [r[:2] for r in late] == [("a", 99_999 * S)]
 
 
-@pytest.mark.parametrize("operator", [stream_breaker_openings, stream_token_bucket])
-def test_state_of_quiet_keys_goes(spark, tmp_path, operator):
+def test_quiet_keys_are_folded_by_a_timer(spark, tmp_path):
     path = str(tmp_path / "log")
-    for key, us in (("a", 5 * S), ("b", 36_000 * S), ("c", 36_001 * S), ("d", -5 * S)):
-        spark.createDataFrame([(key, us, True)], "key string, us long, failed boolean").coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema("key string, us long, failed boolean").option("maxFilesPerTrigger", 1).parquet(path)
-    if operator is stream_token_bucket:
-        stream = stream.select("key", "us")
-    q = operator(stream).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
-    assert q.awaitTermination(120)
-    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 3  # a is gone; d came when the watermark was past it
+    write(spark, [("a", 2 * S), ("a", S), ("a", 3 * S)], path, "key string, us long")
+    q = stream_token_bucket(reader(spark, path, "key string, us long"), hold_us=10 * S, quiet_ms=500)
+    q = q.writeStream.format("memory").queryName("timed").option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="200 milliseconds").start()
+    try:
+        for _ in range(150):
+            time.sleep(0.2)
+            if spark.table("timed").count():
+                break
+        assert [r["us"] for r in spark.table("timed").orderBy("us").collect()] == [S, 2 * S, 3 * S]
+    finally:
+        q.stop()
 
 
 def test_details_into_the_outbox(spark, tmp_path):
