@@ -498,8 +498,22 @@ def landing_roundtrip(spark, sf_dir):
 def object_roundtrip(spark, sf_dir):
     path = scratch(spark, "objects")
     landing.export_objects(_landed(spark, sf_dir), path)
-    read = landing.read_objects(spark, path)
-    return read.select("source", F.col("dt").cast("string").alias("dt"), F.length(F.regexp_replace("html", r"\n\z", "")).cast("long").alias("html_chars"))
+    at = lambda i: F.split_part("s3_key", F.lit("/"), F.lit(i))
+    return landing.read_objects(spark, path).select(at(1).alias("source"), at(2).alias("dt"), F.length("html").cast("long").alias("html_chars"))
+
+
+@query(f"""
+WITH {_LANDED_SQL}
+SELECT page_id, length(html) AS html_chars, md5(html) AS html_md5,
+       source || '/' || strftime(seen, '%Y-%m-%d/%H%M%S') || '_' || lpad(lower(printf('%x', page_id)), 8, '0') || '.html.gz' AS s3_key
+FROM landed WHERE source = 'cars1'""")
+def objects_by_key(spark, sf_dir):
+    """Items and the objects that they were read from, by key, for one source."""
+    path = scratch(spark, "objects")
+    landed = _landed(spark, sf_dir)
+    landing.export_objects(landed, path)
+    objects = landing.read_objects(spark, path).filter(F.col("s3_key").startswith("cars1/"))
+    return landed.select("page_id", "s3_key").join(objects, "s3_key").select("page_id", F.length("html").cast("long").alias("html_chars"), F.md5("html").alias("html_md5"), "s3_key")
 
 
 @query(f"WITH {_LANDED_SQL} SELECT page_id, length(html) AS html_chars FROM landed WHERE page_id % 3 = 1")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .objects import KeyedObjects
+
 #: Version of the parsers, stamped on every landed page.
 PARSER_VERSION = "1.0.0"
 
@@ -44,14 +46,13 @@ def read_landed(spark: SparkSession, path: str, parser_versions: list[str] | Non
 
 
 def export_objects(pages: DataFrame, path: str) -> None:
-    """Write each page as a gzip object of its own under source=.../dt=..., for other readers."""
-    (
-        pages.select("source", F.to_date("fetched_at").alias("dt"), "html")
-        .write.mode("append").partitionBy("source", "dt")
-        .option("compression", "gzip").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
-    )
+    """Write each page (s3_key, html) as a gzip object under its key, for other readers."""
+    pages.sparkSession.dataSource.register(KeyedObjects)
+    pages.select("s3_key", "html").write.format("keyed_objects").option("path", path).mode("append").save()
 
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
-    """html, s3_key, and the partition columns of gzip objects, one row an object."""
-    return spark.read.text(path, wholetext=True).select("*", F.col("_metadata.file_path").alias("s3_key")).withColumnRenamed("value", "html")
+    """s3_key, html of objects that were written whole; filters on s3_key reach the reader."""
+    spark.dataSource.register(KeyedObjects)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("keyed_objects").option("path", path).load()
