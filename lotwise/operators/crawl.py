@@ -16,7 +16,9 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int) -> DataFrame:
     before found, and is checkpointed, so the plan doesn't grow with depth.
     """
     seen = checkpointed(seeds.select("url").filter("url is not null").distinct().withColumn("depth", F.lit(1)))
-    links = edges.select("url", "link").filter("url is not null and link is not null").distinct()
+    # cut once, dealt by url, so that a level shuffles only the pages before it
+    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = checkpointed(edges.select("url", "link").filter("url is not null and link is not null").repartition(n, "url").distinct())
     for depth in range(2, max_depth + 1):
         front = seen.filter(F.col("depth") == depth - 1).select("url")
         found = links.join(front, "url", "left_semi").select(F.col("link").alias("url")).distinct()

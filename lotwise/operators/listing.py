@@ -20,7 +20,9 @@ def _opened(pages: DataFrame) -> DataFrame:
 def page_cards(pages: DataFrame) -> DataFrame:
     """One row per card of each page: the page's columns but html, pos, card."""
     opened = _opened(pages).withColumn("_cards", E.cards(F.col("_search.results")))
-    return opened.select(*[c for c in pages.columns if c != "html"], F.posexplode("_cards").alias("pos", "card"))
+    # outer, as Spark filters what an inner one explodes beforehand, and parses each page for that once more
+    exploded = opened.select(*[c for c in pages.columns if c != "html"], F.posexplode_outer("_cards").alias("pos", "card"))
+    return exploded.filter(F.col("pos").isNotNull())
 
 
 def summary_rows(pages: DataFrame, source: str, now: Column | None = None) -> DataFrame:
@@ -75,7 +77,7 @@ def skipped_nodes(pages: DataFrame) -> DataFrame:
 
 
 def _nodes(pages: DataFrame) -> DataFrame:
-    exploded = _opened(pages).select("url", F.posexplode("_search.pagination.pagination_nodes_url").alias("pos", "node"))
+    exploded = _opened(pages).select("url", F.posexplode_outer("_search.pagination.pagination_nodes_url").alias("pos", "node")).filter(F.col("pos").isNotNull())
     quoted = F.get_json_object("node", "$.url")
     # from_json also turns numbers and objects into strings; a string's JSON text has quotes
     raw = F.from_json(F.when(E.is_object(F.col("node")), F.col("node")), "map<string,variant>")

@@ -60,7 +60,7 @@ def _delete(store, paths: list[str]) -> None:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """A task's manifest, and the first and last of its keys."""
+    """A task's manifest, and the first and last of its keys; '' for a task without rows."""
 
     manifest: str
     first: str
@@ -73,7 +73,7 @@ class ObjectWriter(DataSourceWriter):
             raise ValueError("objects have columns s3_key and html")
         self.path, self.at, self.job = path, [schema.names.index(c) for c in ("s3_key", "html")], uuid.uuid4().hex
 
-    def write(self, iterator: Iterator) -> Written | None:
+    def write(self, iterator: Iterator) -> Written:
         """Null html is an empty object; a null key is an error."""
         store, root = _store(self.path)
         keys: list[str] = []
@@ -85,7 +85,7 @@ class ObjectWriter(DataSourceWriter):
                 keys.append(key)
                 _put(store, f"{root}/{key}", gzip.compress((html or "").encode(), mtime=0))
             if not keys:
-                return None
+                return Written("", "", "")
             manifest = f"{_MANIFESTS}/{self.job}/{uuid.uuid4().hex}"
             _put(store, f"{root}/{manifest}", "\n".join(keys).encode())
             return Written(manifest, min(keys), max(keys))
@@ -95,7 +95,7 @@ class ObjectWriter(DataSourceWriter):
 
     def commit(self, messages: list) -> None:
         store, root = _store(self.path)
-        named = [[m.manifest, m.first, m.last] for m in messages if m is not None]
+        named = [[m.manifest, m.first, m.last] for m in messages if m is not None and m.manifest]
         _put(store, f"{root}/{_COMMITS}/{self.job}.json", json.dumps(named).encode())
 
     def abort(self, messages: list) -> None:

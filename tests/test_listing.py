@@ -71,3 +71,9 @@ def test_pages_that_cannot_be_read(spark):
 def test_plan_has_no_shuffle_and_no_python(spark):
     plan = L.summary_rows(frame(spark, [listing([card("a")])]), "cars")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_each_page_is_parsed_once(spark):
+    pages = frame(spark, [listing([])])
+    for df in (L.page_cards(pages), L.summary_rows(pages, "cars"), L.pagination_links(pages), L.skipped_nodes(pages)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("__NORDIC") == 1
