@@ -181,6 +181,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
         f = fingerprint(edited) if cut else own
         return doc, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), hexadecimal(own), hexadecimal(f), likeness(own, f), likeness(own, b[3])
 
+    def whole(held):
+        if held is not None:
+            raise RuntimeError("a run has no row after its last: docs gave other rows when it was read again")
+
     def walk(batches):
         held = None
         for batch in sliced(batches):
@@ -191,9 +195,11 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
                     out.append(pair(held, this))
                     held = None if tail else this
                 elif not tail:
+                    whole(held)
                     held = (doc, text or "", run, fingerprint(text or ""))
             columns = list(zip(*out)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [doc_type, *types])], names)
+        whole(held)
 
     return (
         with_next(docs, parts)
