@@ -97,10 +97,27 @@ def is_open(open_until_us: Column, now_us: Column) -> Column:
     return F.coalesce(open_until_us > now_us, F.lit(False))
 
 
-def admitted(requests: DataFrame, openings: DataFrame) -> DataFrame:
-    """Requests (key, us) that come while their breaker is not open."""
-    o = openings.select(F.col("key").alias("_key"), F.col("us").alias("_from"), "open_until_us")
-    return requests.join(o, (F.col("key") == F.col("_key")) & (F.col("us") > F.col("_from")) & is_open(F.col("open_until_us"), F.col("us")), "left_anti")
+#: A key's time is cut into spans of so long for the gate.
+GATE_SPAN_US = 4 * PAUSE_US
+
+
+def admitted(requests: DataFrame, openings: DataFrame, span_us: int = GATE_SPAN_US) -> DataFrame:
+    """Requests (key, us) that come while their breaker is not open.
+
+    Openings and requests are merged in order of time, and the latest end of an opening so
+    far is carried to each request; no range is joined. A key's time is cut into spans, and
+    only one row for each span meets others of its key. An opening counts from after its
+    moment on; requests without a key or a moment are admitted.
+    """
+    ends = openings.filter("key is not null and us is not null").select("key", "us", F.col("open_until_us").alias("_until"), F.lit(1).alias("_opening"))
+    merged = requests.withColumn("_opening", F.lit(0)).unionByName(ends, allowMissingColumns=True)
+    merged = merged.withColumn("_span", F.floor(F.col("us") / F.lit(span_us)).cast("long"))
+    earlier = Window.partitionBy("key").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    spans = merged.groupBy("key", "_span").agg(F.max("_until").alias("_top")).select("key", "_span", F.max("_top").over(earlier).alias("_carry"))
+    so_far = Window.partitionBy("key", "_span").orderBy("us", "_opening").rowsBetween(Window.unboundedPreceding, 0)
+    open_until = F.greatest(F.max("_until").over(so_far), F.col("_carry"))
+    gated = merged.join(spans, ["key", "_span"], "left").withColumn("_refused", is_open(open_until, F.col("us")))
+    return gated.filter((F.col("_opening") == 0) & ~F.col("_refused")).select(*requests.columns)
 
 
 def opening_alerts(openings: DataFrame) -> DataFrame:

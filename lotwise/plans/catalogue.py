@@ -20,6 +20,7 @@ from ..sinks import outbox
 from ..sources import landing, seeds
 from ..streaming import health as stream_health
 from ..streaming import listing as stream_listing
+from ..streaming import retry as stream_retry
 from . import settings, synth
 from .lineage import scratch
 
@@ -567,22 +568,20 @@ def outbox_status(spark, sf_dir):
     return outbox.with_outcome(found, reports).groupBy(brand, "status").agg(F.count("*").alias("messages"))
 
 
-@query("""
-SELECT * FROM (VALUES ('breaker.window_us', '300000000'), ('breaker.min_samples', '20'), ('breaker.threshold', '0.3'), ('breaker.pause_us', '1800000000'),
-  ('bucket.capacity', '5.0'), ('bucket.refill_per_s', '0.5'), ('bucket.idle_s', '3600.0'), ('backoff.base_s', '5.0'), ('backoff.max_s', '300.0'),
-  ('backoff.sigma', '0.4'), ('outbox.exchange', 'other'), ('outbox.routing_key', 'listing.observed'), ('parser_version', '1.0.0')) t(name, value)""")
+@query(_OPENINGS_SQL.replace("total >= 10", "total >= 12").replace("> 0.3", "> 0.35") + "SELECT key, us, round(rate, 6) AS rate, until AS open_until_us FROM fold WHERE opened")
 def session_settings(spark, sf_dir):
+    """Breaker openings under the settings of a session."""
     session = spark.newSession()
-    session.conf.set("lotwise.breaker.min_samples", "20")
-    session.conf.set("lotwise.outbox.exchange", "other")
-    return settings.settings(session)
+    for name, value in (("window_us", 3 * _DAY), ("min_samples", 12), ("threshold", 0.35), ("pause_us", 2 * _DAY)):
+        session.conf.set(f"lotwise.breaker.{name}", str(value))
+    return health.breaker_openings(_events(spark, sf_dir), **settings.breaker_settings(session)).withColumn("rate", F.round("rate", 6))
 
 
 #: Files that the events are dealt over, in no order of time.
 _FILES = 12
 
 
-def _streamed(spark, sf_dir, columns, operator, ticks: dict) -> DataFrame:
+def _streamed(spark, sf_dir, columns, operator, ticks: dict, sink=None, schema: str | None = None) -> DataFrame:
     """Rows that a stream gives over the events in many files, each with rows of all times, and a restart.
 
     Rows wait until their key's last one is known: a file of ticks, one a key, comes after
@@ -594,14 +593,17 @@ def _streamed(spark, sf_dir, columns, operator, ticks: dict) -> DataFrame:
 
     def run():
         stream = operator(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(path))
-        writer = stream.writeStream.foreachBatch(stream_health.routed(out, late)).option("checkpointLocation", progress)
+        writer = stream.writeStream.foreachBatch(stream_health.routed(out, late) if sink is None else sink(out)).option("checkpointLocation", progress)
         stream_health.start_available_now(writer, spark).awaitTermination()
         return stream.drop("late")
 
     run()
     last = rows.groupBy("key").agg(F.max("us").alias("us")).select("key", (F.col("us") + 2 * _HOLD_US).alias("us"), *[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in ticks.items()])
     last.write.mode("append").parquet(path)
-    schema = run().schema
+    found = run()
+    if sink is not None:
+        return spark.read.schema(schema).parquet(f"{out}/batch=*")
+    schema = found.schema
     read = lambda p: spark.read.schema(schema).parquet(f"{p}/batch=*")
     return read(out).unionByName(read(late))
 
@@ -630,6 +632,24 @@ def stream_breaker_closings(spark, sf_dir):
     return _stream_openings(spark, sf_dir, closing=True)
 
 
+@query(SQL["opening_alerts"].replace("SELECT key, us, 'breaker", "SELECT CAST(key AS VARCHAR) AS key, us, 'breaker"))
+def stream_alerts(spark, sf_dir):
+    operator = lambda events: stream_health.stream_breaker_openings(events, **_RATE, pause_us=2 * _DAY, hold_us=_HOLD_US)
+    columns = [(F.col("event_type") == "error").alias("failed"), F.lit(False).alias("closes")]
+    return _streamed(spark, sf_dir, columns, operator, {"failed": None, "closes": False}, stream_health.alerted, "key string, us long, message string")
+
+
+@query("""
+SELECT 'u' || user_id AS url, CAST(event_id % 4 + 1 AS INTEGER) AS attempt, epoch_us(ts) + CAST(5000000 * power(2.0, event_id % 4) AS BIGINT) AS due_us
+FROM events WHERE [200, 403, 404, 429, 503][event_id % 5 + 1] IN (403, 429, 503) AND event_id % 4 < 3""")
+def stream_retries(spark, sf_dir):
+    k = F.col("event_id")
+    status = F.element_at(F.array(*[F.lit(s) for s in (200, 403, 404, 429, 503)]), (k % 5 + 1).cast("int")).alias("status")
+    operator = lambda log: stream_retry.stream_retries(log.withColumnRenamed("key", "url"))
+    due = _streamed(spark, sf_dir, [status, (k % 4).cast("int").alias("attempt")], operator, {"status": 200, "attempt": 0}, stream_retry.appended, "url string, attempt int, due_us long")
+    return due.select(F.concat(F.lit("u"), "url").alias("url"), "attempt", "due_us")
+
+
 @query(SQL["token_bucket_waits"].replace("SELECT key, us, seq, round(wait_s, 6)", "SELECT CAST(key AS VARCHAR) AS key, us, round(wait_s, 6)"))
 def stream_token_bucket(spark, sf_dir):
     operator = lambda asked: stream_health.stream_token_bucket(asked, capacity=1.0, rate=0.0001, idle_s=50000.0, hold_us=_HOLD_US)

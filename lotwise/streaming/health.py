@@ -266,3 +266,12 @@ def routed(results: str, late: str) -> Callable[[DataFrame, int], None]:
             batch.unpersist()
 
     return write
+
+
+def alerted(alerts: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch over openings: one alert (key, us, message) for each, under the batch's id.
+
+    A batch that is run again overwrites its alerts, so it adds none.
+    """
+
+    return lambda batch, batch_id: H.opening_alerts(batch.filter("not late")).write.mode("overwrite").parquet(f"{alerts}/batch={batch_id}")

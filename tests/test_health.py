@@ -130,3 +130,18 @@ def test_retries(spark):
     got = {(r["url"], r["attempt"]): (r["will_retry"], r["delay_s"]) for r in H.retry_log(log).collect()}
     assert got == {("u", 0): (True, 5.0), ("u", 1): (True, 10.0), ("u", 2): (False, None), ("v", 0): (True, 5.0), ("v", 3): (False, None), ("w", 0): (False, None)}
     assert sorted(map(tuple, H.final_responses(log).collect())) == [("u", 2, 200, False), ("v", 3, 429, True), ("w", 0, 404, True)]
+
+
+def test_gate_by_spans_as_by_ranges(spark):
+    import random
+
+    rnd = random.Random(9)
+    opened = [(rnd.choice("ab"), rnd.randint(0, 2000)) for _ in range(40)] + [(None, 5), ("a", None)]
+    openings = [(k, us, None if us is None else us + rnd.choice([0, 3, 50, 400])) for k, us in opened]
+    asked = [(rnd.choice(["a", "b", "c", None]), rnd.choice([None, *range(2500)]), i) for i in range(1500)] + [("a", us, 9999) for k, us, _ in openings if k == "a" and us]
+    want = [r for r in asked if not any(k == r[0] and r[0] is not None and us is not None and r[1] is not None and us < r[1] < until for k, us, until in openings)]
+    requests = spark.createDataFrame(asked, "key string, us long, extra int")
+    for span in (7, 100, 10**6):
+        got = H.admitted(requests, spark.createDataFrame(openings, "key string, us long, open_until_us long"), span)
+        assert got.columns == ["key", "us", "extra"] and sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
