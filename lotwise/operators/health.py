@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import is_retryable
+from ..plans.lineage import checkpointed
+from .chains import chain, next_point
 
 # The defaults of the models.
 WINDOW_US = 300_000_000
@@ -51,9 +53,13 @@ def error_rates(events: DataFrame, window_us: int = WINDOW_US, min_samples: int
     return counted.filter("_own = _span").select("key", "us", "failed", "total", "fails", rate.alias("rate"))
 
 
+#: Keys with more points over the threshold than this follow pointers rather than one task's fold.
+FOLD_POINTS = 1_000_000
+
+
 def breaker_openings(
     events: DataFrame, window_us: int = WINDOW_US, min_samples: int = MIN_SAMPLES, threshold: float = THRESHOLD, pause_us: int = PAUSE_US,
-    closes: DataFrame | None = None,
+    closes: DataFrame | None = None, fold_points: int = FOLD_POINTS,
 ) -> DataFrame:
     """key, us, rate, open_until_us of each opening.
 
@@ -61,12 +67,36 @@ def breaker_openings(
     it is open while open_until is after now. closes (key, us) are moments at which someone
     closes it, after the events of that moment: open_until ends there, and what is over the
     threshold later opens it anew; counted events stay. Only events over the threshold and
-    closes are folded.
+    closes are looked at: a key with up to fold_points of them (it changes the way, not the
+    rows) is folded by one task, others follow pointers from opening to opening.
     """
     rates = error_rates(events, window_us, min_samples)
     over = rates.filter(F.col("rate") > threshold).select("key", "us", "rate").distinct().withColumn("closes", F.lit(False))
     if closes is not None:
         over = over.unionByName(closes.select("key", "us", F.lit(None).cast("double").alias("rate"), F.lit(True).alias("closes")).filter("us is not null"))
+    over = checkpointed(over)
+    hot = checkpointed(over.groupBy(F.struct("key").alias("_k")).count().filter(F.col("count") > fold_points).select("_k"))
+    if hot.isEmpty():
+        return _folded_openings(over, pause_us)
+    of_key = F.struct("key") == F.col("_k")
+    return _folded_openings(over.join(hot, of_key, "left_anti"), pause_us).unionByName(_linked_openings(over.join(hot, of_key, "left_semi"), pause_us))
+
+
+def _linked_openings(over: DataFrame, pause_us: int) -> DataFrame:
+    """Openings along pointers: each point's is the first one past its pause, or past the first close from it on."""
+    span = 4 * pause_us
+    points, closes = over.filter("not closes").select("key", "us", "rate"), over.filter("closes")
+    closed = next_point(points.withColumn("at", F.col("us")), closes.select("key", "us").distinct(), "_close", span)
+    ends = F.least(F.col("us") + F.lit(pause_us), F.col("_close"))
+    # a close comes after the events of its moment, the end of a pause before them
+    past = F.when(F.col("_close") < F.col("us") + F.lit(pause_us), F.col("_close") + 1).otherwise(F.col("us") + F.lit(pause_us))
+    known = checkpointed(closed.select("key", "us", "rate", ends.alias("open_until_us"), past.alias("at")))
+    opened = chain(next_point(known, points, "next", span)).select(F.col("key").alias("_k"), F.col("us").alias("_us"))
+    return known.join(opened, F.col("key").eqNullSafe(F.col("_k")) & (F.col("us") == F.col("_us")), "left_semi").select("key", "us", "rate", "open_until_us")
+
+
+def _folded_openings(over: DataFrame, pause_us: int) -> DataFrame:
+    """Openings by one fold of each key in order of time."""
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, until, opened = object(), None, None
@@ -88,7 +118,7 @@ def breaker_openings(
         if opened:
             yield pd.DataFrame([opened], columns=["key", "us", "rate", "open_until_us"])
 
-    kind = events.schema["key"].dataType.simpleString()
+    kind = over.schema["key"].dataType.simpleString()
     return over.repartition("key").sortWithinPartitions("key", "us", "closes").mapInPandas(fold, f"key {kind}, us long, rate double, open_until_us long")
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise.operators import chains as C
 from lotwise.operators import health as H
 
 S = 1_000_000
@@ -77,6 +78,41 @@ def test_closing(spark):
     assert [tuple(r) for r in H.admitted(asked, opened).collect()] == [("k", 10 * S)]
 
 
+@pytest.mark.parametrize("fold_points", [0, 40])
+def test_pointers_like_the_fold(spark, log, fold_points):
+    """All keys, or the hot one only, along pointers: the fold's rows, with closes and without, a null key too."""
+    rnd = random.Random(4)
+    events = frame(spark, [(None if k == "b" else k, us, f) for k, us, f in log] + [("once", i * S, True) for i in range(12)])
+    closes = spark.createDataFrame([(rnd.choice(["a", None, "none"]), rnd.randrange(0, 40_000) * 100_000) for _ in range(60)], "key string, us long")
+    for shut in (None, closes):
+        for pause in (7 * S, 90 * S, H.PAUSE_US):
+            known = dict(pause_us=pause, closes=shut)
+            want = sorted(map(tuple, H.breaker_openings(events, **known).collect()), key=str)
+            got = sorted(map(tuple, H.breaker_openings(events, **known, fold_points=fold_points).collect()), key=str)
+            assert got == want and {w[0] for w in want} == {None, "a", "once"}
+
+
+def test_pointers_of_a_single_key_leave_no_task_with_all(spark):
+    """A key that always fails: no Python, no range join, and no window over more of a key than a span but for one row a span."""
+    events = frame(spark, [("k", i * S, True) for i in range(4000)])
+    opened = H.breaker_openings(events, pause_us=3 * S, fold_points=0)
+    assert [r["us"] for r in opened.orderBy("us").collect()] == list(range(9 * S, 4000 * S, 3 * S))
+    assert H.breaker_openings(frame(spark, []), fold_points=0).count() == 0
+    points = spark.createDataFrame([("k", 5)], "key string, us long")
+    plan = C.next_point(points.withColumn("at", F.col("us")), points, "next", 10)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Python" not in plan and "key#" in plan
+    by_key = [line for line in plan.splitlines() if "Window [" in line and "_span" not in line.split("],", 1)[1].split("],")[0]]
+    assert len(by_key) <= 1
+
+
+def test_next_point(spark):
+    asked = spark.createDataFrame([("a", 0, 1), ("a", 5, 2), ("a", 6, 3), ("a", 100, 4), (None, 3, 5), ("b", 1, 6), ("a", None, 7)], "key string, at long, id int")
+    points = spark.createDataFrame([("a", 5), ("a", 99), ("a", -3), (None, 50)], "key string, us long")
+    for span in (1, 7, 1000):
+        got = {r["id"]: r["n"] for r in C.next_point(asked, points, "n", span).collect()}
+        assert got == {1: 5, 2: 5, 3: 99, 4: None, 5: 50, 6: None, 7: None}
+
+
 def test_gate_and_alerts(spark):
     log = frame(spark, [("k", i * S, i % 2 == 0) for i in range(10)])
     openings = H.breaker_openings(log)
