@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,12 +60,30 @@ def is_object(json: Column) -> Column:
     return F.coalesce(F.ltrim(json).startswith("{"), F.lit(False))
 
 
-def json_ld(html: Column, type_name: str) -> Column:
-    """JSON text of the first node whose @type is that name; a list of types is no match."""
+def typed_nodes(html: Column) -> Column:
+    """array<struct<json, type>>: the JSON-LD nodes with their @type; null for what is no object."""
     kind = T.StructType([T.StructField("@type", T.StringType())])
-    return F.get(
-        F.filter(json_ld_nodes(html), lambda n: is_object(n) & F.coalesce(F.from_json(n, kind, STRICT)["@type"] == type_name, F.lit(False))), 0
-    )
+    typed = lambda n: F.struct(n.alias("json"), F.from_json(F.when(is_object(n), n), kind, STRICT)["@type"].alias("type"))
+    return F.transform(json_ld_nodes(html), typed)
+
+
+def first_of_type(nodes: Column, type_name: str) -> Column:
+    """JSON text of the first of typed_nodes() whose @type is that name; a list of types is no match."""
+    return F.get(F.filter(nodes, lambda n: F.coalesce(n["type"] == type_name, F.lit(False))), 0)["json"]
+
+
+def json_ld(html: Column, type_name: str) -> Column:
+    """JSON text of the page's first node whose @type is that name."""
+    return first_of_type(typed_nodes(html), type_name)
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that filters and projections over them don't compute anew.
+
+    Spark puts a projection's expressions again into each filter over it; what a generator
+    gives it takes as it is.
+    """
+    return df.select("*", F.inline_outer(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
 
 
 def cards(results: Column) -> Column:

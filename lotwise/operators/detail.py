@@ -14,8 +14,12 @@ PRIVATE = "particular"
 
 
 def breadcrumb_text(node: Column) -> Column:
+    """The text of a breadcrumb's JSON."""
+    return crumbs_text(F.from_json(node, schemas.BREADCRUMB, E.STRICT)["itemListElement"])
+
+
+def crumbs_text(items: Column) -> Column:
     """Names in order of position (none: 0; ties: as listed), joined; null without names."""
-    items = F.from_json(node, schemas.BREADCRUMB, E.STRICT)["itemListElement"]
     sortable = F.transform(
         F.filter(items, lambda e: e.isNotNull()),
         lambda e, i: F.struct(
@@ -37,14 +41,16 @@ def seller(components: Column) -> Column:
 
 
 def _read(pages: DataFrame) -> DataFrame:
-    """Each JSON is parsed once and kept as a column."""
-    html = F.col("html")
-    return (
-        pages.filter(P.is_parseable(F.col("http_status")))
-        .withColumn("_context", E.context(html, schemas.DETAIL_CONTEXT))
-        .withColumn("_vehicle", F.from_json(E.json_ld(html, "Vehicle"), schemas.VEHICLE, E.STRICT))
-        .withColumn("_components", F.col("_context.appProps.pageProps.initialState.components"))
-    )
+    """Pages with what their scripts hold; each script is found, and each JSON parsed, once."""
+    html, nodes = F.col("html"), F.col("_nodes")
+    found = E.computed_once(pages.filter(P.is_parseable(F.col("http_status"))), _text=E.context_text(html), _nodes=E.typed_nodes(html))
+    return E.computed_once(
+        found,
+        _script=F.col("_text").isNotNull() | E.has_context_script(html),
+        _context=F.from_json("_text", schemas.DETAIL_CONTEXT, E.STRICT),
+        _vehicle=F.from_json(E.first_of_type(nodes, "Vehicle"), schemas.VEHICLE, E.STRICT),
+        _crumbs=F.from_json(E.first_of_type(nodes, "BreadcrumbList"), schemas.BREADCRUMB, E.STRICT)["itemListElement"],
+    ).withColumn("_components", F.col("_context.appProps.pageProps.initialState.components"))
 
 
 def _rows_without_label() -> Column:
@@ -53,11 +59,10 @@ def _rows_without_label() -> Column:
 
 
 def _reason() -> Column:
-    html = F.col("html")
     return (
-        F.when(~E.has_context_script(html), "no context script")
-        .when(E.context_text(html).isNull(), "no context mark")
-        .when(F.col("_context").isNull() | F.col("_context.appProps").isNull() & F.try_parse_json(E.context_text(html)).isNull(), "context is not JSON")
+        F.when(~F.col("_script"), "no context script")
+        .when(F.col("_text").isNull(), "no context mark")
+        .when(F.col("_context").isNull() | F.col("_context.appProps").isNull() & F.try_parse_json("_text").isNull(), "context is not JSON")
         .when(F.coalesce(_rows_without_label(), F.lit(False)), "proximity row without a label")
     )
 
@@ -85,7 +90,7 @@ def detail_rows(pages: DataFrame, source: str, now: Column | None = None) -> Dat
         F.col("_vehicle.offers.price").alias("price_amount"),
         F.col("_vehicle.offers.priceCurrency").alias("price_currency"),
         F.col("_vehicle.offers.priceValidUntil").alias("price_valid_until"),
-        breadcrumb_text(E.json_ld(F.col("html"), "BreadcrumbList")).alias("breadcrumb_raw"),
+        crumbs_text(F.col("_crumbs")).alias("breadcrumb_raw"),
         F.col("_components.header.subtitle").alias("subtitle_raw"),
         F.get("_components.item_proximity.content_rows", F.lit(0))["label"]["text"].alias("location_raw"),
         F.col("_components.highlighted_specs_attrs.components").alias("highlighted_specs_raw"),
@@ -106,13 +111,7 @@ def detail_quarantine(pages: DataFrame) -> DataFrame:
     A JSON-LD value that is no object is skipped by the reader; its page is listed, and
     so is a page with a breadcrumb position that is no number.
     """
-    read = _read(pages)
-    left_out = read.withColumn("reason", _reason()).filter("reason is not null")
-    nodes = E.json_ld_nodes(F.col("html"))
-    odd_node = read.filter(F.exists(nodes, lambda n: ~E.is_object(n))).withColumn("reason", F.lit("JSON-LD value is no object"))
-    items = F.from_json(E.json_ld(F.col("html"), "BreadcrumbList"), schemas.BREADCRUMB, E.STRICT)["itemListElement"]
-    odd_position = read.filter(
-        F.exists(items, lambda e: e["position"].isNotNull() & e["position"].try_cast("double").isNull())
-    ).withColumn("reason", F.lit("breadcrumb position is no number"))
-    columns = ["s3_key", "url", "reason"]
-    return left_out.select(columns).unionByName(odd_node.select(columns)).unionByName(odd_position.select(columns))
+    odd_node = F.exists("_nodes", lambda n: ~E.is_object(n["json"]))
+    odd_position = F.exists("_crumbs", lambda e: e["position"].isNotNull() & e["position"].try_cast("double").isNull())
+    reasons = F.array(_reason(), F.when(odd_node, "JSON-LD value is no object"), F.when(odd_position, "breadcrumb position is no number"))
+    return _read(pages).select("s3_key", "url", F.explode_outer(F.array_compact(reasons)).alias("reason")).filter(F.col("reason").isNotNull())

@@ -18,6 +18,7 @@ from ..functions import urls as U
 from ..operators import crawl, detail, health, listing
 from ..sinks import outbox
 from ..sources import landing, seeds
+from ..streaming import crawl as stream_crawl
 from ..streaming import health as stream_health
 from ..streaming import listing as stream_listing
 from ..streaming import retry as stream_retry
@@ -283,7 +284,7 @@ _RATE = {"window_us": 3 * _DAY, "min_samples": 10}
 
 def _events(spark, sf_dir) -> DataFrame:
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return _table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), us.alias("us"), (F.col("event_type") == "error").alias("failed"))
+    return _table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), us.alias("us"), (F.col("event_type") == "error").alias("failed"), "event_type")
 
 
 _RATES_SQL = f"""
@@ -315,6 +316,24 @@ def breaker_openings(spark, sf_dir):
     return health.breaker_openings(_events(spark, sf_dir), **_RATE, pause_us=2 * _DAY).withColumn("rate", F.round("rate", 6))
 
 
+_HOT_RATES_SQL = _RATES_SQL.replace("user_id AS key", "'all' AS key").replace("event_type = 'error'", "event_type IN ('error', 'signup')").replace(str(3 * _DAY - 1), str(_DAY - 1))
+
+
+@query(f"""
+WITH RECURSIVE {_HOT_RATES_SQL},
+over_it AS (SELECT DISTINCT key, us, fails / CAST(total AS DOUBLE) AS rate FROM rates WHERE total >= 10 AND fails / CAST(total AS DOUBLE) > 0.3),
+leads AS (SELECT a.key, a.us, a.rate, b.us AS next FROM over_it a ASOF LEFT JOIN over_it b ON a.key = b.key AND a.us + {_DAY // 6} <= b.us),
+fold(key, us, rate, next) AS (
+  SELECT * FROM leads WHERE us = (SELECT min(us) FROM leads)
+  UNION ALL
+  SELECT l.* FROM leads l JOIN fold f ON l.key = f.key AND l.us = f.next)
+SELECT key, us, round(rate, 6) AS rate, us + {_DAY // 6} AS open_until_us FROM fold""")
+def hot_breaker_openings(spark, sf_dir):
+    """The breaker of one key that all events are of, along pointers."""
+    events = _events(spark, sf_dir).select(F.lit("all").alias("key"), "us", F.col("event_type").isin("error", "signup").alias("failed"))
+    return health.breaker_openings(events, window_us=_DAY, pause_us=_DAY // 6, fold_points=0).withColumn("rate", F.round("rate", 6))
+
+
 @query(_OPENINGS_SQL + "SELECT key, us, 'breaker opened for ' || key || ' at rate ' || CAST(round(rate, 4) AS VARCHAR) AS message FROM fold WHERE opened")
 def opening_alerts(spark, sf_dir):
     return health.opening_alerts(health.breaker_openings(_events(spark, sf_dir), **_RATE, pause_us=2 * _DAY))
@@ -411,11 +430,12 @@ def retry_schedule(spark, sf_dir):
     return health.retry_log(_attempts(spark, sf_dir))
 
 
-def _edges(spark, sf_dir) -> DataFrame:
+def _edges(spark, sf_dir, dont_filter=None) -> DataFrame:
     """Links between as many pages as there are customers, and some more that link nowhere."""
     pages = _table(spark, sf_dir, "customer").count() * 9 // 8
     return _table(spark, sf_dir, "orders").select(
-        F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("url"), F.concat(F.lit("p"), (F.col("o_orderkey") * 31 % pages).cast("string")).alias("link")
+        F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("url"), F.concat(F.lit("p"), (F.col("o_orderkey") * 31 % pages).cast("string")).alias("link"),
+        *([] if dont_filter is None else [dont_filter.alias("dont_filter")]),
     )
 
 
@@ -656,6 +676,25 @@ def stream_token_bucket(spark, sf_dir):
     return _streamed(spark, sf_dir, [F.lit(True).alias("asks")], operator, {"asks": False}).withColumn("wait_s", F.round("wait_s", 6))
 
 
+@query("""
+WITH asked AS (SELECT 'p' || (o_orderkey * 31 % (SELECT count(*) * 9 // 8 FROM customer)) AS url, o_orderkey % 7 = 0 AS dont_filter FROM orders)
+SELECT DISTINCT url, false AS dont_filter FROM asked WHERE NOT dont_filter AND url NOT IN (SELECT 'p' || c_custkey FROM customer WHERE c_custkey % 11 = 0)
+UNION ALL SELECT url, true FROM asked WHERE dont_filter""")
+def stream_frontier(spark, sf_dir):
+    """Links in many files, some of them retries, over several batches and a restart."""
+    path, out, progress = (scratch(spark, x) for x in ("links", "out", "progress"))
+    links = _edges(spark, sf_dir, F.col("o_orderkey") % 7 == 0).drop("url").withColumnRenamed("link", "url")
+    visited = _table(spark, sf_dir, "customer").filter("c_custkey % 11 = 0").select(F.concat(F.lit("p"), F.col("c_custkey").cast("string")).alias("url"))
+    dealt = F.pmod(F.xxhash64("url", "dont_filter"), F.lit(_FILES))
+    for half in (0, 1):
+        # both halves have rows of most urls
+        links.filter(F.pmod(F.monotonically_increasing_id(), F.lit(2)) == half).repartition(_FILES // 2, dealt).write.mode("append").parquet(path)
+        stream = stream_crawl.stream_unseen(spark.readStream.schema(links.schema).option("maxFilesPerTrigger", 2).parquet(path), visited)
+        writer = stream.writeStream.foreachBatch(stream_retry.appended(out)).option("checkpointLocation", progress)
+        stream_health.start_available_now(writer, spark).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/batch=*")
+
+
 @query(f"SELECT 'S' || s_suppkey AS sku, n_name AS brand, 1 AS schema_version {_SUPPLIER_FROM}")
 def stream_outbox(spark, sf_dir):
     raw, box = scratch(spark, "landing"), scratch(spark, "outbox")

@@ -60,3 +60,11 @@ def test_quarantine(spark):
 def test_plan_has_no_shuffle_and_no_python(spark):
     plan = D.detail_rows(frame(spark, [detail({}, VEHICLE)]), "cars")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_each_script_is_found_and_parsed_once(spark):
+    pages = frame(spark, [detail({}, VEHICLE)])
+    for df in (D.detail_rows(pages, "cars"), D.detail_quarantine(pages)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("StructField(appProps") == 1 and plan.count("application/ld") == 1 and plan.count("_n\\.ctx\\.r=") == 1, plan
+        assert plan.count("StructField(sku") <= 1 and plan.count("StructField(itemListElement") == 1

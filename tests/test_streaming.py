@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators import health as H
 from lotwise.sources import landing
+from lotwise.streaming.crawl import stream_unseen
 from lotwise.streaming.health import alerted, routed, start_available_now, stream_breaker_openings, stream_token_bucket
 from lotwise.streaming.retry import appended, stream_retries
 from lotwise.streaming.listing import landed_stream, publish_details
@@ -148,3 +149,23 @@ def test_retries_come_out_when_they_are_due(spark, tmp_path):
         assert found() == want and time.time() * S >= want[2][2]
     finally:
         q.stop()
+
+
+def test_each_url_is_followed_once(spark, tmp_path):
+    """Across batches and a restart, with repeats within a batch, retries, visited urls and nulls."""
+    path, out, schema = str(tmp_path / "asked"), str(tmp_path / "out"), "url string, dont_filter boolean, url_from string"
+    visited = spark.createDataFrame([("/old",), (None,)], "url string")
+
+    def go():
+        frontier = stream_unseen(reader(spark, path, schema), visited)
+        q = frontier.writeStream.foreachBatch(appended(out)).option("checkpointLocation", str(tmp_path / "ck"))
+        assert start_available_now(q, spark).awaitTermination(100)
+        return sorted(map(tuple, spark.read.schema("url string, dont_filter boolean").parquet(f"{out}/batch=*").collect()))
+
+    write(spark, [("/a", False, "x"), ("/a", None, "y"), ("/b", True, "x"), ("/old", False, "x"), (None, False, "x"), (None, True, "x"), ("", False, "x")], path, schema)
+    write(spark, [("/a", False, "x"), ("/b", True, "x"), ("/b", True, "x"), ("/old", True, "x")], path, schema)
+    first = go()
+    assert first == [("", False), ("/a", False), ("/b", True), ("/b", True), ("/b", True), ("/old", True)]
+    # a retry didn't make its url seen
+    write(spark, [("/b", False, "x"), ("/a", False, "x"), ("/c", False, "x"), ("/c", False, "z")], path, schema)
+    assert go() == sorted([*first, ("/b", False), ("/c", False)])
