@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import embedded as E
 from ..functions import predicates as P
+from ..sources.parsed import unread
 
 # Fixed value: how a private seller is called.
 PRIVATE = "particular"
@@ -41,16 +43,42 @@ def seller(components: Column) -> Column:
 
 
 def _read(pages: DataFrame) -> DataFrame:
-    """Pages with what their scripts hold; each script is found, and each JSON parsed, once."""
-    html, nodes = F.col("html"), F.col("_nodes")
-    found = E.computed_once(pages.filter(P.is_parseable(F.col("http_status"))), _text=E.context_text(html), _nodes=E.typed_nodes(html))
-    return E.computed_once(
+    """Pages with what their scripts hold; each script is found, and each JSON parsed, once, or read of parsed pages."""
+    pages = pages.filter(P.is_parseable(F.col("http_status")))
+    if "html" not in pages.columns:
+        return _read_parsed(pages)
+    html, nodes, context = F.col("html"), F.col("_nodes"), F.col("_context")
+    found = E.computed_once(pages, _text=E.context_text(html), _nodes=E.typed_nodes(html))
+    once = E.computed_once(
         found,
         _script=F.col("_text").isNotNull() | E.has_context_script(html),
         _context=F.from_json("_text", schemas.DETAIL_CONTEXT, E.STRICT),
         _vehicle=F.from_json(E.first_of_type(nodes, "Vehicle"), schemas.VEHICLE, E.STRICT),
         _crumbs=F.from_json(E.first_of_type(nodes, "BreadcrumbList"), schemas.BREADCRUMB, E.STRICT)["itemListElement"],
-    ).withColumn("_components", F.col("_context.appProps.pageProps.initialState.components"))
+        _odd_node=F.exists(nodes, lambda n: ~E.is_object(n["json"])),
+    )
+    value = F.when(context.isNotNull() & (context["appProps"].isNotNull() | F.try_parse_json("_text").isNotNull()), True)
+    return once.withColumns({"_unread": unread(F.col("_script"), F.col("_text"), value), "_components": F.col("_context.appProps.pageProps.initialState.components")})
+
+
+def _read_parsed(pages: DataFrame) -> DataFrame:
+    """The same of parsed pages (sources.parsed), by paths that reach the scan."""
+    here = "$.appProps.pageProps.initialState.components"
+
+    def gets(column: str, path: str, kind: T.DataType) -> Column:
+        if isinstance(kind, T.StructType):
+            return F.struct(*[gets(column, f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind.fields])
+        return F.try_variant_get(column, path, kind.simpleString())
+
+    fields = lambda ddl: T.DataType.fromDDL(ddl)
+    components = fields(schemas.DETAIL_CONTEXT)["appProps"].dataType["pageProps"].dataType["initialState"].dataType["components"].dataType
+    crumbs = fields(schemas.BREADCRUMB)["itemListElement"].dataType
+    return pages.withColumns({
+        "_unread": F.col("page_unread"), "_odd_node": F.col("page_odd_node"),
+        "_components": gets("page_context", here, components),
+        "_vehicle": gets("page_vehicle", "$", fields(schemas.VEHICLE)),
+        "_crumbs": gets("page_breadcrumb", "$.itemListElement", crumbs),
+    })
 
 
 def _rows_without_label() -> Column:
@@ -59,18 +87,14 @@ def _rows_without_label() -> Column:
 
 
 def _reason() -> Column:
-    return (
-        F.when(~F.col("_script"), "no context script")
-        .when(F.col("_text").isNull(), "no context mark")
-        .when(F.col("_context").isNull() | F.col("_context.appProps").isNull() & F.try_parse_json("_text").isNull(), "context is not JSON")
-        .when(F.coalesce(_rows_without_label(), F.lit(False)), "proximity row without a label")
-    )
+    return F.coalesce("_unread", F.when(F.coalesce(_rows_without_label(), F.lit(False)), "proximity row without a label"))
 
 
 def detail_rows(pages: DataFrame, source: str, now: Column | None = None) -> DataFrame:
     """Rows of schemas.DETAIL, one for each page that can be read; no shuffle.
 
-    pages has url, html, s3_key, http_status, parser_version. A page without JSON-LD or
+    pages has url, html, s3_key, http_status, parser_version, or what sources.parsed made of
+    html; values are then cast where they have another type. A page without JSON-LD or
     without some component has nulls there; pages without a context are left out and
     listed by detail_quarantine().
     """
@@ -111,7 +135,6 @@ def detail_quarantine(pages: DataFrame) -> DataFrame:
     A JSON-LD value that is no object is skipped by the reader; its page is listed, and
     so is a page with a breadcrumb position that is no number.
     """
-    odd_node = F.exists("_nodes", lambda n: ~E.is_object(n["json"]))
     odd_position = F.exists("_crumbs", lambda e: e["position"].isNotNull() & e["position"].try_cast("double").isNull())
-    reasons = F.array(_reason(), F.when(odd_node, "JSON-LD value is no object"), F.when(odd_position, "breadcrumb position is no number"))
+    reasons = F.array(_reason(), F.when(F.col("_odd_node"), "JSON-LD value is no object"), F.when(odd_position, "breadcrumb position is no number"))
     return _read(pages).select("s3_key", "url", F.explode_outer(F.array_compact(reasons)).alias("reason")).filter(F.col("reason").isNotNull())

@@ -4,24 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions import embedded as E
 from ..functions import predicates as P
 from ..functions import urls as U
+from ..sources.parsed import ADDED, unread
 
 
 def _opened(pages: DataFrame) -> DataFrame:
-    """pages (url, html, http_status, ...) that are parsed, with their search block."""
+    """pages (url, html or what sources.parsed made of it, http_status, ...) that are parsed, with their search block."""
+    if "html" not in pages.columns:
+        return _opened_parsed(pages)
     context = E.context(F.col("html"), schemas.LISTING_CONTEXT)
     return pages.filter(P.is_parseable(F.col("http_status"))).withColumn("_search", context["appProps"]["sharedState"]["search"])
 
 
+def _opened_parsed(pages: DataFrame) -> DataFrame:
+    here, search = "$.appProps.sharedState.search", _at(T.DataType.fromDDL(schemas.LISTING_CONTEXT), "appProps", "sharedState", "search")
+    get = lambda *path: F.try_variant_get("page_context", ".".join([here, *path]), _at(search, *path).simpleString())
+    found = F.struct(get("results").alias("results"), F.struct(get("pagination", "pagination_nodes_url").alias("pagination_nodes_url")).alias("pagination"))
+    return pages.filter(P.is_parseable(F.col("http_status"))).withColumn("_search", found)
+
+
+def _at(kind: T.StructType, *path: str) -> T.DataType:
+    for name in path:
+        kind = kind[name].dataType
+    return kind
+
+
 def page_cards(pages: DataFrame) -> DataFrame:
-    """One row per card of each page: the page's columns but html, pos, card."""
+    """One row per card of each page: the page's columns but what was parsed, pos, card."""
+    own = [c for c in pages.columns if c not in ("html", *ADDED)]
     opened = _opened(pages).withColumn("_cards", E.cards(F.col("_search.results")))
     # outer, as Spark filters what an inner one explodes beforehand, and parses each page for that once more
-    exploded = opened.select(*[c for c in pages.columns if c != "html"], F.posexplode_outer("_cards").alias("pos", "card"))
+    exploded = opened.select(*own, F.posexplode_outer("_cards").alias("pos", "card"))
     return exploded.filter(F.col("pos").isNotNull())
 
 
@@ -98,20 +116,29 @@ def _followed() -> Column:
     return E.is_object(F.col("node")) & ~_current() & _has_url()
 
 
-def context_reason(search: Column) -> Column:
-    """Why a page gives no rows; null if it does."""
-    html = F.col("html")
-    return (
-        F.when(~E.has_context_script(html), "no context script")
-        .when(E.context_text(html).isNull(), "no context mark")
-        .when(F.try_parse_json(E.context_text(html)).isNull() & search.isNull(), "context is not JSON")
-        .when(search.isNull(), "no search block")
-    )
+def context_reason(pages: DataFrame) -> Column:
+    """Why a page of _opened() gives no rows; null if it does."""
+    search, here = F.col("_search"), "$.appProps.sharedState.search"
+    if "html" in pages.columns:
+        html, text = F.col("html"), E.context_text(F.col("html"))
+        unreadable = unread(E.has_context_script(html), text, F.when(search.isNotNull() | F.try_parse_json(text).isNotNull(), True))
+        there = search.isNotNull()
+        listed = F.get_json_object(text, f"{here}.results")
+    else:
+        unreadable, there = F.col("page_unread"), F.try_variant_get("page_context", here, "variant").isNotNull()
+        listed = F.try_variant_get("page_context", f"{here}.results", "string")
+    # looked for only where nothing was read
+    odd = F.when(search["results"].isNull() & listed.isNotNull(), "result list has an entry that is no object")
+    return F.coalesce(unreadable, F.when(~there, "no search block"), odd)
 
 
 def listing_quarantine(pages: DataFrame) -> DataFrame:
-    """Rows of schemas.QUARANTINE: pages and cards that summary_rows() leaves out as unreadable."""
-    whole = _opened(pages).select("s3_key", "url", context_reason(F.col("_search")).alias("reason")).filter("reason is not null")
+    """Rows of schemas.QUARANTINE: pages and cards that summary_rows() leaves out as unreadable.
+
+    A page whose result list has an entry that is no object gives no cards if it is read
+    from html, and is listed; of a parsed page only that entry goes.
+    """
+    whole = _opened(pages).select("s3_key", "url", context_reason(pages).alias("reason")).filter("reason is not null")
     part = page_cards(pages).filter(E.untyped_component(F.col("card.components"))).select(
         "s3_key", "url", F.concat(F.lit("component without a type in card "), F.col("pos").cast("string")).alias("reason")
     )

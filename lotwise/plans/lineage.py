@@ -44,6 +44,10 @@ def delete(spark: SparkSession, path: str) -> None:
     _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return _file_system(spark, path).exists(_hadoop_path(spark, path))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
