@@ -77,3 +77,8 @@ def test_each_page_is_parsed_once(spark):
     pages = frame(spark, [listing([])])
     for df in (L.page_cards(pages), L.summary_rows(pages, "cars"), L.pagination_links(pages), L.skipped_nodes(pages)):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("__NORDIC") == 1
+
+
+def test_pagination_has_no_shuffle_and_no_python(spark):
+    plan = L.pagination_links(frame(spark, [listing([], [{"url": "../n"}])]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
