@@ -127,3 +127,8 @@ def truthy(json: Column) -> Column:
     """Whether a JSON text is there and not empty, zero, false or null."""
     bare = F.regexp_replace(json, r"\s", "")
     return F.coalesce(~bare.isin("", "{}", "[]", "null", "false", "0", '""'), F.lit(False))
+
+
+def count_by_reason(reason: Column, reasons: tuple[str, ...]) -> list[Column]:
+    """One count for each of the reasons, named rejected_ and its words."""
+    return [F.count_if(F.coalesce(reason == r, F.lit(False))).alias("rejected_" + r.lower().replace("-", "_").replace(" ", "_")) for r in reasons]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,16 +90,32 @@ def _reason() -> Column:
     return F.coalesce("_unread", F.when(F.coalesce(_rows_without_label(), F.lit(False)), "proximity row without a label"))
 
 
-def detail_rows(pages: DataFrame, source: str, now: Column | None = None) -> DataFrame:
+#: Why a detail page gives no row.
+REASONS = ("no context script", "no context mark", "context is not JSON", "proximity row without a label")
+
+
+def _odd_position() -> Column:
+    return F.exists("_crumbs", lambda e: e["position"].isNotNull() & e["position"].try_cast("double").isNull())
+
+
+def _observed(read: DataFrame, on: Observation | str) -> DataFrame:
+    sure = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    counts = [F.count("*").alias("pages"), sure(F.col("_odd_node")).alias("odd_nodes"), sure(_odd_position()).alias("odd_positions")]
+    return read.observe(on, *counts, *E.count_by_reason(_reason(), REASONS))
+
+
+def detail_rows(pages: DataFrame, source: str, now: Column | None = None, observed: Observation | str | None = None) -> DataFrame:
     """Rows of schemas.DETAIL, one for each page that can be read; no shuffle.
 
     pages has url, html, s3_key, http_status, parser_version, or what sources.parsed made of
     html; values are then cast where they have another type. A page without JSON-LD or
     without some component has nulls there; pages without a context are left out and
-    listed by detail_quarantine().
+    listed by detail_quarantine(). An observation (of a stream: a name in its progress) gets
+    counts of the same scan: pages, odd_nodes, odd_positions and pages rejected by each of REASONS.
     """
     now = F.current_timestamp() if now is None else now
-    read = _read(pages).filter(_reason().isNull()).withColumn("_seller", seller(F.col("_components")))
+    read = _read(pages) if observed is None else _observed(_read(pages), observed)
+    read = read.filter(_reason().isNull()).withColumn("_seller", seller(F.col("_components")))
     tracked = "_components.track.melidata_event.event_data."
     return read.select(
         F.lit(source).alias("source"),
@@ -135,6 +151,5 @@ def detail_quarantine(pages: DataFrame) -> DataFrame:
     A JSON-LD value that is no object is skipped by the reader; its page is listed, and
     so is a page with a breadcrumb position that is no number.
     """
-    odd_position = F.exists("_crumbs", lambda e: e["position"].isNotNull() & e["position"].try_cast("double").isNull())
-    reasons = F.array(_reason(), F.when(F.col("_odd_node"), "JSON-LD value is no object"), F.when(odd_position, "breadcrumb position is no number"))
+    reasons = F.array(_reason(), F.when(F.col("_odd_node"), "JSON-LD value is no object"), F.when(_odd_position(), "breadcrumb position is no number"))
     return _read(pages).select("s3_key", "url", F.explode_outer(F.array_compact(reasons)).alias("reason")).filter(F.col("reason").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,24 +34,43 @@ def _at(kind: T.StructType, *path: str) -> T.DataType:
     return kind
 
 
-def page_cards(pages: DataFrame) -> DataFrame:
+#: Why a listing page gives no rows.
+REASONS = ("no context script", "no context mark", "context is not JSON", "no search block", "result list has an entry that is no object")
+
+
+def _observed(opened: DataFrame, on: Observation | str, reason: Column) -> DataFrame:
+    """Pages and cards counted as they pass, for an observation or a stream's progress under that name."""
+    # why nothing was read is looked for only where that is so
+    counted = E.computed_once(opened, _unread=F.when(F.col("_search.results").isNull(), reason))
+    of_cards = lambda test: F.coalesce(F.sum(F.size(F.filter("_cards", test))), F.lit(0)).alias
+    return counted.observe(
+        on, F.count("*").alias("pages"), of_cards(lambda c: F.lit(True))("cards"), of_cards(lambda c: P.is_ad(c["metadata"]["is_pad"]))("adverts"),
+        of_cards(lambda c: E.untyped_component(c["components"]))("untyped_cards"), *E.count_by_reason(F.col("_unread"), REASONS),
+    )
+
+
+def page_cards(pages: DataFrame, observed: Observation | str | None = None) -> DataFrame:
     """One row per card of each page: the page's columns but what was parsed, pos, card."""
     own = [c for c in pages.columns if c not in ("html", *ADDED)]
     opened = _opened(pages).withColumn("_cards", E.cards(F.col("_search.results")))
+    if observed is not None:
+        opened = _observed(opened, observed, context_reason(pages))
     # outer, as Spark filters what an inner one explodes beforehand, and parses each page for that once more
     exploded = opened.select(*own, F.posexplode_outer("_cards").alias("pos", "card"))
     return exploded.filter(F.col("pos").isNotNull())
 
 
-def summary_rows(pages: DataFrame, source: str, now: Column | None = None) -> DataFrame:
+def summary_rows(pages: DataFrame, source: str, now: Column | None = None, observed: Observation | str | None = None) -> DataFrame:
     """Rows of schemas.SUMMARY: one for each card that is neither an advert nor new.
 
     pages has url, html, s3_key, http_status, parser_version. Adverts go before a card's
     components are read. A card with an untyped component is left out here and listed by
-    listing_quarantine(); all other cards of its page stay. One scan, no shuffle.
+    listing_quarantine(); all other cards of its page stay. One scan, no shuffle. An
+    observation (of a stream: a name in its progress) gets counts of the same scan: pages,
+    cards, adverts, untyped_cards and pages rejected by each of REASONS.
     """
     now = F.current_timestamp() if now is None else now
-    kept = page_cards(pages).filter(~P.is_ad(F.col("card.metadata.is_pad")) & ~E.untyped_component(F.col("card.components")))
+    kept = page_cards(pages, observed).filter(~P.is_ad(F.col("card.metadata.is_pad")) & ~E.untyped_component(F.col("card.components")))
     part = lambda kind, ddl: F.from_json(E.component(F.col("card.components"), kind), ddl, E.STRICT)
     read = kept.select(
         "*",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -229,6 +229,13 @@ SELECT s_suppkey % 6 AS variant, CASE s_suppkey % 6 WHEN 1 THEN 'no context scri
   WHEN 4 THEN 'proximity row without a label' ELSE 'JSON-LD value is no object' END AS reason, count(*) AS pages
 FROM supplier WHERE s_suppkey % 6 <> 0 GROUP BY ALL""")
 def quarantine_reasons(spark, sf_dir):
+    found = detail.detail_quarantine(_unreadable(spark, sf_dir))
+    variant = (F.regexp_extract("url", r"(\d+)$", 1).cast("long") % 6).alias("variant")
+    return found.groupBy(variant, "reason").agg(F.count("*").alias("pages"))
+
+
+def _unreadable(spark, sf_dir) -> DataFrame:
+    """A page for each supplier, of which a sixth each can't be read for one of four reasons, or has an odd JSON-LD value."""
     k = F.col("s_suppkey") % 6
     script = lambda body: F.lit(f'<script id="__NORDIC_RENDERING_CTX__">{body}</script>')
     components = '_n.ctx.r={"appProps":{"pageProps":{"initialState":{"components":{"item_proximity":{"content_rows":[%s]}}}}}}'
@@ -237,9 +244,23 @@ def quarantine_reasons(spark, sf_dir):
         F.when(k == 1, synth.page(synth.ld_scripts(F.lit("{}")))).when(k == 2, synth.page(script("var a={}"))).when(k == 3, synth.page(script("_n.ctx.r={broken")))
         .when(k == 4, synth.page(script(components % '{"icon":"x"}'))).when(k == 5, synth.page(synth.ld_scripts(F.lit("[1]")), good)).otherwise(synth.page(good))
     )
-    found = detail.detail_quarantine(synth.raw_pages(_table(spark, sf_dir, "supplier"), "s_suppkey", html))
-    variant = (F.regexp_extract("url", r"(\d+)$", 1).cast("long") % 6).alias("variant")
-    return found.groupBy(variant, "reason").agg(F.count("*").alias("pages"))
+    return synth.raw_pages(_table(spark, sf_dir, "supplier"), "s_suppkey", html)
+
+
+@query("""
+SELECT 'listing' AS kind, unnest(['pages', 'cards', 'adverts']) AS metric,
+       unnest([(SELECT count(DISTINCT (p_brand, p_size, p_partkey // 50000)) FROM part), (SELECT count(*) FROM part), (SELECT count(*) FROM part WHERE p_partkey % 5 = 0)]) AS n
+UNION ALL
+SELECT 'detail', unnest(['pages', 'rejected_no_context_script', 'rejected_no_context_mark', 'rejected_context_is_not_json', 'rejected_proximity_row_without_a_label', 'odd_nodes']),
+       unnest([count(*), count(*) FILTER (WHERE s_suppkey % 6 = 1), count(*) FILTER (WHERE s_suppkey % 6 = 2), count(*) FILTER (WHERE s_suppkey % 6 = 3), count(*) FILTER (WHERE s_suppkey % 6 = 4), count(*) FILTER (WHERE s_suppkey % 6 = 5)]) FROM supplier""")
+def observed_counts(spark, sf_dir):
+    """Counts that come with the rows: of each kind of page one pass writes its rows and counts what it left out."""
+    found = []
+    for kind, rows, pages in (("listing", listing.summary_rows, synth.listing_page(_table(spark, sf_dir, "part"))), ("detail", detail.detail_rows, _unreadable(spark, sf_dir))):
+        counts = Observation(kind)
+        rows(pages, "cars", observed=counts).write.parquet(scratch(spark, kind))
+        found += [(kind, metric, n) for metric, n in counts.get.items() if n]
+    return spark.createDataFrame(found, "kind string, metric string, n long")
 
 
 def _paged(spark, sf_dir) -> DataFrame:

@@ -17,7 +17,10 @@ def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -
 
 
 def publish_details(pages: DataFrame, source: str, outbox: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Parse detail pages as they land and write their envelopes to the outbox."""
-    items = detail_rows(pages, source).withColumn("item_type", F.lit("detail"))
+    """Parse detail pages as they land and write their envelopes to the outbox.
+
+    The query's progress has the batch's counts under "details" (see detail_rows).
+    """
+    items = detail_rows(pages, source, observed="details").withColumn("item_type", F.lit("detail"))
     writer = items.writeStream.foreachBatch(outbox_writer(outbox)).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
