@@ -113,7 +113,10 @@ def test_details_into_the_outbox(spark, tmp_path):
     raw = landing.stamped(spark.createDataFrame(rows, "spider string, url string, html string, http_status int, fetched_at timestamp"))
     path, box = str(tmp_path / "raw"), str(tmp_path / "box")
     landing.land(raw, path)
-    publish_details(landed_stream(spark, path), "cars", box, str(tmp_path / "ck"), available_now=True).awaitTermination(300)
+    going = publish_details(landed_stream(spark, path), "cars", box, str(tmp_path / "ck"), available_now=True)
+    assert going.awaitTermination(300)
+    counts = [p["observedMetrics"].get("details") for p in going.recentProgress if p["numInputRows"]]
+    assert counts and all(c is not None and c["pages"] > 0 for c in counts), counts
     bodies = [json.loads(r["body"]) for r in spark.read.parquet(box).collect()]
     assert sorted(b["source_listing_key"] for b in bodies) == ["S1", "S2", "S3", "S4"] and all(b["schema_version"] == 1 and len(b) == 27 for b in bodies)
 
