@@ -1,11 +1,15 @@
-"""Chains through one key's points by successor pointers that are doubled, for keys too hot for one task.
+"""Chains through one key's points by successor pointers, for keys too hot for one task.
 
-Every step is a join or a window over a bounded span of time, so a key may hold any share
-of the rows, and a lost executor costs one round's partitions.
+Every step is a join, or a window or fold over a bounded span of time, so a key may hold any
+share of the rows, and a lost executor costs one round's partitions.
 """
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,20 +36,67 @@ def next_point(asked: DataFrame, points: DataFrame, name: str, span_us: int) ->
     return joined.filter("_point is null").select(*asked.columns, F.when(F.col("at").isNotNull(), F.coalesce("_own", "_carry")).alias(name))
 
 
-def chain(pointers: DataFrame) -> DataFrame:
+def chain(pointers: DataFrame, span_us: int) -> DataFrame:
     """key, us of the points that each key's first point leads to along pointers (key, us, next), itself included.
 
-    next is later than us, or null at an end. After round k the first 2^k points of each
-    chain are known and a pointer leads 2^k points on, so rounds grow with the logarithm of
-    the longest chain. Points that nothing leads to are left out before the first round.
+    next is the us of a later point of the key, or null at an end, and pointers of a key
+    don't cross: a later point's is not before an earlier one's. A key's time is cut into
+    spans. Where each point leaves its span is found by one pass back in time; only those
+    that a pointer enters a span at are followed from span to span, by pointers that are
+    doubled: after round k the first 2^k spans of each chain are known, so rounds grow with
+    the logarithm of the spans. A second pass follows the chain within each span from where
+    it enters. So all points are read a fixed number of times, however long the chain.
     """
-    nodes = checkpointed(pointers.select(F.struct("key").alias("k"), "us", "next"))
-    known = nodes.groupBy("k").agg(F.min("us").alias("us"))
-    led_to = nodes.filter("next is not null").select("k", F.col("next").alias("us")).unionByName(known).distinct()
-    leads = checkpointed(nodes.filter("next is not null").join(led_to, ["k", "us"], "left_semi"))
-    known = checkpointed(known)
+    cut = lambda c: F.col(c) - F.pmod(c, F.lit(span_us))
+    nodes = checkpointed(pointers.select("key", "us", "next", cut("us").alias("span"), cut("next").alias("next_span")))
+    key = nodes.schema["key"].dataType.simpleString()
+    of_span = ["key", "span"]
+    left = nodes.repartition(*of_span).sortWithinPartitions(*of_span, F.desc("us")).mapInArrow(_exits, f"key {key}, us long, next long, enters boolean")
+    left = checkpointed(left.select(F.struct("key").alias("k"), "us", "next", "enters"))
+    first = left.groupBy("k").agg(F.min("us").alias("us"))
+    entries = left.filter("enters").select("k", F.col("next").alias("us")).unionByName(first).distinct()
+    leads = checkpointed(left.filter("next is not null").select("k", "us", "next").join(entries, ["k", "us"], "left_semi"))
+    known = checkpointed(first)
     while not leads.isEmpty():
         known = checkpointed(known.unionByName(known.join(leads, ["k", "us"]).select("k", F.col("next").alias("us"))))
         on = leads.select("k", F.col("us").alias("next"), F.col("next").alias("_far"))
         leads = checkpointed(leads.join(on, ["k", "next"]).select("k", "us", F.col("_far").alias("next")))
-    return known.select("k.key", "us")
+    begins = known.select(F.col("k").alias("_k"), cut("us").alias("_span"), F.col("us").alias("begin"))
+    followed = nodes.join(begins, (F.struct("key") == F.col("_k")) & (F.col("span") == F.col("_span"))).select("key", "span", "us", "next", "begin")
+    return followed.repartition(*of_span).sortWithinPartitions(*of_span, "us").mapInArrow(_followed, f"key {key}, us long")
+
+
+def _exits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Points of spans, latest first, with next where the chain from them first is in another span; enters: by their own pointer."""
+    group, later = object(), deque()  # points that a pointer may yet lead to, latest first
+    for batch in batches:
+        far, enters = [], []
+        for k, span, us, to, to_span in zip(*(batch.column(c).to_pylist() for c in ("key", "span", "us", "next", "next_span"))):
+            if (k, span) != group:
+                group = (k, span)
+                later.clear()
+            own = to is not None and to_span != span
+            if to is not None and not own:
+                while later and later[0][0] > to:
+                    later.popleft()
+                if not later or later[0][0] != to:
+                    raise ValueError(f"the pointer from {us} to {to} leads to no point or crosses another")
+                to = later[0][1]
+            later.append((us, to))
+            far.append(to)
+            enters.append(own)
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("us"), pa.array(far, pa.int64()), pa.array(enters, pa.bool_())], ["key", "us", "next", "enters"])
+
+
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of points of spans by time, those that the one at `begin` leads to, itself included."""
+    group, at = object(), None
+    for batch in batches:
+        on = []
+        for k, span, us, to, begin in zip(*(batch.column(c).to_pylist() for c in ("key", "span", "us", "next", "begin"))):
+            if (k, span) != group:
+                group, at = (k, span), begin
+            on.append(us == at)
+            if us == at:
+                at = to
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("us")], ["key", "us"]).filter(pa.array(on, pa.bool_()))

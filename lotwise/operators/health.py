@@ -28,6 +28,8 @@ IDLE_S = 3600.0
 BACKOFF_BASE_S = 5.0
 BACKOFF_MAX_S = 300.0
 SIGMA = 0.4
+#: A key's time is cut into spans of so many windows for the rates.
+SPAN_WINDOWS = 1
 
 
 def error_rates(events: DataFrame, window_us: int = WINDOW_US, min_samples: int = MIN_SAMPLES) -> DataFrame:
@@ -36,25 +38,32 @@ def error_rates(events: DataFrame, window_us: int = WINDOW_US, min_samples: int
     events has key, us (long) and failed (boolean). Events of one key, instant and outcome
     are one. rate is null below min_samples. A key's time is cut into spans, and each span
     also gets the window before it, so a key with most of the rows is dealt over many tasks.
+    A frame is what came by its end less what came by its start: both only grow along a
+    span, so the work doesn't depend on how many events a window holds.
     """
-    span = 16 * window_us
-    at = F.floor(F.col("us") / F.lit(span)).cast("long")
+    span = SPAN_WINDOWS * window_us
+    at = F.col("us") - F.pmod("us", F.lit(span))
     # an event also counts for the span that begins within a window after it
-    reach = F.floor((F.col("us") + F.lit(window_us - 1)) / F.lit(span)).cast("long")
+    reach = F.col("us") + F.lit(window_us - 1)
+    reach = reach - F.pmod(reach, F.lit(span))
     spread = (
         events.select("key", "us", "failed").filter("us is not null").distinct()
         .withColumn("_own", at)
         .withColumn("_span", F.explode(F.when(reach > at, F.array(at, reach)).otherwise(F.array(at))))
     )
-    frame = Window.partitionBy("key", "_span").orderBy("us").rangeBetween(-(window_us - 1), 0)
-    fails = F.sum(F.col("failed").cast("long")).over(frame)
-    counted = spread.withColumns({"total": F.count("*").over(frame), "fails": F.coalesce(fails, F.lit(0))})
+    in_time = Window.partitionBy("key", "_span").orderBy("us")
+    came = lambda c: F.coalesce(c.over(in_time.rangeBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    gone = lambda c: F.coalesce(c.over(in_time.rangeBetween(Window.unboundedPreceding, -window_us)), F.lit(0))
+    rows, fails = F.count("*"), F.sum(F.col("failed").cast("long"))
+    counted = spread.withColumns({"total": came(rows) - gone(rows), "fails": came(fails) - gone(fails)})
     rate = F.when(F.col("total") >= min_samples, F.col("fails") / F.col("total"))
     return counted.filter("_own = _span").select("key", "us", "failed", "total", "fails", rate.alias("rate"))
 
 
 #: Keys with more points over the threshold than this follow pointers rather than one task's fold.
 FOLD_POINTS = 1_000_000
+#: A key's time is cut into spans of so many pauses, within which pointers are followed by one task.
+CHAIN_PAUSES = 8
 
 
 def breaker_openings(
@@ -79,19 +88,21 @@ def breaker_openings(
     if hot.isEmpty():
         return _folded_openings(over, pause_us)
     of_key = F.struct("key") == F.col("_k")
-    return _folded_openings(over.join(hot, of_key, "left_anti"), pause_us).unionByName(_linked_openings(over.join(hot, of_key, "left_semi"), pause_us))
+    return _folded_openings(over.join(hot, of_key, "left_anti"), pause_us).unionByName(_linked_openings(over.join(hot, of_key, "left_semi"), pause_us, closes is not None))
 
 
-def _linked_openings(over: DataFrame, pause_us: int) -> DataFrame:
+def _linked_openings(over: DataFrame, pause_us: int, closing: bool) -> DataFrame:
     """Openings along pointers: each point's is the first one past its pause, or past the first close from it on."""
     span = 4 * pause_us
-    points, closes = over.filter("not closes").select("key", "us", "rate"), over.filter("closes")
-    closed = next_point(points.withColumn("at", F.col("us")), closes.select("key", "us").distinct(), "_close", span)
-    ends = F.least(F.col("us") + F.lit(pause_us), F.col("_close"))
+    points, closed = over.filter("not closes").select("key", "us", "rate"), F.lit(None).cast("long")
+    asked = points
+    if closing:
+        asked, closed = next_point(points.withColumn("at", F.col("us")), over.filter("closes").select("key", "us").distinct(), "_close", span), F.col("_close")
+    ends = F.least(F.col("us") + F.lit(pause_us), closed)
     # a close comes after the events of its moment, the end of a pause before them
-    past = F.when(F.col("_close") < F.col("us") + F.lit(pause_us), F.col("_close") + 1).otherwise(F.col("us") + F.lit(pause_us))
-    known = checkpointed(closed.select("key", "us", "rate", ends.alias("open_until_us"), past.alias("at")))
-    opened = chain(next_point(known, points, "next", span)).select(F.col("key").alias("_k"), F.col("us").alias("_us"))
+    past = F.when(closed < F.col("us") + F.lit(pause_us), closed + 1).otherwise(F.col("us") + F.lit(pause_us))
+    known = checkpointed(asked.select("key", "us", "rate", ends.alias("open_until_us"), past.alias("at")))
+    opened = chain(next_point(known, points, "next", span), CHAIN_PAUSES * pause_us).select(F.col("key").alias("_k"), F.col("us").alias("_us"))
     return known.join(opened, F.col("key").eqNullSafe(F.col("_k")) & (F.col("us") == F.col("_us")), "left_semi").select("key", "us", "rate", "open_until_us")
 
 

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,17 @@ def test_openings_like_brute_force(spark, log):
     assert got == want and len(want) > 2
 
 
+def test_rates_of_dense_keys_grow_with_rows_only(spark, log, monkeypatch):
+    """No frame is summed anew at each row, and spans of any length give the same."""
+    rates = H.error_rates(frame(spark, log), 300 * S, 10)
+    frames = re.findall(r"specifiedwindowframe\(\w+, ([^,]+),", rates._jdf.queryExecution().optimizedPlan().toString())
+    assert len(frames) >= 4 and set(frames) == {"unboundedpreceding$()"}
+    want = rates_brute([(k, us - 2_000 * S, f) for k, us, f in log], 7 * S, 3)
+    for spans in (1, 3, 1000):
+        monkeypatch.setattr(H, "SPAN_WINDOWS", spans)
+        assert sorted(map(tuple, H.error_rates(frame(spark, [(k, us - 2_000 * S, f) for k, us, f in log]), 7 * S, 3).collect())) == want
+
+
 def opens(spark, outcomes, step=S):
     return [r["us"] for r in H.breaker_openings(frame(spark, [("k", i * step, f) for i, f in enumerate(outcomes)])).collect()]
 
@@ -105,6 +117,28 @@ def test_pointers_of_a_single_key_leave_no_task_with_all(spark):
     assert len(by_key) <= 1
 
 
+def test_chains_double_only_what_enters_a_span(spark, monkeypatch):
+    """Spans of any length give one walk's points; a pointer that leads to no point is an error."""
+    rnd = random.Random(5)
+    points = {k: sorted(rnd.sample(range(-500, 1500), 300)) for k in ("a", "b", None)}
+    after = lambda k, at: next((u for u in points[k] if u >= at), None)
+    pointers = spark.createDataFrame([(k, us, after(k, us + 9)) for k in points for us in points[k]], "key string, us long, next long").repartition(3)
+    want = set()
+    for k in points:
+        us = points[k][0]
+        while us is not None:
+            want.add((k, us))
+            us = after(k, us + 9)
+    for span in (5, 100, 10**6):
+        rounds = []
+        monkeypatch.setattr(C, "checkpointed", lambda df, f=H.checkpointed: rounds.append(1) or f(df))
+        got = C.chain(pointers, span).collect()
+        assert len(got) == len(want) and set(map(tuple, got)) == want
+    assert len(rounds) == 6  # two spans, as there are moments below 0: one round
+    with pytest.raises(Exception, match="leads to no point"):
+        C.chain(spark.createDataFrame([("a", 0, 5), ("a", 7, None)], "key string, us long, next long"), 100).collect()
+
+
 def test_next_point(spark):
     asked = spark.createDataFrame([("a", 0, 1), ("a", 5, 2), ("a", 6, 3), ("a", 100, 4), (None, 3, 5), ("b", 1, 6), ("a", None, 7)], "key string, at long, id int")
     points = spark.createDataFrame([("a", 5), ("a", 99), ("a", -3), (None, 50)], "key string, us long")
