@@ -3,13 +3,14 @@ import random
 import time
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lotwise.operators import health as H
 from lotwise.sources import landing
 from lotwise.streaming.crawl import stream_unseen
-from lotwise.streaming.health import alerted, routed, start_available_now, stream_breaker_openings, stream_token_bucket
-from lotwise.streaming.retry import appended, stream_retries
+from lotwise.streaming.health import _Breaker, _Bucket, alerted, routed, start_available_now, stream_breaker_openings, stream_token_bucket
+from lotwise.streaming.retry import _Pending, appended, stream_retries
 from lotwise.streaming.listing import landed_stream, publish_details
 
 from .pages import detail
@@ -105,6 +106,90 @@ def test_quiet_keys_are_folded_by_a_timer(spark, tmp_path):
         q.stop()
 
 
+class Calls:
+    """A processor's handle that keeps state in memory and counts the calls to it, as each is a trip to the JVM."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def state(self, name, schema, ttl=None):
+        held, calls = [], self
+
+        class State:
+            def get(self):
+                calls.calls += 1
+                return iter(list(held)) if "List" in name else held[0] if held else None
+
+            def update(self, value):
+                calls.calls += 1
+                held[:] = [value]
+
+            def put(self, values):
+                calls.calls += 1
+                held[:] = values
+
+            def appendValue(self, value):
+                calls.calls += 1
+                held.append(value)
+
+            def clear(self):
+                calls.calls += 1
+                held.clear()
+
+            def exists(self):
+                calls.calls += 1
+                return bool(held)
+
+        return State()
+
+    def getListState(self, name, *args):
+        return self.state("List", *args)
+
+    def getValueState(self, name, *args):
+        return self.state("Value", *args)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+
+class At:
+    def __init__(self, ms):
+        self.getCurrentProcessingTimeInMs = lambda: ms
+
+
+def test_calls_to_state_do_not_grow_with_rows():
+    """A key's batch costs a few calls, however many rows it has and however many wait."""
+    rnd = random.Random(1)
+    row = Row("us", "failed", "closes", "asks")
+    asked = [row(rnd.randrange(10**6), rnd.random() < 0.4, False, True) for _ in range(5000)]
+    for made in (lambda hold: _Breaker(100, 5, 0.3, 50, hold, 60_000, 10**7), lambda hold: _Bucket(5.0, 0.5, 3600.0, hold, 60_000, 10**7)):
+        found = []
+        for batches in (1, 5):
+            op, handle = made(10**7), Calls()
+            op.init(handle)
+            for i in range(batches):
+                before = handle.calls
+                assert not list(op.handleInputRows(("a",), iter(asked[i :: batches]), At(i)))
+                assert handle.calls - before <= 6
+            before = handle.calls
+            found.append(list(op.handleInputRows(("a",), iter([row(2 * 10**7, None, False, False)]), At(9))))
+            assert handle.calls - before <= 8 and len(handle.timers) == 1
+        assert found[0] == found[1] and found[0]
+    for batches in (1, 5):
+        op, handle = _Pending(), Calls()
+        op.init(handle)
+        log = [Row(attempt=0, due_us=(i + 1) * S) for i in range(4000)]
+        for i in range(batches):
+            before = handle.calls
+            out = list(op.handleInputRows(("u",), iter(log[i::batches]), At(1_000_000)))
+            assert len(out) == 1000 // batches and handle.calls - before <= 4
+        before, due = handle.calls, [r["due_us"] for r in op.handleExpiredTimer(("u",), At(3_000_000), None)]
+        assert sorted(due) == [i * S for i in range(1001, 3001)] and handle.calls - before <= 5
+        due = [r["due_us"] for r in op.handleExpiredTimer(("u",), At(4_000_000), None)]
+        assert sorted(due) == [i * S for i in range(3001, 4001)]
+
+
 def test_details_into_the_outbox(spark, tmp_path):
     import datetime
 
