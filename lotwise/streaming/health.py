@@ -2,7 +2,7 @@
 
 There is no watermark: what one key is late by says nothing about another, and a row that
 a watermark filters leaves no trace. Each key has its own clock instead. Its rows wait in a
-list state until its newest row is `hold_us` past them (or the key was quiet for `quiet_ms`,
+list state, packed, until its newest row is `hold_us` past them (or the key was quiet for `quiet_ms`,
 by a timer), and are then folded in order of time. A row that comes when later ones have
 been folded is late: it isn't folded, but comes out with `late` set, so results and late
 rows together account for all input, for any order of files and any size of batches.
@@ -10,19 +10,21 @@ rows together account for all input, for any order of files and any size of batc
 A row without `failed` and `closes` (the breaker), or with `asks` false (the bucket), is a
 tick: it moves its key's clock and counts for nothing.
 
-Needs the RocksDB state store, which use_state_store() sets for a session. State goes by its
-time to live when nothing has come for a key; a row after that finds a key that is new.
+Needs the RocksDB state store, which use_state_store() sets for a session. State of what was
+folded goes by its time to live when nothing has come for a key; a row after that finds a
+key that is new. What waits has none, and goes when it is folded.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -54,65 +56,102 @@ def start_available_now(writer: DataStreamWriter, spark: SparkSession) -> Stream
 class _InOrder(StatefulProcessor):
     """Holds a key's rows back, folds them in order, and gives late ones out as they are.
 
-    Subclasses have `row` (DDL of a waiting row, us first), `out` (names), fold() and late().
+    Rows are a moment and a kind (a small number, null for a tick). What a batch brings for
+    a key waits as one packed element, which is read again only when a row of the key is
+    ready; so a batch costs a key a fixed number of calls to its state, however much waits.
+    What waits has no time to live, as it would be lost. Subclasses have `out` (names),
+    `distinct`, kind(), is_late(), late() and fold().
     """
 
-    row: str
     out: list[str]
 
     def __init__(self, hold_us: int, quiet_ms: int, kept_ms: int):
         self.hold_us, self.quiet_ms, self.kept_ms = hold_us, quiet_ms, kept_ms
+        self.made = Row(*self.out)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row, self.kept_ms)
+        self.waiting = handle.getListState("waiting", "us binary, kind binary")
+        # the first and the last moment that waits, when the last row came, and the clock meanwhile
+        self.held = handle.getValueState("held", "first long, last long, seen_ms long, done long")
         self.clock = handle.getValueState("clock", "us long", self.kept_ms)
         self.open(handle)
 
-    def handleInputRows(self, key: tuple[Any], rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        done = self.clock.get()[0] if self.clock.exists() else None
-        waiting, out = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else [], []
-        newest = max((r[0] for r in waiting), default=done)
-        for pdf in rows:
-            for r in self.read(pdf):
-                if newest is None or r[0] > newest:
-                    newest = r[0]
-                if self.is_late(r, done):
-                    out.append(self.late(key[0], r))
-                elif not self.is_tick(r):
-                    waiting.append(r)
-        ready = [r for r in waiting if r[0] <= newest - self.hold_us]
-        rest = [r for r in waiting if r[0] > newest - self.hold_us]
-        out += self._folded(key[0], ready, newest - self.hold_us if newest is not None else None, done)
-        if rest:
-            self.waiting.put(rest)
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.quiet_ms)
-        elif waiting or self.waiting.exists():
-            self.waiting.clear()
-        yield pd.DataFrame(out, columns=self.out)
-
-    def handleExpiredTimer(self, key: tuple[Any], timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        if waiting:
-            done = self.clock.get()[0] if self.clock.exists() else None
-            out = self._folded(key[0], waiting, max(r[0] for r in waiting), done)
-            self.waiting.clear()
-            yield pd.DataFrame(out, columns=self.out)
-
-    def _folded(self, key, ready: list[tuple], until: int | None, done: int | None) -> list[tuple]:
-        out = self.fold(key, sorted(set(ready) if self.distinct else ready, key=self.order)) if ready else []
-        if until is not None and (done is None or until > done):
-            self.clock.update((until,))
-        return out
+    def handleInputRows(self, key: tuple[Any], rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held, now = self.held.get(), timerValues.getCurrentProcessingTimeInMs()
+        done = held[3] if held else (self.clock.get() or (None,))[0]
+        us, kinds, newest = array("q"), bytearray(), held[1] if held else done
+        for r in rows:
+            at = r["us"]
+            if at is None:
+                continue
+            if newest is None or at > newest:
+                newest = at
+            kind = self.kind(r)
+            if kind is None:
+                continue
+            if self.is_late(at, done):
+                yield self.late(key[0], at, kind)
+            else:
+                us.append(at)
+                kinds.append(kind)
+        if newest is None:
+            return
+        until = newest - self.hold_us
+        first = min(min(us, default=newest), held[0] if held else newest)
+        ahead = until if done is None else max(done, until)
+        if (us or held) and first <= until:
+            yield from self._folded(key[0], [(us.tobytes(), bytes(kinds))], held, until, now, ahead)
+        elif us:
+            self.waiting.appendValue((us.tobytes(), bytes(kinds)))
+            self._hold(first, max(max(us), held[1] if held else first), now, ahead, held)
+        elif held:
+            self._hold(held[0], held[1], now, ahead, held)
+        else:
+            self.clock.update((ahead,))
+
+    def handleExpiredTimer(self, key: tuple[Any], timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held, now = self.held.get(), timerValues.getCurrentProcessingTimeInMs()
+        if held and held[2] + self.quiet_ms > now:
+            self.handle.registerTimer(held[2] + self.quiet_ms)
+        elif held:
+            yield from self._folded(key[0], [], held, held[1], now, max(held[3], held[1]))
+
+    def _hold(self, first: int, last: int, now: int, done: int, held: tuple | None) -> None:
+        """Notes what waits; one timer at a time, set anew when it ends and rows have come since."""
+        self.held.update((first, last, now, done))
+        if not held:
+            self.handle.registerTimer(now + self.quiet_ms)
+
+    def _folded(self, key, fresh: list[tuple], held: tuple | None, until: int, now: int, done: int) -> Iterator[Row]:
+        """Folds what waits and what came by `until`, and lets the rest wait."""
+        packed = [tuple(r) for r in self.waiting.get()] + fresh if held else fresh
+        us = np.concatenate([np.frombuffer(u, np.int64) for u, _ in packed])
+        kinds = np.concatenate([np.frombuffer(k, np.uint8) for _, k in packed])
+        rest = us > until
+        if rest.any():
+            self.waiting.put([(us[rest].tobytes(), kinds[rest].tobytes())])
+            self._hold(int(us[rest].min()), int(us[rest].max()), now, done, held)
+        else:
+            if held:
+                self.waiting.clear()
+                self.held.clear()
+            self.clock.update((done,))
+        us, kinds = us[~rest], kinds[~rest]
+        order = np.lexsort((kinds, us))
+        us, kinds = us[order], kinds[order]
+        if self.distinct and len(us):
+            new = np.r_[True, (us[1:] != us[:-1]) | (kinds[1:] != kinds[:-1])]
+            us, kinds = us[new], kinds[new]
+        yield from self.fold(key, us.tolist(), kinds.tolist())
 
     def close(self) -> None:
         pass
 
 
 class _Breaker(_InOrder):
-    row = "us long, closes boolean, failed boolean"
+    """Kinds are 0 and 1 for events that went well and failed, 2 for closes, which come after the events of their moment."""
+
     out = ["key", "us", "rate", "open_until_us", "late", "failed", "closes"]
     distinct = True
 
@@ -121,57 +160,41 @@ class _Breaker(_InOrder):
         self.window_us, self.min_samples, self.threshold, self.pause_us = window_us, min_samples, threshold, pause_us
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.events = handle.getListState("events", "us long, failed boolean", self.kept_ms)
-        self.until = handle.getValueState("until", "us long", self.kept_ms)
-
-    def read(self, pdf: pd.DataFrame) -> Iterator[tuple]:
-        known = pdf.dropna(subset=["us"])
-        for us, closes, failed in zip(known["us"], known["closes"], known["failed"]):
-            shut = bool(closes) if not pd.isna(closes) else False
-            yield int(us), shut, None if shut or pd.isna(failed) else bool(failed)
+        # the window's events, packed, and the end of the opening
+        self.model = handle.getValueState("model", "us binary, failed binary, until long", self.kept_ms)
 
-    def is_tick(self, r: tuple) -> bool:
-        return not r[1] and r[2] is None
+    def kind(self, r: Row) -> int | None:
+        return 2 if r["closes"] else None if r["failed"] is None else int(r["failed"])
 
-    def is_late(self, r: tuple, done: int | None) -> bool:
+    def is_late(self, us: int, done: int | None) -> bool:
         # events of one instant count together, so one that comes after the others were counted is late
-        return not self.is_tick(r) and done is not None and r[0] <= done
+        return done is not None and us <= done
 
-    def order(self, r: tuple):
-        return r[:2]
+    def late(self, key, us: int, kind: int) -> Row:
+        return self.made(key, us, None, None, True, None if kind == 2 else bool(kind), kind == 2)
 
-    def late(self, key, r: tuple) -> tuple:
-        return key, r[0], None, None, True, r[2], r[1]
-
-    def fold(self, key, ready: list[tuple]) -> list[tuple]:
-        held = deque((r[0], r[1]) for r in self.events.get()) if self.events.exists() else deque()
+    def fold(self, key, us: list[int], kinds: list[int]) -> Iterator[Row]:
+        packed, failed, until = self.model.get() or (b"", b"", None)
+        held = deque(zip(np.frombuffer(packed, np.int64).tolist(), bytes(failed)))
         fails = sum(f for _, f in held)
-        until, out = self.until.get()[0] if self.until.exists() else None, []
-        for i, (us, closes, failed) in enumerate(ready):
-            if closes:
+        for i, (at, kind) in enumerate(zip(us, kinds)):
+            if kind == 2:
                 until = None
                 continue
-            held.append((us, failed))
-            fails += failed
-            if i + 1 < len(ready) and ready[i + 1][:2] == (us, False):
+            held.append((at, kind))
+            fails += kind
+            if i + 1 < len(us) and us[i + 1] == at and kinds[i + 1] != 2:
                 continue  # events of one instant count together
-            while held[0][0] <= us - self.window_us:
+            while held[0][0] <= at - self.window_us:
                 fails -= held.popleft()[1]
             rate = fails / len(held)
-            if len(held) >= self.min_samples and rate > self.threshold and (until is None or us >= until):
-                until = us + self.pause_us
-                out.append((key, us, rate, until, False, None, None))
-        if held:
-            self.events.put(list(held))
-        if until is not None:
-            self.until.update((until,))
-        elif self.until.exists():
-            self.until.clear()
-        return out
+            if len(held) >= self.min_samples and rate > self.threshold and (until is None or at >= until):
+                until = at + self.pause_us
+                yield self.made(key, at, rate, until, False, None, None)
+        self.model.update((array("q", [u for u, _ in held]).tobytes(), bytes(f for _, f in held), until))
 
 
 class _Bucket(_InOrder):
-    row = "us long"
     out = ["key", "us", "wait_s", "late"]
     distinct = False
 
@@ -182,34 +205,24 @@ class _Bucket(_InOrder):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.bucket = handle.getValueState("bucket", "tokens double, last long", self.kept_ms)
 
-    def read(self, pdf: pd.DataFrame) -> Iterator[tuple]:
-        known = pdf.dropna(subset=["us"])
-        for us, asks in zip(known["us"], known["asks"]):
-            yield (int(us),) if asks else (int(us), None)
-
-    def is_tick(self, r: tuple) -> bool:
-        return len(r) > 1
-
-    def is_late(self, r: tuple, done: int | None) -> bool:
-        return not self.is_tick(r) and done is not None and r[0] < done
+    def kind(self, r: Row) -> int | None:
+        return 0 if r["asks"] else None
 
-    def order(self, r: tuple):
-        return r
+    def is_late(self, us: int, done: int | None) -> bool:
+        return done is not None and us < done
 
-    def late(self, key, r: tuple) -> tuple:
-        return key, r[0], None, True
+    def late(self, key, us: int, kind: int) -> Row:
+        return self.made(key, us, None, True)
 
-    def fold(self, key, ready: list[tuple]) -> list[tuple]:
-        tokens, last = self.bucket.get() if self.bucket.exists() else (self.capacity, None)
-        out = []
-        for (us,) in ready:
-            elapsed = (us - last) / 1e6 if last is not None else 0.0
+    def fold(self, key, us: list[int], kinds: list[int]) -> Iterator[Row]:
+        tokens, last = self.bucket.get() or (self.capacity, None)
+        for at in us:
+            elapsed = (at - last) / 1e6 if last is not None else 0.0
             tokens = self.capacity if elapsed > self.idle_s else min(self.capacity, tokens + elapsed * self.rate)
-            last = us
-            out.append((key, us, 0.0 if tokens >= 1 else (1 - tokens) / self.rate, False))
+            last = at
+            yield self.made(key, at, 0.0 if tokens >= 1 else (1 - tokens) / self.rate, False)
             tokens -= 1 if tokens >= 1 else 0
         self.bucket.update((tokens, last))
-        return out
 
 
 def _with(df: DataFrame, **columns) -> DataFrame:
@@ -230,7 +243,7 @@ def stream_breaker_openings(
     rows = _with(events, closes=F.lit(False)).select("key", "us", "failed", "closes")
     # a breaker needs one window of events and its pause, by the times of its rows
     kept = max(KEPT_MS, math.ceil((2 * window_us + pause_us) / 1000))
-    return rows.groupBy("key").transformWithStateInPandas(
+    return rows.groupBy("key").transformWithState(
         _Breaker(window_us, min_samples, threshold, pause_us, hold_us, quiet_ms, kept),
         "key string, us long, rate double, open_until_us long, late boolean, failed boolean, closes boolean", "Append", "ProcessingTime",
     )
@@ -246,7 +259,7 @@ def stream_token_bucket(
     use_state_store(requests.sparkSession)
     rows = _with(requests, asks=F.lit(True)).select("key", "us", "asks")
     kept = max(KEPT_MS, math.ceil(idle_s * 1000))
-    return rows.groupBy("key").transformWithStateInPandas(
+    return rows.groupBy("key").transformWithState(
         _Bucket(capacity, rate, idle_s, hold_us, quiet_ms, kept), "key string, us long, wait_s double, late boolean", "Append", "ProcessingTime"
     )
 
