@@ -7,16 +7,18 @@ says no more than that, are not. Two kinds stay open: containers inside the main
 whose class or id has such a word next to others ("social-history"), and, on pages
 without a main container, all text that isn't settled.
 
-All that is not settled main text is its page's token stream, and the streams of a host
-stand one after the other. In the host's suffix array, suffixes with the same first
-WINDOW tokens lie side by side; Spark groups them by a 128-bit hash of (host, those
-tokens) in place of sorting, which finds the same thing: every substring of at least
-WINDOW tokens that is on two distinct pages, for hosts of any size. In open blocks,
-covered runs that reach an edge of their block go, and unique runs stay. Runs inside a
-block (quotations) stay too.
+All that is not settled main text is its page's token stream, for every page. Spark sorts the
+suffixes of each host's streams by their first WINDOW tokens: the host's suffix array, as deep as
+a repeat must be long. Runs of neighbours whose common prefix has that length and that lie on two
+distinct pages give every substring of at least WINDOW tokens that two pages of the host share.
+Ranges of the order, not hosts, are dealt to tasks, so a host may hold any share of the pages.
+
+Every page's text is then made from its blocks and what the array found in its stream: in open
+blocks, repeated runs that reach an edge of their block go, and unique runs stay. Runs inside a
+block (quotations) stay too. Blocks that structure leaves out go, repeated or not.
 
 What flows in a main container is never removed: copies of an article, and passages that
-articles share, would be covered too (see README).
+articles share, would be repeats too (see README).
 """
 
 from __future__ import annotations
@@ -25,15 +27,17 @@ import html
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import attach, materialized, sliced, table
+from .shared import HOT_LEAST, HOT_SHARE, materialized, partitions, scoped, sliced, table
 
 WINDOW = 8
+#: Suffixes that a Python worker makes at a time.
+SUFFIXES = 1 << 15
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>?"
@@ -207,12 +211,6 @@ def _host(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def suffix_keys(host: str, words: list[str]) -> list[bytes]:
-    """A 128-bit key of each suffix's first WINDOW tokens (of all, if there are fewer)."""
-    n = max(1, len(words) - WINDOW + 1) if words else 0
-    return [xxhash.xxh3_128_digest(f"{host}\n{' '.join(words[i : i + WINDOW])}") for i in range(n)]
-
-
 def unique_runs(words: list[str], covered: list[bool]) -> list[str]:
     """A block's words without the covered runs that begin or end it."""
     first, last = 0, len(words)
@@ -223,97 +221,202 @@ def unique_runs(words: list[str], covered: list[bool]) -> list[str]:
     return words[first:last]
 
 
+def _layout(url: str | None, page: str | None) -> tuple[bytes, str, int, list[str], list[str], list[int]]:
+    """A page's key, host, own text's hash, stream, blocks, and where in the stream each block ends (-1: settled).
+
+    The key is of host, own text and stream: what the array finds depends on nothing else.
+    """
+    found = split_page(page or "")
+    open_ = any(main is None for main, _ in found)
+    words, blocks, ends = [], [], []
+    for main, text in found:
+        if not main:
+            words += text.split()
+        if main is not False:
+            blocks.append(text)
+            ends.append(len(words) if main is None else -1)
+    host = _host(url)
+    own = xxhash.xxh64_digest(" ".join(text for main, text in found if main is None or main and not open_))
+    key = xxhash.xxh3_128_digest(f"{own.hex()}{' '.join(words)}\n{host}")
+    return key, host, int.from_bytes(own, "big", signed=True), words, blocks, ends
+
+
+def streams_of(pages: DataFrame) -> DataFrame:
+    """key, host, page (hash of its own text), rest (the stream's words) and n for the distinct streams of pages."""
+
+    def read(batches):
+        for batch in sliced(batches):
+            keys, hosts, own, words, _, _ = zip(*map(_layout, batch.column("url").to_pylist(), batch.column("html").to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.array(hosts, pa.string()), pa.array(own, pa.int64()), pa.array([" ".join(w) for w in words], pa.string())],
+                ["key", "host", "page", "rest"],
+            )
+
+    read_ = pages.select("url", "html").mapInArrow(read, "key binary, host string, page long, rest string")
+    return read_.groupBy("key", "host", "page", "rest").agg(F.count("*").alias("n"))
+
+
+def suffix_array(streams: DataFrame, n: int) -> DataFrame:
+    """stream, pos, host, page, tokens: the suffixes of all hosts by their first WINDOW tokens, in n ranges of that order.
+
+    A suffix starts at each place that has WINDOW tokens; of shorter streams the whole is one.
+    Equal tokens of one host are in order of page, and may go on in the next ranges.
+    """
+
+    def suffixes(batches):
+        for batch in sliced(batches):
+            for stream, host, page, rest in zip(*(c.to_pylist() for c in batch.columns)):
+                words = rest.split(" ")
+                last = max(1, len(words) - WINDOW + 1)
+                for at in range(0, last, SUFFIXES):
+                    starts = range(at, min(last, at + SUFFIXES))
+                    size = len(starts)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.repeat(pa.scalar(stream, pa.int64()), size), pa.array(starts, pa.int32()), pa.repeat(pa.scalar(host, pa.string()), size)]
+                        + [pa.repeat(pa.scalar(page, pa.int64()), size), pa.array([" ".join(words[i : i + WINDOW]) for i in starts], pa.string())],
+                        ["stream", "pos", "host", "page", "tokens"],
+                    )
+
+    order = ("host", "tokens", "page", "stream")
+    made = streams.filter("rest <> ''").select("stream", "host", "page", "rest").mapInArrow(suffixes, "stream long, pos int, host string, page long, tokens string")
+    return made.repartitionByRange(n, *order).sortWithinPartitions(*order)
+
+
+def _repeats(batches):
+    """The suffixes in runs of neighbours that share their tokens, and lie on two distinct pages or more.
+
+    Others can lie so only in the first and last run of a range, which may go on in another:
+    those come with their tokens and page, and so do two pages of such a run, without a stream.
+    """
+    names = ["stream", "pos", "host", "tokens", "page"]
+    run, low, high, held, first = None, 0, 0, [], True  # host and tokens, first and last page, suffixes while there is one page
+
+    def rows(stream, pos, edge=None, page=None):
+        n = len(pos)
+        host, tokens = edge or (None, None)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(stream, pa.int64()), pa.array(pos, pa.int32()), pa.array([host] * n, pa.string()), pa.array([tokens] * n, pa.string()), pa.array([None] * n if page is None else page, pa.int64())],
+            names,
+        )
+
+    def ended(edge):
+        if edge and low != high:
+            yield rows([None, None], [None, None], run, [low, high])
+        elif edge:
+            for stream, pos in held:
+                yield rows(stream, pos, run, [low] * len(pos))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        host, tokens = batch.column("host"), batch.column("tokens")
+        stream, pos, page = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("stream", "pos", "page"))
+        begins = np.ones(len(page), bool)
+        begins[1:] = ~pc.and_(pc.equal(host[1:], host[:-1]), pc.equal(tokens[1:], tokens[:-1])).to_numpy(zero_copy_only=False)
+        if run is None:
+            run, low, high = (host[0].as_py(), tokens[0].as_py()), page[0], page[0]
+        begins[0] = run != (host[0].as_py(), tokens[0].as_py())
+        cuts = [*np.flatnonzero(begins).tolist(), len(page)]
+
+        def goes_on(a, b):
+            nonlocal high, held
+            high = page[b - 1]  # pages ascend in a run
+            held.append((stream[a:b], pos[a:b]))
+            if low != high:
+                found, held = held, []
+                return [rows(*part) for part in found]
+            return []
+
+        if cuts[0]:
+            yield from goes_on(0, cuts[0])
+        if len(cuts) > 1:
+            yield from ended(first)
+            first = False
+            starts, ends = np.array(cuts[:-2], np.int64), np.array(cuts[1:-1], np.int64)
+            if len(starts):
+                hit = cuts[0] + np.flatnonzero(np.repeat(page[starts] != page[ends - 1], ends - starts))
+                yield rows(stream[hit], pos[hit])
+            at = cuts[-2]
+            run, low, high, held = (host[at].as_py(), tokens[at].as_py()), page[at], page[at], []
+            yield from goes_on(at, len(page))
+    if run is not None:
+        yield from ended(True)
+
+
+def repeated(array: DataFrame) -> DataFrame:
+    """stream, pos of the array's suffixes whose first WINDOW tokens are on two distinct pages of their host."""
+    found = materialized(array.mapInArrow(_repeats, "stream long, pos int, host string, tokens string, page long"))
+    edges = found.filter("tokens is not null").groupBy("host", "tokens").agg(F.min("page").alias("low"), F.max("page").alias("high")).filter("low <> high").select("host", "tokens")
+    undecided = found.filter("tokens is not null and stream is not null").join(F.broadcast(edges), ["host", "tokens"], "left_semi")  # two runs a range at most
+    return found.filter("tokens is null").unionByName(undecided.select(found.columns)).select("stream", "pos")
+
+
 def extracted(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars for every row.
+    """page_id, url, text, n_chars, n_outside, n_repeated for every row.
 
-    Null html is empty. A null or odd url belongs to the host ''. Repeated rows each give
-    a row. Pages whose open texts (or, without any, main texts) are equal count as one, so
-    copies of a page and one page under several ids are no repeats. Columns may have any
-    other names.
+    The last two count the words outside settled main text, and those of them in a repeat that
+    the host's suffix array found. Null html is empty. A null or odd url belongs to the host ''.
+    Repeated rows each give a row. Pages whose open texts (or, without any, main texts) are equal
+    count as one, so copies of a page and one page under several ids are no repeats. Columns may
+    have any other names. The rows are read twice, and must be the same both times.
     """
-    return parsed_pages(pages)[0]
+    spark = pages.sparkSession
+
+    def found() -> DataFrame:
+        streams = materialized(streams_of(pages).withColumn("stream", F.monotonically_increasing_id()))
+        places = repeated(suffix_array(streams, partitions(pages))).groupBy("stream").agg(F.collect_list("pos").alias("places"))  # a page's own
+        return streams.select("stream", "key", "n").join(places, "stream", "left").select("key", "n", F.coalesce("places", F.array().cast("array<int>")).alias("places"))
 
+    return with_repeats(pages, scoped(spark, found))
 
-def parsed_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """extracted(), and the table it is made from: a row with blocks and the text outside main containers for each page."""
+
+def with_repeats(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """extracted(), from the places of repeats in each distinct stream."""
     kind = pages.schema["page_id"].dataType.simpleString()
-    names = ["_row", "page_id", "url", "text", "blocks", "ends", "page", "rest"]
+    limit = max(HOT_LEAST, (found.agg(F.sum("n")).first()[0] or 0) // HOT_SHARE)
+    dealt = found.withColumn("deals", F.ceil(F.col("n") / limit).cast("int"))
 
-    def parse(batches):
+    def read(batches):
         for batch in sliced(batches):
-            texts, blocks_, ends, same, rest = [], [], [], [], []
-            for page in batch.column("html").to_pylist():
-                found = split_page(page or "")
-                open_ = any(main is None for main, _ in found)
-                words, block, end = [], [], []
-                for main, text in found:
-                    if not main:
-                        words += text.split()
-                    if open_ and main is not False:
-                        block.append(text)  # ends before the words that are left out: settled text has none
-                        end.append(len(words) if main is None else -1)
-                settled = " ".join(text for main, text in found if main)
-                texts.append(None if open_ else settled)
-                blocks_.append(block)
-                ends.append(end)
-                own = " ".join(text for main, text in found if main is None) if open_ else settled
-                same.append(int.from_bytes(xxhash.xxh64_digest(own), "big", signed=True))
-                rest.append(" ".join(words))
+            keys, _, _, words, blocks, ends = zip(*map(_layout, batch.column("url").to_pylist(), batch.column("html").to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names[:3]]
-                + [pa.array(texts, pa.string()), pa.array(blocks_, pa.list_(pa.string())), pa.array(ends, pa.list_(pa.int32())), pa.array(same, pa.int64()), pa.array(rest, pa.string())],
-                names,
+                [batch.column("page_id"), batch.column("url"), pa.array(keys, pa.binary()), pa.array(blocks, pa.list_(pa.string())), pa.array(ends, pa.list_(pa.int32()))]
+                + [pa.array([len(w) for w in words], pa.int64())],
+                ["page_id", "url", "key", "blocks", "ends", "outside"],
             )
 
-    parsed = materialized(
-        pages.select(F.monotonically_increasing_id().alias("_row"), "page_id", "url", "html").mapInArrow(
-            parse, f"_row long, page_id {kind}, url string, text string, blocks array<string>, ends array<int>, page long, rest string"
-        )
-    )
-    settled = parsed.filter("text is not null").select("page_id", "url", "text")
-    if parsed.filter("text is null").isEmpty():
-        return settled.withColumn("n_chars", F.length("text").cast("long")), parsed
-
-    def suffixes(batches):
+    def made(batches):
         for batch in sliced(batches):
-            keys = [suffix_keys(_host(url), rest.split()) for url, rest in zip(batch.column("url").to_pylist(), batch.column("rest").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("page"), batch.column("open"), pa.array(keys, pa.list_(pa.binary()))], ["_row", "page", "open", "keys"])
-
-    # only where some page leaves something open does any page need its suffixes
-    keyed = materialized(parsed.select("_row", "url", "page", F.col("text").isNull().alias("open"), "rest").mapInArrow(suffixes, "_row long, page long, open boolean, keys array<binary>"))
-    left_open = parsed.filter("text is null")
-    total = keyed.agg(F.sum(F.size("keys"))).first()[0]
-    repeated = (
-        keyed.select("page", F.explode("keys").alias("key"))
-        .groupBy("key")
-        .agg(F.min("page").alias("a"), F.max("page").alias("b"), F.count("*").alias("n"))
-        .filter("a < b")
-        .select("key", "n")
-    )
-    covered = (
-        attach(keyed.filter("open").select("_row", F.posexplode("keys").alias("pos", "key")), repeated, "key", "n", total)
-        .groupBy("_row")
-        .agg(F.collect_list("pos").alias("covered"))  # a page's own positions
-    )
-
-    @F.pandas_udf("string")
-    def kept(blocks_: pd.Series, ends: pd.Series, covered: pd.Series) -> pd.Series:
-        out = []
-        for block, end, starts in zip(blocks_, ends, covered):
-            hit = np.zeros(max([0, *end]) + 1, np.int64)  # past the last open block nothing counts
-            for at in starts if starts is not None else ():
-                hit[min(at, len(hit) - 1)] += 1
-                hit[min(at + WINDOW, len(hit) - 1)] -= 1
-            hit = (np.cumsum(hit[:-1]) > 0).tolist()
-            texts = []
-            for text, e in zip(block, end):
-                words = text.split()
-                texts += words if e < 0 else unique_runs(words, hit[e - len(words) : e])
-            out.append(" ".join(texts))
-        return pd.Series(out)
-
-    opened = left_open.join(covered, "_row", "left").select("page_id", "url", kept("blocks", "ends", "covered").alias("text"))
-    return settled.unionByName(opened).withColumn("n_chars", F.length("text").cast("long")), parsed
+            texts, counts = [], []
+            for blocks, ends, outside, places in zip(*(batch.column(c).to_pylist() for c in ("blocks", "ends", "outside", "places"))):
+                hit = np.zeros(outside + 1, np.int64)
+                for at in places:
+                    hit[at] += 1
+                    hit[min(at + WINDOW, outside)] -= 1
+                hit = np.cumsum(hit[:-1]) > 0
+                counts.append(int(hit.sum()))
+                words = []
+                for text, end in zip(blocks, ends):
+                    if end < 0:
+                        words.append(text)
+                    else:
+                        own = text.split()
+                        words += unique_runs(own, hit[end - len(own) : end].tolist())
+                texts.append(" ".join(words))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), batch.column("outside"), pa.array(counts, pa.int64())],
+                ["page_id", "url", "text", "n_outside", "n_repeated"],
+            )
+
+    rows = pages.select("page_id", "url", "html").mapInArrow(read, f"page_id {kind}, url string, key binary, blocks array<string>, ends array<int>, outside long")
+    # many copies of one page are dealt to several tasks
+    hot = F.broadcast(dealt.filter("deals > 1").select("key", "deals"))
+    rows = rows.join(hot, "key", "left").withColumn("deal", F.coalesce(F.expr("pmod(monotonically_increasing_id(), deals)"), F.lit(0)).cast("int"))
+    dealt = dealt.select("key", "places", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"))
+    missing = F.raise_error(F.lit("pages changed between two reads")).cast("array<int>")
+    joined = rows.join(dealt, ["key", "deal"], "left").select("page_id", "url", "blocks", "ends", "outside", F.coalesce("places", missing).alias("places"))
+    text = joined.mapInArrow(made, f"page_id {kind}, url string, text string, n_outside long, n_repeated long")
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_outside", "n_repeated")
 
 
 def op1_host_suffix_html(spark, sf_dir):

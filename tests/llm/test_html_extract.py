@@ -141,3 +141,59 @@ def test_pages_built_from_known_text(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def brute_counts(rows, window=H.WINDOW):
+    """page_id, words outside settled main text, those of them in a window that pages with other texts have too."""
+    seen, pages = defaultdict(set), []
+    for page_id, url, page in rows:
+        found = H.split_page(page or "")
+        own = " ".join(t for m, t in found if m is None) if any(m is None for m, _ in found) else " ".join(t for m, t in found if m)
+        words = " ".join(t for m, t in found if not m).split()
+        windows = [(i, (H._host(url), *words[i : i + window])) for i in range(max(1, len(words) - window + 1) if words else 0)]
+        for _, w in windows:
+            seen[w].add(own)
+        pages.append((page_id, words, windows))
+    return sorted((p, len(ws), sum(any(i <= at < i + window and len(seen[w]) > 1 for i, w in windows) for at in range(len(ws)))) for p, ws, windows in pages)
+
+
+def test_array_reads_pages_that_structure_settles(spark):
+    """Each page's rows come through its host's array, whether or not structure leaves something open."""
+    menu = " ".join(f"menu{i}" for i in range(12))
+    rows = [(i, f"http://h{i % 2}.example/{i}", f"<nav>{menu}</nav><article><p>story {i // 3}</article><footer>page {i} of many</footer>") for i in range(24)]
+    rows += [(100 + i, f"http://k.example/{i}", f"<nav>{menu}</nav><article>one story</article><aside>{i}</aside>") for i in range(5)]  # copies of one text
+    rows += [(200 + i, f"http://s.example/{i}", f"<nav>home about</nav><article>short {i}</article>") for i in range(3)] + [(300, None, None), (301, "http://k.example/", "<article>x</article>")]
+    rows += [(400, "http://h1.example/", f"<nav>{menu}</nav><article>one page many times</article>")] * 250  # dealt to several tasks
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = sorted(tuple(r) for r in H.extracted(df).select("page_id", "n_outside", "n_repeated").collect())
+    assert got == brute_counts(rows)
+    counts = {p: n for p, _, n in got}
+    assert counts[0] >= 12 and counts[100] == 0 and counts[200] == 2 and counts[400] == 12
+    assert run(spark, rows) == brute(rows)
+
+
+def test_changed_pages_are_an_error(spark):
+    df = spark.createDataFrame([(1, "http://a.example/", "<article>x</article>")], "page_id long, url string, html string")
+    found = spark.createDataFrame([(b"other", 1, [])], "key binary, n long, places array<int>")
+    with pytest.raises(Exception, match="pages changed between two reads"):
+        H.with_repeats(df, found).collect()
+
+
+def test_array_in_ranges(spark):
+    """The array's order, and repeats whose suffixes lie in several ranges of it."""
+    streams = [(i, "h", i // 40, "a b c d e f g h") for i in range(400)] + [(1000 + i, "h", 7, f"{'z' * (i % 3)}y b c d e f g h") for i in range(90)]
+    streams += [(2000, "other", 1, "a b c d e f g h"), (2001, "h", 5, "a b"), (2002, "h", 6, "a b c"), (2003, "h", 5, ""), (2004, "h", 8, "zy b c d e f g h i")]
+    df = spark.createDataFrame(streams, "stream long, host string, page long, rest string").repartition(3)
+    for n in (1, 2, 5, 60):
+        array = H.suffix_array(df, n)
+        parts = array.rdd.map(lambda r: (r.host, r.tokens, r.page, r.stream)).glom().collect()
+        order = [r for part in parts for r in part]
+        assert order == sorted(order) and len(order) == 495
+        if n == 60:
+            assert sum(any(r[1] == "a b c d e f g h" for r in part) for part in parts) > 2  # one run of equal tokens in several ranges
+        got = sorted(tuple(r) for r in H.repeated(array).collect())
+        pages = defaultdict(set)
+        for host, tokens, page, _ in order:
+            pages[host, tokens].add(page)
+        assert got == sorted((r.stream, r.pos) for r in array.collect() if len(pages[r.host, r.tokens]) > 1)
+        assert len(got) == 400 + 30 + 1
